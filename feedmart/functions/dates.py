@@ -43,7 +43,7 @@ def parse_pubdate(col) -> Column:
     mon = (F.instr(F.lit(MONTHS), F.lower(F.regexp_extract(c, RFC822_DATE, 3))) + 2) / 3
     year = F.regexp_extract(c, RFC822_DATE, 4)
     text = F.concat_ws("-", year, F.lpad(mon.cast("int").cast("string"), 2, "0"), F.lpad(day, 2, "0"))
-    return F.when(ok, F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def parse_pubdate_lenient(col) -> Column:
@@ -61,7 +61,7 @@ def parse_pubdate_strict(col) -> Column:
 def raw_to_date(col) -> Column:
     """Raw text date -> DATE. '' and bad text give NULL (the reference's database would give
     0001-01-01 BC; this is the one intended divergence)."""
-    return F.try_to_date(_c(col), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(_c(col), "yyyy-MM-dd")
 
 
 def day_of_week(col, compat: bool = True) -> Column:

@@ -115,9 +115,12 @@ def mart(fact: DataFrame, as_of=None, compat: bool = True, tags: DataFrame | Non
     total equals the all-time total (Q3), no news today gives NULL (Q4), the average divides by
     the number of distinct dated days of the category (Q7), ties of the busiest day give the latest
     day (Q8). Undated news count in the totals only (Q9). ``id`` numbers rows by (category, source).
-    ``compat=False`` adds ``category_id``.
+    ``compat=False`` adds ``category_id``. With ``tags`` and ``sources`` the fact holds ids and
+    the mart is given names (J9) before it is numbered.
     """
     m = _measures(fact, as_of, compat)
+    if tags is not None and sources is not None:
+        m = with_names(m, tags, sources)
     all_t, src_t = _today_columns(m, compat)
     out = m.select(
         CAT, SRC,
