@@ -19,6 +19,7 @@ from feedmart.schemas import RAW
 NO_CATEGORY = "no_category"
 NO_GUID = "no_guid"
 BAD_DATE = "bad_date"
+OUT_OF_WINDOW = "out_of_window"  # not a reject: a delta load takes one day only
 
 
 def with_defaults(entries: DataFrame) -> DataFrame:
@@ -32,31 +33,30 @@ def with_defaults(entries: DataFrame) -> DataFrame:
 
 def classify(entries: DataFrame, mode: str = "full", as_of=None, compat: bool = True,
              on_bad_date: str = "reject") -> DataFrame:
-    """Add ``published`` (text), ``keep`` (entry belongs to this load) and ``reason`` (why it is
-    rejected, NULL when accepted).
+    """Add ``published`` (text) and ``reason``: NULL when the entry is accepted, ``OUT_OF_WINDOW``
+    when a delta load skips it, otherwise why it is rejected. Downstream filters test the one
+    ``reason`` column, so the parse is inlined once when Catalyst pushes the filter down.
 
     mode="full": every entry, date parsed leniently ('' when bad).
     mode="delta": only entries published on the day before ``as_of``; a bad date is a reject, or
     fails the job when ``on_bad_date="fail"`` (the reference's behaviour).
     """
     e = with_defaults(entries)
-    parsed = parse_pubdate(F.col("pubDate"))
     no_cat = F.coalesce(F.size("category") <= 0, F.lit(True))
     if mode == "full":
-        e = e.withColumn("published", parse_pubdate_lenient(F.col("pubDate"))).withColumn("keep", F.lit(True))
-        bad_date = F.lit(False)
+        e = e.withColumn("published", parse_pubdate_lenient(F.col("pubDate")))
+        reason = F.when(no_cat, F.lit(NO_CATEGORY))
     elif mode == "delta":
-        if on_bad_date == "fail":
-            parsed = F.when(parsed.isNull(), F.raise_error(F.concat(
-                F.lit("unparsable pubDate: "), F.coalesce(F.col("pubDate"), F.lit("NULL"))))).otherwise(parsed)
-        e = (e.withColumn("_d", parsed)
-             .withColumn("published", F.coalesce(F.date_format("_d", "yyyy-MM-dd"), F.lit("")))
-             .withColumn("keep", F.coalesce(F.col("_d") == previous_day(as_of), F.lit(True)))
-             .drop("_d"))
-        bad_date = F.col("published") == ""
+        e = e.withColumn("published", F.coalesce(F.date_format(parse_pubdate(F.col("pubDate")), "yyyy-MM-dd"),
+                                                 F.lit("")))
+        bad = F.lit(BAD_DATE) if on_bad_date != "fail" else F.raise_error(
+            F.concat(F.lit("unparsable pubDate: "), F.coalesce(F.col("pubDate"), F.lit("NULL"))))
+        wanted = F.date_format(previous_day(as_of), "yyyy-MM-dd")
+        reason = (F.when(F.col("published") == "", bad)
+                  .when(F.col("published") != wanted, F.lit(OUT_OF_WINDOW))
+                  .when(no_cat, F.lit(NO_CATEGORY)))
     else:
         raise ValueError(f"mode must be 'full' or 'delta', not {mode!r}")
-    reason = F.when(bad_date, F.lit(BAD_DATE)).when(no_cat, F.lit(NO_CATEGORY))
     if not compat:
         reason = reason.when(F.col("id") == "", F.lit(NO_GUID))
     return e.withColumn("reason", reason)
@@ -70,14 +70,14 @@ def explode_categories(entries: DataFrame) -> DataFrame:
 
 def to_raw(classified: DataFrame, load_id: int) -> DataFrame:
     """Accepted entries of this load -> raw rows in the raw schema."""
-    kept = classified.where(F.col("keep") & F.col("reason").isNull())
+    kept = classified.where(F.col("reason").isNull())
     rows = explode_categories(kept).withColumn("load_id", F.lit(load_id).cast("long"))
     return rows.select(*[F.col(f.name).cast(f.dataType) for f in RAW.fields])
 
 
 def rejects(classified: DataFrame, load_id: int) -> DataFrame:
     """Entries of this load that were refused, with the reason."""
-    bad = classified.where(F.col("keep") & F.col("reason").isNotNull())
+    bad = classified.where(F.col("reason").isNotNull() & (F.col("reason") != OUT_OF_WINDOW))
     return bad.select("id", "title", "source", "pubDate", "reason",
                       F.lit(load_id).cast("long").alias("load_id"), "file_path", "entry_pos")
 
