@@ -68,8 +68,12 @@ class Store:
 
     # -- scans ---------------------------------------------------------------------------------
     def read(self, layer: str, table: str) -> DataFrame:
+        """The table; a table never written reads as empty (nothing to create up front)."""
         schema = self.schema(layer, table)
-        df = self.spark.read.schema(schema).parquet(self.path(layer, table))
+        try:
+            df = self.spark.read.schema(schema).parquet(self.path(layer, table))
+        except AnalysisException:
+            return self.spark.createDataFrame([], schema)
         return df.select(*[f.name for f in schema.fields])
 
     # -- sinks ---------------------------------------------------------------------------------
