@@ -50,7 +50,8 @@ def busiest_day(fact: DataFrame) -> DataFrame:
     """Per (category, source) the day with the most news; ties give the latest day;
     undated news take no part."""
     day = day_counts(fact).where(F.col(PUB).isNotNull())
-    return day.groupBy(CAT, SRC).agg(F.max(F.struct("n", PUB))[PUB].alias("max_news_date"))
+    return (day.groupBy(CAT, SRC).agg(F.max(_pack_day(F.col("n"), F.col(PUB))).alias("_busiest"))
+            .select(CAT, SRC, _unpack_day(F.col("_busiest")).alias("max_news_date")))
 
 
 def avg_news_per_day(fact: DataFrame) -> DataFrame:
@@ -65,6 +66,21 @@ def avg_news_per_day(fact: DataFrame) -> DataFrame:
         F.expr("all_source_count_category_news div nullif(n_days, 0)").alias("avg_news_per_day"))
 
 
+# Busiest day as one BIGINT: count in the high bits, day number (days since 1970-01-01 shifted
+# to be positive) in the low 24 bits, so max() picks the largest count and, among equal counts,
+# the latest day, and the aggregate keeps a fixed-width (hash-aggregate) buffer.
+_DAY_BITS = 24
+_DAY_SHIFT = 1 << 23
+
+
+def _pack_day(n: Column, pub: Column) -> Column:
+    return F.when(pub.isNotNull(), F.shiftleft(n, _DAY_BITS) + (F.unix_date(pub) + _DAY_SHIFT))
+
+
+def _unpack_day(packed: Column) -> Column:
+    return F.date_from_unix_date((packed.bitwiseAND(F.lit((1 << _DAY_BITS) - 1)) - _DAY_SHIFT).cast("int"))
+
+
 def _measures(fact: DataFrame, as_of=None, compat: bool = True) -> DataFrame:
     """Every measure per (category, source), unrounded (LongType)."""
     today = as_of_date(as_of)
@@ -72,22 +88,24 @@ def _measures(fact: DataFrame, as_of=None, compat: bool = True) -> DataFrame:
     dow = day_of_week(pub, compat)
     by_cat = Window.partitionBy(CAT)
     first_of_day = Window.partitionBy(CAT, PUB).orderBy(SRC)
+    # One shuffle by category: both windows and the (category, source) aggregate below reuse it.
     day = day_counts(fact).repartition(CAT)
-    x = (day
-         .withColumn("_new_day", ((F.row_number().over(first_of_day) == 1) & pub.isNotNull()).cast("long"))
-         .withColumn("_all", F.sum(n).over(by_cat))
-         .withColumn("_days", F.sum("_new_day").over(by_cat))
-         .withColumn("_all_today", F.sum(F.when(pub == today, n).otherwise(0)).over(by_cat)))
-    for k, d in enumerate(WEEKDAYS, start=1):
-        x = x.withColumn(f"_wk{k}", F.sum(F.when(dow == k, n).otherwise(0)).over(by_cat))
+    day = day.select("*", ((F.row_number().over(first_of_day) == 1) & pub.isNotNull()).cast("long").alias("_new_day"))
+    x = day.select(
+        "*",
+        F.sum(n).over(by_cat).alias("_all"),
+        F.sum("_new_day").over(by_cat).alias("_days"),
+        F.sum(F.when(pub == today, n).otherwise(0)).over(by_cat).alias("_all_today"),
+        *[F.sum(F.when(dow == k, n).otherwise(0)).over(by_cat).alias(f"_wk{k}") for k in range(1, 8)])
     return x.groupBy(CAT, SRC).agg(
         F.max("_all").alias("all_n"),
         F.sum(n).alias("src_n"),
         F.max("_all_today").alias("all_today"),
         F.sum(F.when(pub == today, n).otherwise(0)).alias("src_today"),
         F.max("_days").alias("n_days"),
-        F.max(F.when(pub.isNotNull(), F.struct(n, pub)))[PUB].alias("max_news_date"),
-        *[F.max(f"_wk{k}").alias(f"amount_news_{d}") for k, d in enumerate(WEEKDAYS, start=1)])
+        F.max(_pack_day(n, pub)).alias("_busiest"),
+        *[F.max(f"_wk{k}").alias(f"amount_news_{d}") for k, d in enumerate(WEEKDAYS, start=1)]) \
+        .withColumn("max_news_date", _unpack_day(F.col("_busiest"))).drop("_busiest")
 
 
 def _today_columns(m: DataFrame, compat: bool) -> tuple[Column, Column]:
