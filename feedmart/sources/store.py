@@ -4,6 +4,14 @@ The root is shared storage on a cluster (the reference keeps three database sche
 are three folders). Tables are addressed by path so that separate jobs (full load today, delta
 load tomorrow) see the same data; ``register`` also exposes them in the session catalog for SQL
 users (``raw_store.news``, ``core_store.news`` ...).
+
+The core news table grows with all history while a load brings one day, and every load anti-joins
+its ids against it. It is therefore bucketed by ``new_raw_id`` (the bridge ``news_tags`` by
+``new_id``): the history side of those joins is read bucket by bucket with no shuffle, and only
+the day's keys are shuffled to match. Bucketing lives in the catalog, so the bucketed tables are
+(re-)registered as external tables over the store's folders by every Store; the bucket count is
+fixed when a store is first written and kept in ``core_store/_layout``. One store per session
+owns the ``core_store`` names at a time.
 """
 
 from __future__ import annotations
@@ -14,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmart import schemas
+from feedmart.session import shuffle_partitions
 
 # layer -> table -> (schema, partition columns)
 TABLES = {
@@ -25,10 +34,53 @@ TABLES = {
 }
 
 
+# (layer, table) -> bucket column
+BUCKETED = {("core_store", "news"): "new_raw_id", ("core_store", "news_tags"): "new_id"}
+
+
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._wanted_buckets = buckets
+        self._buckets: int | None = None
+        self._bucketed_ready = False
+
+    # -- bucketed tables -----------------------------------------------------------------------
+    def buckets(self) -> int:
+        """Bucket count of the store: as first written, else the given one, else the session's
+        shuffle partition count."""
+        if self._buckets is None:
+            path = f"{self.root}/core_store/_layout"
+            try:
+                row = self.spark.read.schema("buckets int").parquet(path).first()
+            except AnalysisException:
+                row = None
+            if row is None:
+                n = self._wanted_buckets or shuffle_partitions(self.spark)
+                self.spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("ignore").parquet(path)
+                row = self.spark.read.schema("buckets int").parquet(path).first()
+            self._buckets = int(row.buckets)
+        return self._buckets
+
+    def _ddl(self, layer: str, table: str, if_not_exists: bool) -> str:
+        schema, parts = TABLES[layer][table]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
+        key = BUCKETED.get((layer, table))
+        bucket = f" CLUSTERED BY ({key}) INTO {self.buckets()} BUCKETS" if key else ""
+        ine = "IF NOT EXISTS " if if_not_exists else ""
+        return (f"CREATE TABLE {ine}{layer}.{table} ({cols}) USING parquet{part}{bucket} "
+                f"LOCATION '{self.path(layer, table)}'")
+
+    def _ensure_bucketed(self) -> None:
+        if self._bucketed_ready:
+            return
+        for layer, table in BUCKETED:
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
+            self.spark.sql(self._ddl(layer, table, if_not_exists=False))
+        self._bucketed_ready = True
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
@@ -39,9 +91,10 @@ class Store:
     # -- K-ns / K-ddl: create what is missing -------------------------------------------------
     def create(self) -> "Store":
         """Create every table that does not exist yet (an empty Parquet table with its schema)."""
+        self._ensure_bucketed()
         for layer, tables in TABLES.items():
             for table, (schema, parts) in tables.items():
-                if not self.exists(layer, table):
+                if (layer, table) not in BUCKETED and not self.exists(layer, table):
                     w = self.spark.createDataFrame([], schema).write.mode("ignore")
                     if parts:
                         w = w.partitionBy(*parts)
@@ -49,14 +102,13 @@ class Store:
         return self
 
     def register(self) -> "Store":
-        """Expose the tables in the session catalog (CREATE DATABASE / TABLE IF NOT EXISTS)."""
+        """Expose every table in the session catalog (CREATE DATABASE / TABLE IF NOT EXISTS)."""
+        self._ensure_bucketed()
         for layer, tables in TABLES.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            for table, (schema, parts) in tables.items():
-                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-                part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
-                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{table} ({cols}) USING parquet{part} "
-                               f"LOCATION '{self.path(layer, table)}'")
+            for table in tables:
+                if (layer, table) not in BUCKETED:
+                    self.spark.sql(self._ddl(layer, table, if_not_exists=True))
         return self
 
     def exists(self, layer: str, table: str) -> bool:
@@ -70,6 +122,9 @@ class Store:
     def read(self, layer: str, table: str) -> DataFrame:
         """The table; a table never written reads as empty (nothing to create up front)."""
         schema = self.schema(layer, table)
+        if (layer, table) in BUCKETED:
+            self._ensure_bucketed()
+            return self.spark.table(f"{layer}.{table}").select(*[f.name for f in schema.fields])
         try:
             df = self.spark.read.schema(schema).parquet(self.path(layer, table))
         except AnalysisException:
@@ -79,6 +134,14 @@ class Store:
     # -- sinks ---------------------------------------------------------------------------------
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         schema, parts = TABLES[layer][table]
+        key = BUCKETED.get((layer, table))
+        if key:
+            # one file per bucket and load: shuffle the new rows by the bucket key first
+            self._ensure_bucketed()
+            rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+            rows.repartition(self.buckets(), key).write.insertInto(f"{layer}.{table}")
+            self.spark.catalog.refreshTable(f"{layer}.{table}")
+            return
         w = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append")
         if parts:
             w = w.partitionBy(*parts)

@@ -53,3 +53,27 @@ def test_first_per_key_pre_aggregates(spark):
     from feedmart.schemas import RAW_ORDER
     p = _plan(first_per_key(td.raw_events(spark, SF001), ["id"], RAW_ORDER, ["title"]))
     assert "partial_min" in p
+
+
+def test_history_side_of_insert_if_absent_is_not_shuffled(spark, tmp_path):
+    """The news table holds all history; a load's anti-join must not reshuffle it."""
+    from feedmart.operators.keys import first_per_key, insert_if_absent
+    from feedmart.schemas import RAW_ORDER
+    from feedmart.sources.store import Store
+    store = Store(spark, str(tmp_path / "store"), buckets=4)
+    raw = td.raw_events(spark, SF001)
+    sources = core.new_sources(raw, store.read("core_store", "sources"))
+    tags = core.new_tags(raw, store.read("core_store", "tags"))
+    store.append(core.new_news_rows(raw, store.read("core_store", "news"), sources, tags), "core_store", "news")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = insert_if_absent(first_per_key(raw, ["id"], RAW_ORDER), store.read("core_store", "news"),
+                                 ["id"], ["new_raw_id"])
+        p = _plan(fresh)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "LeftAnti" in p and "Bucketed: true" in p
+    news_scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "core_store.news" in ln]
+    assert news_scan, p
+    assert fresh.count() == 0   # a second load of the same raw adds no news
