@@ -76,7 +76,7 @@ def _default_load_id(as_of) -> int:
 def full_load(spark: SparkSession, landing: str, root: str, as_of=None, compat: bool = True,
               load_id: int = 0, mapping: DataFrame | None = None) -> DataFrame:
     """Every entry of the landing folder -> raw -> core -> mart. Returns the mart."""
-    store = Store(spark, root)
+    store = Store(spark, root).register()
     raw = load_raw(read_landing(spark, landing), store, load_id, "full", as_of, compat, mapping=mapping)
     load_core(raw, store, compat)
     return build_mart(store, as_of, compat)
@@ -86,7 +86,7 @@ def delta_load(spark: SparkSession, landing: str, root: str, as_of=None, compat:
                load_id: int | None = None, on_bad_date: str = "reject",
                mapping: DataFrame | None = None) -> DataFrame:
     """Entries published the day before ``as_of`` -> raw -> core -> mart. Returns the mart."""
-    store = Store(spark, root)
+    store = Store(spark, root).register()
     lid = _default_load_id(as_of) if load_id is None else load_id
     raw = load_raw(read_landing(spark, landing), store, lid, "delta", as_of, compat, on_bad_date, mapping)
     load_core(raw, store, compat)

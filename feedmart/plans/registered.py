@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from feedmart import schemas
 from feedmart.functions.dates import day_of_week, parse_pubdate_lenient, parse_pubdate_strict, raw_to_date
 from feedmart.operators import core, ingest, keys, mart, normalise, quality, windows
-from feedmart.plans.load import build_mart, delta_load, full_load, load_core, load_raw
+from feedmart.plans.load import delta_load, full_load, load_raw
 from feedmart.session import ensure_checkpoint_dir, scratch_path
 from feedmart.sources import testdata as td
 from feedmart.sources.rss import read_landing
@@ -54,7 +54,7 @@ def _landing(spark: SparkSession, sf: str, name: str, where=None) -> str:
 
 
 def _store(spark: SparkSession, name: str) -> Store:
-    return Store(spark, scratch_path(spark, name)).create()
+    return Store(spark, scratch_path(spark, name)).register()
 
 
 def q_rss_scan(spark, sf):

@@ -102,13 +102,16 @@ class Store:
         return self
 
     def register(self) -> "Store":
-        """Expose every table in the session catalog (CREATE DATABASE / TABLE IF NOT EXISTS)."""
+        """K-ns / K-ddl: the three databases and every table in the session catalog, as external
+        tables over this store's folders (re-pointed if another store held the names)."""
         self._ensure_bucketed()
         for layer, tables in TABLES.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             for table in tables:
                 if (layer, table) not in BUCKETED:
-                    self.spark.sql(self._ddl(layer, table, if_not_exists=True))
+                    self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
+                    self.spark.sql(self._ddl(layer, table, if_not_exists=False))
+                    self._refresh(layer, table)
         return self
 
     def exists(self, layer: str, table: str) -> bool:
@@ -162,8 +165,13 @@ class Store:
         self._refresh(layer, table)
 
     def _refresh(self, layer: str, table: str) -> None:
-        if self.spark.catalog.tableExists(f"{layer}.{table}"):
-            self.spark.catalog.refreshTable(f"{layer}.{table}")
+        """Keep a registered table in step with files written by path (partitions are tracked
+        in the catalog, so new ones are recovered from the folder listing)."""
+        name = f"{layer}.{table}"
+        if self.spark.catalog.tableExists(name):
+            if TABLES[layer][table][1] and self.exists(layer, table):
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            self.spark.catalog.refreshTable(name)
 
     # -- S3: raw-table discovery ---------------------------------------------------------------
     def raw_tables(self) -> DataFrame:

@@ -105,3 +105,17 @@ def test_full_load_corrected(spark, landing, tmp_path):
     assert (w.all_source_count_category_news, w.amount_news_sunday, w.amount_news_monday) == (2, 1, 1)
     assert (w.all_source_count_category_news_today, w.source_count_category_news_today) == (0, 0)
     assert "category_id" in m.columns
+
+
+def test_layers_are_catalog_tables(spark, landing, tmp_path):
+    """After a load the reference's schemas are queryable with SQL (K-ns, K-ddl, S3)."""
+    full_load(spark, landing, str(tmp_path / "store"), as_of="2023-08-22")
+    assert {t.name for t in spark.catalog.listTables("core_store")} >= {"news", "sources", "tags", "news_tags"}
+    n = spark.sql("SELECT count(*) FROM raw_store.news WHERE source = 'tass_ru'").first()[0]
+    assert n == 3
+    got = spark.sql("""SELECT t.tag_name, count(*) AS n FROM core_store.news n JOIN core_store.tags t USING (tag_id)
+                       GROUP BY t.tag_name""").collect()
+    assert sorted((r.tag_name, r.n) for r in got) == [("Economy", 2), ("Sport", 2)]
+    assert spark.sql("SELECT count(*) FROM mart_store.news").first()[0] == 3
+    assert sorted(r.table_name for r in Store(spark, str(tmp_path / "store")).raw_tables().collect()) == [
+        "news_df_lenta_ru", "news_df_tass_ru"]
