@@ -1,0 +1,80 @@
+"""Randomised checks against plain-Python brute force of the reference's semantics."""
+
+import datetime as dt
+from collections import Counter, defaultdict
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from feedmart.operators import keys, mart
+
+BASE = dt.date(2023, 8, 14)          # a Monday
+WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+
+fact_rows = st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["x", "y"]),
+                               st.one_of(st.none(), st.integers(0, 9).map(lambda d: BASE + dt.timedelta(days=d)))),
+                     min_size=1, max_size=40)
+
+
+def brute_mart(rows, as_of, compat):
+    by_pair, by_cat = defaultdict(list), defaultdict(list)
+    for c, s, d in rows:
+        by_pair[(c, s)].append(d)
+        by_cat[c].append(d)
+    out = {}
+    for (c, s), ds in by_pair.items():
+        cat = by_cat[c]
+        src_today = sum(1 for d in ds if d == as_of)
+        cat_today = sum(1 for d in cat if d == as_of)
+        days = {d for d in cat if d is not None}
+        per_day = Counter(d for d in ds if d is not None)
+        top = max(per_day.values()) if per_day else None
+        busiest = max(d for d, k in per_day.items() if k == top) if per_day else None
+        if compat:
+            dow = [(d.isoweekday() % 7) for d in cat if d is not None]       # 0 = Sunday .. 6
+            today = (len(cat) if src_today else None, src_today or None)
+        else:
+            dow = [d.isoweekday() for d in cat if d is not None]             # 1 = Monday .. 7
+            today = (cat_today, src_today)
+        wk = tuple(sum(1 for x in dow if x == k) for k in range(1, 8))
+        out[(c, s)] = (len(cat), len(ds)) + today + (len(cat) // len(days) if days else None, busiest) + wk
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=fact_rows, today=st.integers(0, 9), compat=st.booleans())
+def test_mart_matches_brute_force(spark, rows, today, compat):
+    as_of = BASE + dt.timedelta(days=today)
+    fact = spark.createDataFrame([(i, c, s, d) for i, (c, s, d) in enumerate(rows)],
+                                 "new_id long, category string, source string, published date")
+    got = {}
+    for r in mart.mart(fact, as_of, compat=compat).collect():
+        got[(r.category, r.source)] = (
+            r.all_source_count_category_news, r.source_count_category_news, r.all_source_count_category_news_today,
+            r.source_count_category_news_today, r.avg_news_per_day, r.max_news_date,
+            *[r[f"amount_news_{d}"] for d in WEEKDAYS])
+    assert got == brute_mart(rows, as_of, compat)
+
+
+raw_rows = st.lists(st.tuples(st.sampled_from(["", "k1", "k2", "k3", "k4"]), st.integers(0, 3),
+                              st.sampled_from(["s1", "s2"]), st.integers(0, 50)),
+                    min_size=1, max_size=60, unique_by=lambda t: (t[1], t[2], t[3]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=raw_rows, known=st.sets(st.sampled_from(["k1", "k3"])), start=st.integers(0, 5))
+def test_first_wins_and_dense_ids(spark, rows, known, start):
+    df = spark.createDataFrame([(k, lo, s, p, f"v{lo}{s}{p}") for k, lo, s, p in rows],
+                               "id string, load_id long, source string, entry_pos long, val string")
+    order = ["load_id", "source", "entry_pos"]
+    target = spark.createDataFrame([(k,) for k in sorted(known)], "id string")
+    first = keys.first_per_key(df, ["id"], order, ["val"])
+    fresh = keys.insert_if_absent(first, target, ["id"])
+    numbered = keys.dense_ids(fresh, order, "new_id", start=start, num_partitions=3)
+    got = {r.id: (r.new_id, r.val) for r in numbered.collect()}
+    firsts = {}
+    for k, lo, s, p in sorted(rows, key=lambda t: (t[1], t[2], t[3])):
+        firsts.setdefault(k, (lo, s, p, f"v{lo}{s}{p}"))
+    new = sorted((v[:3], k, v[3]) for k, v in firsts.items() if k not in known)
+    want = {k: (start + i + 1, val) for i, (_, k, val) in enumerate(new)}
+    assert got == want
