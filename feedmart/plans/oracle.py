@@ -148,6 +148,7 @@ FROM raw_rss WHERE pub_date = {_DELTA_DAY}""",
 loads AS (SELECT *, 0 AS load_id FROM raw_rss WHERE pub_date < {_DELTA_DAY}
           UNION ALL SELECT *, 1 AS load_id FROM raw_rss WHERE pub_date = {_DELTA_DAY}),
 """ + _first_news_fact("load_id, source, o_orderkey, tag_pos", "loads"), RSS_AS_OF),
+    "streaming_load": mart_sql(RSS + ",\n" + _first_news_fact("source, o_orderkey, tag_pos"), ORDERS_AS_OF),
     "raw_union": f"""WITH {RAW_EVENTS}
 SELECT id, title, tags, source, published, 'events' AS file_path, entry_pos FROM r
 UNION ALL

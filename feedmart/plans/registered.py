@@ -132,6 +132,15 @@ def q_incremental_load(spark, sf):
     return delta_load(spark, later, root, as_of=RSS_AS_OF, load_id=1, on_bad_date="fail")
 
 
+def q_streaming_load(spark, sf):
+    """The landing folder consumed by the file stream (availableNow): one micro-batch = one load."""
+    from feedmart.streaming import start_landing_load
+    landing = _landing(spark, sf, "landing")
+    root = scratch_path(spark, "store")
+    start_landing_load(spark, landing, root, scratch_path(spark, "stream-ckpt"), as_of=ORDERS_AS_OF).awaitTermination()
+    return spark.read.parquet(Store(spark, root).path("mart_store", "news"))
+
+
 def q_raw_union(spark, sf):
     from functools import reduce
     parts = [td.raw_events(spark, sf), td.raw_lineitem(spark, sf)]
@@ -280,6 +289,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_append_delta": q_raw_append_delta,
     "init_load": q_init_load,
     "incremental_load": q_incremental_load,
+    "streaming_load": q_streaming_load,
     "raw_union": q_raw_union,
     "raw_to_date": q_raw_to_date,
     "dim_sources": q_dim_sources,

@@ -77,3 +77,14 @@ def test_history_side_of_insert_if_absent_is_not_shuffled(spark, tmp_path):
     news_scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "core_store.news" in ln]
     assert news_scan, p
     assert fresh.count() == 0   # a second load of the same raw adds no news
+
+
+def test_load_reads_only_its_raw_partitions(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from feedmart.sources.store import Store
+    store = Store(spark, str(tmp_path / "store"))
+    store.replace_partitions(td.raw_events(spark, SF001), "raw_store", "news")
+    p = _plan(store.read("raw_store", "news").where(F.col("load_id") == 0).select("id", "tags"))
+    scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln][0]
+    assert "PartitionFilters: [isnotnull(load_id" in scan and "(load_id" in scan
+    assert "ReadSchema: struct<id:string,tags:string>" in scan
