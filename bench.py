@@ -31,6 +31,7 @@ def main() -> None:
     from feedmart.plans.registered import EVENTS_AS_OF, ORDERS_AS_OF, RSS_AS_OF
     from feedmart.schemas import NEWS, RAW_ORDER, SOURCES, TAGS
     from feedmart.sources import testdata as td
+    from feedmart.sources.rss import read_landing
 
     def empty(schema):
         return spark.createDataFrame([], schema)
@@ -55,8 +56,7 @@ def main() -> None:
         "raw_explode_orders": lambda: ingest.to_raw(ingest.classify(td.rss_orders(spark, sf_dir), "full"), 0),
         "delta_explode_orders": lambda: ingest.to_raw(
             ingest.classify(td.rss_orders(spark, sf_dir), "delta", RSS_AS_OF), 1),
-        "landing_scan_explode": lambda: ingest.to_raw(ingest.classify(
-            __import__("feedmart.sources.rss", fromlist=["read_landing"]).read_landing(spark, landing), "full"), 0),
+        "landing_scan_explode": lambda: ingest.to_raw(ingest.classify(read_landing(spark, landing), "full"), 0),
         "core_load_events": core_load_events,
         "surrogate_keys_lineitem": surrogate_keys_lineitem,
         "window_forms_orders": lambda: windows.day_count(windows.category_total(td.fact_orders(spark, sf_dir))),

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmart.session import ensure_checkpoint_dir, shuffle_partitions
+from feedmart.session import ensure_checkpoint_dir
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id = partition index << 33 | row number
 
@@ -38,12 +38,23 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], valu
 
 
 def insert_if_absent(incoming: DataFrame, target: DataFrame, keys: Sequence[str],
-                     target_keys: Sequence[str] | None = None) -> DataFrame:
-    """Rows of ``incoming`` whose key the target does not hold yet (NULL keys never match)."""
+                     target_keys: Sequence[str] | None = None, target_buckets: int | None = None) -> DataFrame:
+    """Rows of ``incoming`` whose key the target does not hold yet (NULL keys never match).
+
+    ``target_buckets``: the target is bucketed by its key into that many buckets. The incoming
+    rows (one per key by now) are hashed into the same number of partitions, so the join keeps
+    the target's bucket layout and only the incoming side moves."""
     keys = list(keys)
     tkeys = list(target_keys or keys)
     existing = target.select(*[F.col(t).alias(k) for t, k in zip(tkeys, keys)])
-    return incoming.join(existing, on=keys, how="left_anti")
+    if not target_buckets:
+        return incoming.join(existing, on=keys, how="left_anti")
+    # Same rows as the anti join (a row either meets some target row and is dropped, or meets
+    # none and appears once), written as an outer join so that Catalyst keeps the repartition
+    # below the join instead of pushing the join under it.
+    present = existing.withColumn("_present", F.lit(True))
+    moved = incoming.repartition(target_buckets, *keys)
+    return moved.join(present, on=keys, how="left").where(F.col("_present").isNull()).drop("_present")
 
 
 def max_id(target: DataFrame, id_col: str) -> Column:
@@ -61,9 +72,11 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, start: Column |
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or shuffle_partitions(spark)
     order_cols = [F.col(c) for c in order]
-    numbered = (df.repartitionByRange(n, *order_cols)
+    # Without an explicit count AQE may merge small range partitions; it only merges adjacent
+    # ones, so partition order still follows the order key.
+    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    numbered = (ranged
                 .sortWithinPartitions(*order_cols)
                 .withColumn("_mono", F.monotonically_increasing_id())
                 .withColumn("_part", F.shiftright(F.col("_mono"), 33))

@@ -50,7 +50,7 @@ def load_core(raw: DataFrame, store: Store, compat: bool = True) -> None:
     store.append(new_sources(raw, store.read("core_store", "sources")), "core_store", "sources")
     store.append(new_tags(raw, store.read("core_store", "tags")), "core_store", "tags")
     store.append(new_news_rows(raw, store.read("core_store", "news"), store.read("core_store", "sources"),
-                               store.read("core_store", "tags")), "core_store", "news")
+                               store.read("core_store", "tags"), news_buckets=store.buckets()), "core_store", "news")
     if not compat:
         store.append(new_news_tag_rows(raw, store.read("core_store", "news"), store.read("core_store", "tags"),
                                        store.read("core_store", "news_tags")), "core_store", "news_tags")

@@ -49,7 +49,7 @@ class Store:
     # -- bucketed tables -----------------------------------------------------------------------
     def buckets(self) -> int:
         """Bucket count of the store: as first written, else the given one, else the session's
-        shuffle partition count."""
+        shuffle partition count capped at four per core."""
         if self._buckets is None:
             path = f"{self.root}/core_store/_layout"
             try:
@@ -57,7 +57,8 @@ class Store:
             except AnalysisException:
                 row = None
             if row is None:
-                n = self._wanted_buckets or shuffle_partitions(self.spark)
+                n = self._wanted_buckets or min(shuffle_partitions(self.spark),
+                                                4 * self.spark.sparkContext.defaultParallelism)
                 self.spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("ignore").parquet(path)
                 row = self.spark.read.schema("buckets int").parquet(path).first()
             self._buckets = int(row.buckets)

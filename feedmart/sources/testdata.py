@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.schemas import RAW, RSS_ITEM
-from feedmart.sources.rss import parse_items
+from feedmart.sources.rss import parse_items, write_feeds
 
 # Fixed values of the rss-orders mapping (also spelled in the oracle SQL).
 STATUS_OFFSET = {"F": "+0300", "O": "-0500", "P": "Z"}
@@ -159,10 +159,8 @@ def write_rss_orders_landing(spark: SparkSession, sf_dir: str, landing: str, whe
                              num_files: int | None = None) -> str:
     """Write rss-orders as a landing folder ``<landing>/source=<name>/part-*.xml``. Range
     partitioning by (source, order key) keeps file order = order-key order inside a source."""
-    from feedmart.session import shuffle_partitions
-    from feedmart.sources.rss import write_feeds
     items = rss_orders_items(spark, sf_dir, where)
-    n = num_files or shuffle_partitions(spark)
+    n = num_files or spark.sparkContext.defaultParallelism
     ordered = items.repartitionByRange(n, "source", "o_orderkey").sortWithinPartitions("source", "o_orderkey")
     write_feeds(ordered.drop("o_orderkey"), landing)
     return landing

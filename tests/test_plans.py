@@ -60,7 +60,7 @@ def test_history_side_of_insert_if_absent_is_not_shuffled(spark, tmp_path):
     from feedmart.operators.keys import first_per_key, insert_if_absent
     from feedmart.schemas import RAW_ORDER
     from feedmart.sources.store import Store
-    store = Store(spark, str(tmp_path / "store"), buckets=4)
+    store = Store(spark, str(tmp_path / "store"), buckets=3)   # not the shuffle partition count
     raw = td.raw_events(spark, SF001)
     sources = core.new_sources(raw, store.read("core_store", "sources"))
     tags = core.new_tags(raw, store.read("core_store", "tags"))
@@ -69,11 +69,14 @@ def test_history_side_of_insert_if_absent_is_not_shuffled(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         fresh = insert_if_absent(first_per_key(raw, ["id"], RAW_ORDER), store.read("core_store", "news"),
-                                 ["id"], ["new_raw_id"])
+                                 ["id"], ["new_raw_id"], target_buckets=store.buckets())
         p = _plan(fresh)
+        # exchanges: the raw aggregation and the move of the incoming keys to 3 partitions; none
+        # above the bucketed history scan
+        assert p.count("Exchange hashpartitioning") == 2 and "hashpartitioning(id#" in p and ", 3)" in p
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-    assert "LeftAnti" in p and "Bucketed: true" in p
+    assert "Bucketed: true" in p
     news_scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "core_store.news" in ln]
     assert news_scan, p
     assert fresh.count() == 0   # a second load of the same raw adds no news
