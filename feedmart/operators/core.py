@@ -57,7 +57,8 @@ def lookup_tag_id(df: DataFrame, tags: DataFrame, col: str = "tags") -> DataFram
 def new_news_rows(raw: DataFrame, news: DataFrame, sources: DataFrame, tags: DataFrame,
                   order: Sequence[str] = RAW_ORDER, news_buckets: int | None = None) -> DataFrame:
     """D3-D9 in one pass: raw ids not in ``news`` yet, each with the attributes of its first raw
-    row (first writer wins), a new surrogate key, and its source and first tag as ids.
+    row (first writer wins), a new surrogate key, its source and first tag as ids, and the load
+    that brought it.
 
     ``sources`` and ``tags`` must already hold every name of ``raw`` (load them first).
     ``news_buckets``: bucket count of ``news`` by ``new_raw_id`` (see ``insert_if_absent``)."""
@@ -66,7 +67,8 @@ def new_news_rows(raw: DataFrame, news: DataFrame, sources: DataFrame, tags: Dat
     numbered = dense_ids(fresh, list(order), "new_id", start=max_id(news, "new_id"))
     named = lookup_tag_id(lookup_source_id(numbered, sources), tags)
     return named.select("new_id", F.col("id").alias("new_raw_id"), "title", "link", "summary",
-                        raw_to_date(F.col("published")).alias("new_published"), "source_id", "tag_id")
+                        raw_to_date(F.col("published")).alias("new_published"), "source_id", "tag_id",
+                        "load_id")
 
 
 def new_news_tag_rows(raw: DataFrame, news: DataFrame, tags: DataFrame, bridge: DataFrame) -> DataFrame:

@@ -81,15 +81,15 @@ def _unpack_day(packed: Column) -> Column:
     return F.date_from_unix_date((packed.bitwiseAND(F.lit((1 << _DAY_BITS) - 1)) - _DAY_SHIFT).cast("int"))
 
 
-def _measures(fact: DataFrame, as_of=None, compat: bool = True) -> DataFrame:
-    """Every measure per (category, source), unrounded (LongType)."""
+def _measures(day: DataFrame, as_of=None, compat: bool = True) -> DataFrame:
+    """Every measure per (category, source), unrounded (LongType), from day counts."""
     today = as_of_date(as_of)
     pub, n = F.col(PUB), F.col("n")
     dow = day_of_week(pub, compat)
     by_cat = Window.partitionBy(CAT)
     first_of_day = Window.partitionBy(CAT, PUB).orderBy(SRC)
     # One shuffle by category: both windows and the (category, source) aggregate below reuse it.
-    day = day_counts(fact).repartition(CAT)
+    day = day.repartition(CAT)
     day = day.select("*", ((F.row_number().over(first_of_day) == 1) & pub.isNotNull()).cast("long").alias("_new_day"))
     x = day.select(
         "*",
@@ -119,7 +119,7 @@ def _today_columns(m: DataFrame, compat: bool) -> tuple[Column, Column]:
 
 def today_counts(fact: DataFrame, as_of=None, compat: bool = True) -> DataFrame:
     """Per (category, source) the today columns of the mart."""
-    m = _measures(fact, as_of, compat)
+    m = _measures(day_counts(fact), as_of, compat)
     all_t, src_t = _today_columns(m, compat)
     return m.select(CAT, SRC, all_t.alias("all_source_count_category_news_today"),
                     src_t.alias("source_count_category_news_today"))
@@ -136,7 +136,14 @@ def mart(fact: DataFrame, as_of=None, compat: bool = True, tags: DataFrame | Non
     ``compat=False`` adds ``category_id``. With ``tags`` and ``sources`` the fact holds ids and
     the mart is given names (J9) before it is numbered.
     """
-    m = _measures(fact, as_of, compat)
+    return mart_from_days(day_counts(fact), as_of, compat, tags, sources)
+
+
+def mart_from_days(day: DataFrame, as_of=None, compat: bool = True, tags: DataFrame | None = None,
+                   sources: DataFrame | None = None) -> DataFrame:
+    """The mart from day counts ``category, source, published, n`` (one row per triple); the
+    counts may come from ``day_counts`` of a fact or from an accumulated per-load log."""
+    m = _measures(day, as_of, compat)
     if tags is not None and sources is not None:
         m = with_names(m, tags, sources)
     all_t, src_t = _today_columns(m, compat)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from feedmart.operators.core import core_fact, new_news_rows, new_news_tag_rows, new_sources, new_tags
 from feedmart.operators.ingest import classify, rejects, to_raw
-from feedmart.operators.mart import mart
+from feedmart.operators.mart import day_counts, mart, mart_from_days
 from feedmart.operators.normalise import category_normalise
 from feedmart.sources.rss import read_landing
 from feedmart.sources.store import Store
@@ -45,8 +45,10 @@ def load_raw(entries: DataFrame, store: Store, load_id: int, mode: str = "full",
     return store.read("raw_store", "news").where(F.col("load_id") == load_id)
 
 
-def load_core(raw: DataFrame, store: Store, compat: bool = True) -> None:
-    """Step 2: insert-if-absent of sources, tags, news (and news-tag pairs)."""
+def load_core(raw: DataFrame, store: Store, compat: bool = True, load_id: int | None = None) -> None:
+    """Step 2: insert-if-absent of sources, tags, news (and news-tag pairs); then the day
+    counts of the news this load added (``load_id``) replace that load's partition of
+    ``mart_store.news_days`` - recomputed from core, so a re-run after a failure repairs it."""
     store.append(new_sources(raw, store.read("core_store", "sources")), "core_store", "sources")
     store.append(new_tags(raw, store.read("core_store", "tags")), "core_store", "tags")
     store.append(new_news_rows(raw, store.read("core_store", "news"), store.read("core_store", "sources"),
@@ -54,14 +56,28 @@ def load_core(raw: DataFrame, store: Store, compat: bool = True) -> None:
     if not compat:
         store.append(new_news_tag_rows(raw, store.read("core_store", "news"), store.read("core_store", "tags"),
                                        store.read("core_store", "news_tags")), "core_store", "news_tags")
-
-
-def build_mart(store: Store, as_of=None, compat: bool = True) -> DataFrame:
-    """Step 3: rebuild the mart from core and return it as stored."""
-    news = store.read("core_store", "news")
-    bridge = None if compat else store.read("core_store", "news_tags")
-    m = mart(core_fact(news, bridge), as_of, compat, tags=store.read("core_store", "tags"),
-             sources=store.read("core_store", "sources"))
+    if load_id is not None:
+        added = store.read("core_store", "news").where(F.col("load_id") == load_id)
+        days = day_counts(core_fact(added)).withColumn("load_id", F.lit(load_id).cast("long"))
+        store.replace_partitions(days, "mart_store", "news_days")
+
+
+def build_mart(store: Store, as_of=None, compat: bool = True, from_log: bool | None = None) -> DataFrame:
+    """Step 3: rebuild the mart and return it as stored.
+
+    With ``compat`` (one tag per news item, so each news item adds to exactly one day count)
+    the mart is built from the accumulated day-count log: its size is categories x sources x
+    days, so a load does not rescan the history of core. Otherwise (and with ``from_log=False``)
+    it is built from the whole core: news items can gain tags in later loads."""
+    tags, sources = store.read("core_store", "tags"), store.read("core_store", "sources")
+    if compat if from_log is None else from_log:
+        log = store.read("mart_store", "news_days")
+        days = log.groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
+        m = mart_from_days(days, as_of, compat, tags=tags, sources=sources)
+    else:
+        news = store.read("core_store", "news")
+        bridge = None if compat else store.read("core_store", "news_tags")
+        m = mart(core_fact(news, bridge), as_of, compat, tags=tags, sources=sources)
     path = store.path("mart_store", "news")
     m.write.mode("overwrite").parquet(path)
     return store.spark.read.parquet(path)
@@ -78,7 +94,7 @@ def full_load(spark: SparkSession, landing: str, root: str, as_of=None, compat:
     """Every entry of the landing folder -> raw -> core -> mart. Returns the mart."""
     store = Store(spark, root).register()
     raw = load_raw(read_landing(spark, landing), store, load_id, "full", as_of, compat, mapping=mapping)
-    load_core(raw, store, compat)
+    load_core(raw, store, compat, load_id)
     return build_mart(store, as_of, compat)
 
 
@@ -89,5 +105,5 @@ def delta_load(spark: SparkSession, landing: str, root: str, as_of=None, compat:
     store = Store(spark, root).register()
     lid = _default_load_id(as_of) if load_id is None else load_id
     raw = load_raw(read_landing(spark, landing), store, lid, "delta", as_of, compat, on_bad_date, mapping)
-    load_core(raw, store, compat)
+    load_core(raw, store, compat, lid)
     return build_mart(store, as_of, compat)

@@ -37,8 +37,10 @@ REJECT = _struct(("id", S), ("title", S), ("source", S), ("pubDate", S), ("reaso
 SOURCES = _struct(("source_id", L), ("source_name", S))
 TAGS = _struct(("tag_id", L), ("tag_name", S))
 NEWS = _struct(("new_id", L), ("new_raw_id", S), ("title", S), ("link", S), ("summary", S),
-               ("new_published", D), ("source_id", L), ("tag_id", L))
+               ("new_published", D), ("source_id", L), ("tag_id", L), ("load_id", L))
 NEWS_TAGS = _struct(("new_id", L), ("tag_id", L))
+# News per (category, source, day) added by one load: additive because core is insert-only.
+NEWS_DAYS = _struct(("category", L), ("source", L), ("published", D), ("n", L), ("load_id", L))
 
 CORE_ATTRIBUTE_TABLES = {
     "news_ids": ["new_id", "new_raw_id"],

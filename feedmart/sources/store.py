@@ -29,8 +29,8 @@ TABLES = {
     "raw_store": {"news": (schemas.RAW, ["source", "load_id"]),
                   "rejects": (schemas.REJECT, ["load_id"])},
     "core_store": {"sources": (schemas.SOURCES, []), "tags": (schemas.TAGS, []),
-                   "news": (schemas.NEWS, []), "news_tags": (schemas.NEWS_TAGS, [])},
-    "mart_store": {"news": (schemas.MART, [])},
+                   "news": (schemas.NEWS, ["load_id"]), "news_tags": (schemas.NEWS_TAGS, [])},
+    "mart_store": {"news": (schemas.MART, []), "news_days": (schemas.NEWS_DAYS, ["load_id"])},
 }
 
 
@@ -81,6 +81,7 @@ class Store:
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
             self.spark.sql(self._ddl(layer, table, if_not_exists=False))
+            self._refresh(layer, table)
         self._bucketed_ready = True
 
     def path(self, layer: str, table: str) -> str:

@@ -40,8 +40,9 @@ def start_landing_load(spark: SparkSession, landing: str, root: str, checkpoint_
 
     def one_load(batch: DataFrame, batch_id: int) -> None:
         entries = batch.withColumn("entry_pos", F.monotonically_increasing_id())
-        raw = load_raw(entries, store, load_id_base + batch_id, mode, as_of, compat)
-        load_core(raw, store, compat)
+        load_id = load_id_base + batch_id
+        raw = load_raw(entries, store, load_id, mode, as_of, compat)
+        load_core(raw, store, compat, load_id)
         build_mart(store, as_of, compat)
 
     writer = (landing_stream(spark, landing).writeStream.foreachBatch(one_load)
