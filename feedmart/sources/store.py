@@ -16,6 +16,8 @@ owns the ``core_store`` names at a time.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,7 @@ class Store:
         self._wanted_buckets = buckets
         self._buckets: int | None = None
         self._bucketed_ready = False
+        self._db = "feedmart_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
     # -- bucketed tables -----------------------------------------------------------------------
     def buckets(self) -> int:
@@ -64,24 +67,29 @@ class Store:
             self._buckets = int(row.buckets)
         return self._buckets
 
-    def _ddl(self, layer: str, table: str, if_not_exists: bool) -> str:
+    def _private(self, layer: str, table: str) -> str:
+        """This store's own catalog name for a bucketed table: a database derived from the root,
+        so several stores in one session never read each other's tables."""
+        return f"{self._db}.{layer}__{table}"
+
+    def _ddl(self, layer: str, table: str, name: str, if_not_exists: bool) -> str:
         schema, parts = TABLES[layer][table]
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
         key = BUCKETED.get((layer, table))
         bucket = f" CLUSTERED BY ({key}) INTO {self.buckets()} BUCKETS" if key else ""
         ine = "IF NOT EXISTS " if if_not_exists else ""
-        return (f"CREATE TABLE {ine}{layer}.{table} ({cols}) USING parquet{part}{bucket} "
+        return (f"CREATE TABLE {ine}{name} ({cols}) USING parquet{part}{bucket} "
                 f"LOCATION '{self.path(layer, table)}'")
 
     def _ensure_bucketed(self) -> None:
         if self._bucketed_ready:
             return
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self._db}")
         for layer, table in BUCKETED:
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-            self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
-            self.spark.sql(self._ddl(layer, table, if_not_exists=False))
-            self._refresh(layer, table)
+            name = self._private(layer, table)
+            self.spark.sql(self._ddl(layer, table, name, if_not_exists=True))
+            self._refresh_name(name, layer, table)
         self._bucketed_ready = True
 
     def path(self, layer: str, table: str) -> str:
@@ -104,16 +112,17 @@ class Store:
         return self
 
     def register(self) -> "Store":
-        """K-ns / K-ddl: the three databases and every table in the session catalog, as external
-        tables over this store's folders (re-pointed if another store held the names)."""
+        """K-ns / K-ddl: the three databases and every table under the reference's names
+        (``raw_store.news``, ``core_store.news`` ...) in the session catalog, as external tables
+        over this store's folders (re-pointed if another store held the names). The library's
+        own reads of bucketed tables use the store's private names."""
         self._ensure_bucketed()
         for layer, tables in TABLES.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             for table in tables:
-                if (layer, table) not in BUCKETED:
-                    self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")
-                    self.spark.sql(self._ddl(layer, table, if_not_exists=False))
-                    self._refresh(layer, table)
+                self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
+                self.spark.sql(self._ddl(layer, table, f"{layer}.{table}", if_not_exists=False))
+                self._refresh_name(f"{layer}.{table}", layer, table)
         return self
 
     def exists(self, layer: str, table: str) -> bool:
@@ -129,7 +138,7 @@ class Store:
         schema = self.schema(layer, table)
         if (layer, table) in BUCKETED:
             self._ensure_bucketed()
-            return self.spark.table(f"{layer}.{table}").select(*[f.name for f in schema.fields])
+            return self.spark.table(self._private(layer, table)).select(*[f.name for f in schema.fields])
         try:
             df = self.spark.read.schema(schema).parquet(self.path(layer, table))
         except AnalysisException:
@@ -144,8 +153,8 @@ class Store:
             # one file per bucket and load: shuffle the new rows by the bucket key first
             self._ensure_bucketed()
             rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-            rows.repartition(self.buckets(), key).write.insertInto(f"{layer}.{table}")
-            self.spark.catalog.refreshTable(f"{layer}.{table}")
+            rows.repartition(self.buckets(), key).write.insertInto(self._private(layer, table))
+            self._refresh(layer, table)
             return
         w = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append")
         if parts:
@@ -167,13 +176,25 @@ class Store:
         self._refresh(layer, table)
 
     def _refresh(self, layer: str, table: str) -> None:
-        """Keep a registered table in step with files written by path (partitions are tracked
+        """Keep the catalog entries of a table in step with files written (partitions are tracked
         in the catalog, so new ones are recovered from the folder listing)."""
-        name = f"{layer}.{table}"
-        if self.spark.catalog.tableExists(name):
-            if TABLES[layer][table][1] and self.exists(layer, table):
-                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-            self.spark.catalog.refreshTable(name)
+        names = [f"{layer}.{table}"]
+        if (layer, table) in BUCKETED and self._bucketed_ready:
+            names.append(self._private(layer, table))
+        for name in names:
+            self._refresh_name(name, layer, table)
+
+    def _refresh_name(self, name: str, layer: str, table: str) -> None:
+        if not self.spark.catalog.tableExists(name):
+            return
+        if name == f"{layer}.{table}":
+            # the public name may belong to another store: only touch it if it is ours
+            loc = [r for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r[0] == "Location"]
+            if not loc or loc[0][1].rstrip("/").replace("file:", "") != self.path(layer, table).replace("file:", ""):
+                return
+        if TABLES[layer][table][1] and self.exists(layer, table):
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(name)
 
     # -- S3: raw-table discovery ---------------------------------------------------------------
     def raw_tables(self) -> DataFrame:

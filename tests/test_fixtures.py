@@ -137,3 +137,9 @@ def test_mart_from_day_log_equals_full_rebuild(spark, landing, tmp_path):
     rows_log = sorted(tuple(r) for r in from_log.collect())
     rows_core = sorted(tuple(r) for r in build_mart(s, "2023-08-22", from_log=False).select(*cols).collect())
     assert rows_log == rows_core and len(rows_log) > 0
+    # the deltas over those days hold the same dated news items as one full load
+    full_root = str(tmp_path / "full")
+    full_load(spark, landing, full_root, as_of="2023-08-22")
+    dated = {r.new_raw_id for r in Store(spark, full_root).read("core_store", "news")
+             .where(F.col("new_published").isNotNull()).collect()}
+    assert {r.new_raw_id for r in s.read("core_store", "news").collect()} == dated == {"", "http://a/1", "http://a/2"}

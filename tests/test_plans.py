@@ -77,7 +77,7 @@ def test_history_side_of_insert_if_absent_is_not_shuffled(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
     assert "Bucketed: true" in p
-    news_scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "core_store.news" in ln]
+    news_scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln and "core_store__news" in ln]
     assert news_scan, p
     assert fresh.count() == 0   # a second load of the same raw adds no news
 
