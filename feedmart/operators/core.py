@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedmart.functions.dates import raw_to_date
@@ -22,12 +22,17 @@ from feedmart.schemas import CORE_ATTRIBUTE_TABLES, RAW_ORDER
 def new_dimension_rows(raw: DataFrame, target: DataFrame, raw_col: str, id_col: str, name_col: str,
                        order: Sequence[str] = RAW_ORDER) -> DataFrame:
     """Names of ``raw_col`` not yet in ``target``, numbered after its largest id in order
-    of first appearance."""
+    of first appearance.
+
+    After the distinct step a load holds one row per new source or category name: the set is
+    bounded by the dimension's vocabulary, not by the number of news, so one ordered window
+    numbers it (each name's first raw row is a different row, so the order is total and the
+    numbering deterministic). The news keys, which grow with the data, use ``dense_ids``."""
     names = raw.select(F.col(raw_col).alias("_name"), *order)
     first = first_per_key(names, ["_name"], order)
     fresh = insert_if_absent(first, target, ["_name"], [name_col])
-    numbered = dense_ids(fresh, list(order), id_col, start=max_id(target, id_col))
-    return numbered.select(id_col, F.col("_name").alias(name_col))
+    rank = F.row_number().over(Window.orderBy(*[F.col(c) for c in order]))
+    return fresh.select((max_id(target, id_col) + rank).cast("long").alias(id_col), F.col("_name").alias(name_col))
 
 
 def new_sources(raw: DataFrame, sources: DataFrame, order: Sequence[str] = RAW_ORDER) -> DataFrame:

@@ -47,6 +47,7 @@ class Store:
         self._wanted_buckets = buckets
         self._buckets: int | None = None
         self._bucketed_ready = False
+        self._published = False
         self._db = "feedmart_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
     # -- bucketed tables -----------------------------------------------------------------------
@@ -123,6 +124,7 @@ class Store:
                 self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
                 self.spark.sql(self._ddl(layer, table, f"{layer}.{table}", if_not_exists=False))
                 self._refresh_name(f"{layer}.{table}", layer, table)
+        self._published = True
         return self
 
     def exists(self, layer: str, table: str) -> bool:
@@ -178,11 +180,11 @@ class Store:
     def _refresh(self, layer: str, table: str) -> None:
         """Keep the catalog entries of a table in step with files written (partitions are tracked
         in the catalog, so new ones are recovered from the folder listing)."""
-        names = [f"{layer}.{table}"]
         if (layer, table) in BUCKETED and self._bucketed_ready:
-            names.append(self._private(layer, table))
-        for name in names:
-            self._refresh_name(name, layer, table)
+            # written through insertInto, which keeps the catalog's partitions in step
+            self.spark.catalog.refreshTable(self._private(layer, table))
+        if self._published:
+            self._refresh_name(f"{layer}.{table}", layer, table)
 
     def _refresh_name(self, name: str, layer: str, table: str) -> None:
         if not self.spark.catalog.tableExists(name):
