@@ -107,7 +107,11 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     Parquet row group) before CPU-heavy per-row work; a large input is left as it is."""
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        splits = df.rdd.getNumPartitions()   # planning only: the scan's split count
+    except Exception:  # noqa: BLE001 - sessions without RDD access: always spread
+        splits = 0
+    if splits >= cores:
         return df
     return df.repartition(cores, key)
 
