@@ -55,7 +55,7 @@ def load_core(raw: DataFrame, store: Store, compat: bool = True, load_id: int |
                                store.read("core_store", "tags"), news_buckets=store.buckets()), "core_store", "news")
     if not compat:
         store.append(new_news_tag_rows(raw, store.read("core_store", "news"), store.read("core_store", "tags"),
-                                       store.read("core_store", "news_tags")), "core_store", "news_tags")
+                                       store.read("core_store", "news_tag_pairs")), "core_store", "news_tag_pairs")
     if load_id is not None:
         added = store.read("core_store", "news").where(F.col("load_id") == load_id)
         days = day_counts(core_fact(added)).withColumn("load_id", F.lit(load_id).cast("long"))
@@ -76,7 +76,7 @@ def build_mart(store: Store, as_of=None, compat: bool = True, from_log: bool | N
         m = mart_from_days(days, as_of, compat, tags=tags, sources=sources)
     else:
         news = store.read("core_store", "news")
-        bridge = None if compat else store.read("core_store", "news_tags")
+        bridge = None if compat else store.read("core_store", "news_tag_pairs")
         m = mart(core_fact(news, bridge), as_of, compat, tags=tags, sources=sources)
     path = store.path("mart_store", "news")
     m.write.mode("overwrite").parquet(path)

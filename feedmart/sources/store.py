@@ -6,7 +6,7 @@ load tomorrow) see the same data; ``register`` also exposes them in the session
 users (``raw_store.news``, ``core_store.news`` ...).
 
 The core news table grows with all history while a load brings one day, and every load anti-joins
-its ids against it. It is therefore bucketed by ``new_raw_id`` (the bridge ``news_tags`` by
+its ids against it. It is therefore bucketed by ``new_raw_id`` (the bridge ``news_tag_pairs`` by
 ``new_id``): the history side of those joins is read bucket by bucket with no shuffle, and only
 the day's keys are shuffled to match. Bucketing lives in the catalog, so the bucketed tables are
 (re-)registered as external tables over the store's folders by every Store; the bucket count is
@@ -31,13 +31,13 @@ TABLES = {
     "raw_store": {"news": (schemas.RAW, ["source", "load_id"]),
                   "rejects": (schemas.REJECT, ["load_id"])},
     "core_store": {"sources": (schemas.SOURCES, []), "tags": (schemas.TAGS, []),
-                   "news": (schemas.NEWS, ["load_id"]), "news_tags": (schemas.NEWS_TAGS, [])},
+                   "news": (schemas.NEWS, ["load_id"]), "news_tag_pairs": (schemas.NEWS_TAGS, [])},
     "mart_store": {"news": (schemas.MART, []), "news_days": (schemas.NEWS_DAYS, ["load_id"])},
 }
 
 
 # (layer, table) -> bucket column
-BUCKETED = {("core_store", "news"): "new_raw_id", ("core_store", "news_tags"): "new_id"}
+BUCKETED = {("core_store", "news"): "new_raw_id", ("core_store", "news_tag_pairs"): "new_id"}
 
 
 class Store:
@@ -115,8 +115,9 @@ class Store:
     def register(self) -> "Store":
         """K-ns / K-ddl: the three databases and every table under the reference's names
         (``raw_store.news``, ``core_store.news`` ...) in the session catalog, as external tables
-        over this store's folders (re-pointed if another store held the names). The library's
-        own reads of bucketed tables use the store's private names."""
+        over this store's folders (re-pointed if another store held the names), plus the
+        reference's seven one-attribute core tables (``core_store.news_ids``, ``news_tags`` ...)
+        as views. The library's own reads of bucketed tables use the store's private names."""
         self._ensure_bucketed()
         for layer, tables in TABLES.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
@@ -124,6 +125,10 @@ class Store:
                 self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
                 self.spark.sql(self._ddl(layer, table, f"{layer}.{table}", if_not_exists=False))
                 self._refresh_name(f"{layer}.{table}", layer, table)
+        # the reference's one-attribute core tables, as views over the wide news table
+        for name, cols in schemas.CORE_ATTRIBUTE_TABLES.items():
+            self.spark.sql(f"CREATE OR REPLACE VIEW core_store.{name} AS "
+                           f"SELECT {', '.join(cols)} FROM core_store.news")
         self._published = True
         return self
 

@@ -94,7 +94,7 @@ def test_full_load_corrected(spark, landing, tmp_path):
     s = Store(spark, root)
     assert _rows(s.read("raw_store", "rejects"), "title", "reason") == [
         ("A4", "no_category"), ("no guid 1", "no_guid"), ("no guid 2", "no_guid")]
-    pairs = (s.read("core_store", "news_tags").join(s.read("core_store", "news").select("new_id", "new_raw_id"), "new_id")
+    pairs = (s.read("core_store", "news_tag_pairs").join(s.read("core_store", "news").select("new_id", "new_raw_id"), "new_id")
              .join(s.read("core_store", "tags"), "tag_id"))
     assert _rows(pairs, "new_raw_id", "tag_name") == [
         ("http://a/1", "Economy"), ("http://a/1", "Politics"), ("http://a/1", "World"),
@@ -110,13 +110,23 @@ def test_full_load_corrected(spark, landing, tmp_path):
 def test_layers_are_catalog_tables(spark, landing, tmp_path):
     """After a load the reference's schemas are queryable with SQL (K-ns, K-ddl, S3)."""
     full_load(spark, landing, str(tmp_path / "store"), as_of="2023-08-22")
-    assert {t.name for t in spark.catalog.listTables("core_store")} >= {"news", "sources", "tags", "news_tags"}
+    assert {t.name for t in spark.catalog.listTables("core_store")} >= {"news", "sources", "tags", "news_tag_pairs", "news_ids", "news_tags",
+                                                                         "news_published_dates", "news_sources"}
     n = spark.sql("SELECT count(*) FROM raw_store.news WHERE source = 'tass_ru'").first()[0]
     assert n == 3
     got = spark.sql("""SELECT t.tag_name, count(*) AS n FROM core_store.news n JOIN core_store.tags t USING (tag_id)
                        GROUP BY t.tag_name""").collect()
     assert sorted((r.tag_name, r.n) for r in got) == [("Economy", 2), ("Sport", 2)]
     assert spark.sql("SELECT count(*) FROM mart_store.news").first()[0] == 3
+    # the reference's fact assembly, as it writes it, over the published core tables
+    fact = spark.sql("""
+        SELECT core_store.news_tags.tag_id AS category, core_store.news_sources.source_id AS source,
+               core_store.news_published_dates.new_published AS published
+        FROM core_store.news_ids n
+        LEFT JOIN core_store.news_tags ON n.new_id = core_store.news_tags.new_id
+        LEFT JOIN core_store.news_sources ON n.new_id = core_store.news_sources.new_id
+        LEFT JOIN core_store.news_published_dates ON n.new_id = core_store.news_published_dates.new_id""")
+    assert fact.count() == 4 and fact.where("published IS NULL").count() == 1
     assert sorted(r.table_name for r in Store(spark, str(tmp_path / "store")).raw_tables().collect()) == [
         "news_df_lenta_ru", "news_df_tass_ru"]
 
