@@ -103,15 +103,10 @@ def _order_fields(o: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that has fewer splits than the cluster has cores (a small table in one
-    Parquet row group) before CPU-heavy per-row work; a large input is left as it is."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    try:
-        splits = df.rdd.getNumPartitions()   # planning only: the scan's split count
-    except Exception:  # noqa: BLE001 - sessions without RDD access: always spread
-        splits = 0
-    if splits >= cores:
+    """Hash-spread a scan of fewer files than the cluster has cores (the driver's tables are
+    single small Parquet files) before CPU-heavy per-row work; a large input is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, key)
 
