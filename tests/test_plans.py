@@ -91,3 +91,20 @@ def test_load_reads_only_its_raw_partitions(spark, tmp_path):
     scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln][0]
     assert "PartitionFilters: [isnotnull(load_id" in scan and "(load_id" in scan
     assert "ReadSchema: struct<id:string,tags:string>" in scan
+
+
+def test_mart_names_join_dimensions_by_broadcast(spark, tmp_path):
+    """Names come from the dimension tables, broadcast from their file size."""
+    from feedmart.sources.store import Store
+    store = Store(spark, str(tmp_path / "store"), buckets=2)
+    raw = td.raw_events(spark, SF001)
+    store.append(core.new_sources(raw, store.read("core_store", "sources")), "core_store", "sources")
+    store.append(core.new_tags(raw, store.read("core_store", "tags")), "core_store", "tags")
+    store.append(core.new_news_rows(raw, store.read("core_store", "news"), store.read("core_store", "sources"),
+                                    store.read("core_store", "tags")), "core_store", "news")
+    m = mart.mart(core.core_fact(store.read("core_store", "news")), "2024-01-15",
+                  tags=store.read("core_store", "tags"), sources=store.read("core_store", "sources"))
+    p = _plan(m)
+    assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
+    from feedmart.plans.registered import q_mart_names
+    assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in q_mart_names(spark, SF001).collect())
