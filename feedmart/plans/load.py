@@ -42,6 +42,7 @@ def load_raw(entries: DataFrame, store: Store, load_id: int, mode: str = "full",
         store.replace_partitions(rejects(classified, load_id), "raw_store", "rejects")
     finally:
         classified.unpersist()
+    store.publish_raw_views()
     return store.read("raw_store", "news").where(F.col("load_id") == load_id)
 
 

@@ -203,6 +203,17 @@ class Store:
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
         self.spark.catalog.refreshTable(name)
 
+    def publish_raw_views(self) -> None:
+        """The reference's per-source raw tables, ``raw_store.news_df_<source>``, as views over
+        the partitioned raw table (published stores only). One statement per source: the list
+        is the sources dimension, a handful of names."""
+        if not self._published:
+            return
+        for row in self.raw_tables().collect():
+            self.spark.sql(f"CREATE OR REPLACE VIEW raw_store.`{row.table_name}` AS "
+                           f"SELECT title, link, id, summary, tags, source, published FROM raw_store.news "
+                           f"WHERE source = '{row.source.replace(chr(39), chr(39) * 2)}'")
+
     # -- S3: raw-table discovery ---------------------------------------------------------------
     def raw_tables(self) -> DataFrame:
         """One row per source present in raw, named as the reference names its per-source raw

@@ -129,6 +129,10 @@ def test_layers_are_catalog_tables(spark, landing, tmp_path):
     assert fact.count() == 4 and fact.where("published IS NULL").count() == 1
     assert sorted(r.table_name for r in Store(spark, str(tmp_path / "store")).raw_tables().collect()) == [
         "news_df_lenta_ru", "news_df_tass_ru"]
+    # the reference's per-source raw tables, found the way it finds them (by name prefix)
+    assert sorted(t.name for t in spark.catalog.listTables("raw_store", "news_df_*")) == [
+        "news_df_lenta_ru", "news_df_tass_ru"]
+    assert spark.sql("SELECT count(*) FROM raw_store.news_df_tass_ru").first()[0] == 3
 
 
 def test_mart_from_day_log_equals_full_rebuild(spark, landing, tmp_path):
