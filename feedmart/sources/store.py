@@ -8,10 +8,11 @@ users (``raw_store.news``, ``core_store.news`` ...).
 The core news table grows with all history while a load brings one day, and every load anti-joins
 its ids against it. It is therefore bucketed by ``new_raw_id`` (the bridge ``news_tag_pairs`` by
 ``new_id``): the history side of those joins is read bucket by bucket with no shuffle, and only
-the day's keys are shuffled to match. Bucketing lives in the catalog, so the bucketed tables are
-(re-)registered as external tables over the store's folders by every Store; the bucket count is
-fixed when a store is first written and kept in ``core_store/_layout``. One store per session
-owns the ``core_store`` names at a time.
+the day's keys are shuffled to match. Bucketing lives in the catalog, so every Store registers its
+bucketed tables as external tables over its folders under a private database derived from its
+root (several stores in one session never see each other's tables); the bucket count is fixed
+when a store is first written and kept in ``core_store/_layout``. ``register`` publishes the
+reference's names; the last store to call it owns them.
 """
 
 from __future__ import annotations
