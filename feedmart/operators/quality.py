@@ -77,7 +77,27 @@ def check_store(store) -> DataFrame:
         parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit("foreign key").alias("check"), F.lit(child).alias("table"),
             F.lit(f"{fk} -> {parent}.{pk}").alias("columns"), "violations"))
+    parts.append(check_day_log(store).agg(F.count(F.lit(1)).alias("violations")).select(
+        F.lit("derived").alias("check"), F.lit("mart_store.news_days").alias("table"),
+        F.lit("sum(n) per category, source, day = core").alias("columns"), "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def check_day_log(store) -> DataFrame:
+    """The per-load day-count log, summed, against day counts recomputed from the whole core
+    (first tag per news item): the (category, source, day) triples where they differ. A full
+    outer join on the triple (NULL days match NULL days), both sides pre-aggregated."""
+    from feedmart.operators.core import core_fact
+    from feedmart.operators.mart import day_counts
+    keys = ["category", "source", "published"]
+    log = store.read("mart_store", "news_days").groupBy(*keys).agg(F.sum("n").alias("n_log"))
+    core = day_counts(core_fact(store.read("core_store", "news"))).withColumnRenamed("n", "n_core")
+    cond = None
+    for k in keys:
+        c = log[k].eqNullSafe(core[k])
+        cond = c if cond is None else cond & c
+    joined = log.join(core, cond, "full_outer")
+    return joined.where(~F.coalesce(F.col("n_log"), F.lit(0)).eqNullSafe(F.coalesce(F.col("n_core"), F.lit(0))))
