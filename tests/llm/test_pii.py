@@ -1,0 +1,88 @@
+import re
+from hashlib import sha256
+
+import pytest
+
+from feedmart.llm import pii, queries
+from feedmart.llm.common import table
+
+# The base patterns of the contract.
+EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"
+IP = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+CARD = r"[0-9]([\x20-]?[0-9])+"
+PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+
+
+def _luhn(d):
+    total = 0
+    for i, c in enumerate(reversed(d)):
+        v = int(c) * (1 + i % 2)
+        total += v - 9 if v > 9 else v
+    return total % 10 == 0
+
+
+def _digits(s):
+    return re.sub("[^0-9]", "", s)
+
+
+def _base(text):
+    tests = [("email", EMAIL, lambda s: True), ("ip", IP, lambda s: all(int(p) <= 255 for p in s.split("."))),
+             ("card", CARD, lambda s: 14 <= len(_digits(s)) <= 19 and _luhn(_digits(s))),
+             ("phone", PHONE, lambda s: 10 <= len(_digits(s)) <= 15)]
+    spans = [(m.start(), k, m.end(), name) for k, (name, p, ok) in enumerate(tests) for m in re.finditer(p, text) if ok(m[0])]
+    return sorted(spans)
+
+
+def _row(doc_id, text):
+    spans = _base(text or "")
+    n = [sum(s[1] == k for s in spans) for k in range(4)]
+    return (doc_id, *n, sha256(",".join(f"{s[3]}:{s[0]}:{s[2]}" for s in spans).encode()).hexdigest())
+
+
+TRICKY = [
+    "a@b@c.com a@b.com.x_y@z.org .@a.b %+-@x-.y", "1.2.3.4.5.6.7.8 1.2.3 300.1.1.1 255.255.255.255 0001.02.3.4 1..2.3.4",
+    "4111 1111 1111 1111 4111-1111-1111-1111 4111111111111112 4111111111111111 12 34", "5 5 5  5 5-5--5",
+    "+1 (324) 555-7117 +12 +1234567890123456 +1.2.3.4 ++49 30 1234567890)", "é日🎉 x@y.zz 🎉 +49 30 123456789 日 10.0.0.1",
+    "IBAN GB82 WEST 1234 5698 7654 32 and DE89370400440532013000 but GB82 WEST 1234 5698 7654 33",
+    "call (324) 555-7117 now; row 324 555 7117; SSN 078-05-1120; part 078-05-1120 x", "9" * 50_000, "a" * 50_000 + "@b.co",
+    "1 " * 20_000, "1." * 20_000, "x@y.zz " * 700, None, "", "+", "@",
+]
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").collect()
+    want = sorted(_row(r.doc_id, r.text) for r in rows)
+    assert sum(r[1] + r[2] + r[3] + r[4] for r in want) > 0
+    assert sorted(tuple(r)[:6] for r in queries.op9_pii(spark, sf_dir).collect()) == want
+
+
+@pytest.fixture(scope="module")
+def tricky(spark):
+    return spark.createDataFrame([(i, t, "x", 0) for i, t in enumerate(TRICKY)], "doc_id long, text string, pii string, spans int")
+
+
+def test_tricky_texts(tricky, edge_docs, no_docs):
+    got = pii.digest(tricky).orderBy("doc_id").collect()
+    for r, t in zip(got, TRICKY):
+        assert tuple(r)[:6] == _row(r.doc_id, t), t and t[:80]
+    assert sorted((tuple(r)[:6] for r in pii.digest(edge_docs).collect()), key=str) == sorted((_row(r.doc_id, r.text) for r in edge_docs.collect()), key=str)
+    assert pii.digest(no_docs).count() == 0
+
+
+def test_method_adds_confirmed_spans(tricky):
+    spans = {r.doc_id: r.spans for r in pii.digest(tricky).collect()}
+    ibans = [s for s in spans[6].split(",") if s.startswith("iban")]
+    assert [TRICKY[6][int(s.split(":")[1]):int(s.split(":")[2])] for s in ibans] == ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"]
+    near = [TRICKY[7][int(a):int(b)] for k, a, b in (s.split(":") for s in spans[7].split(",")) if k in ("local", "ssn")]
+    assert near == ["(324) 555-7117", "078-05-1120", "078-05-1120"] or near == ["(324) 555-7117", "078-05-1120"]
+
+
+def test_redaction(tricky):
+    out = pii.redact(tricky, length_col=None)
+    assert out.columns == tricky.columns
+    text = {r.doc_id: r.text for r in out.collect()}
+    assert text[5] == "é日🎉 [EMAIL] 🎉 [PHONE] 日 [IP]"
+    assert text[13] is None and text[14] == "" and text[8] == TRICKY[8]
+    assert text[12] == "[EMAIL] " * 700
+    again = pii.digest(out).collect()
+    assert sum(r.n_email + r.n_card + r.n_phone for r in again) == 0
