@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,18 @@ def short_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, n: int):
+    """Arrow batches of ``n`` rows for what runs inside the block."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut and later passes don't recompute it.
 
@@ -55,5 +69,5 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total:
     return hot.unionByName(cold.join(light, key, "left"))
 
 
-__all__ = ["ARROW_ROWS", "HEAVY_SHARE", "join_groups", "let", "scratch_path", "short_batches", "shuffle_partitions",
+__all__ = ["ARROW_ROWS", "HEAVY_SHARE", "batch_rows", "join_groups", "let", "scratch_path", "short_batches", "shuffle_partitions",
            "staged", "table"]

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, pii, token_counts
-from .common import table
+from . import bpe, exact_dedup, fingerprints, html_extract, packing, pii, quality, token_counts, warc
+from .common import scratch_path, table
 
 
 def tokenizer_path(name: str) -> str:
@@ -16,6 +16,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path)
+    out = warc.resolve(warc.read(spark, path))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
@@ -24,6 +39,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -33,11 +52,21 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extract": op2_html_extract,
+    "op3_warc": op3_warc,
+    "op4_packing": op4_packing,
     "op5_bpe": op5_bpe,
     "op6_token_counts": op6_token_counts,
+    "op7_fingerprints": op7_fingerprints,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
+    "op10_quality": op10_quality,
 }
 
 ORACLE: dict[str, str] = {
