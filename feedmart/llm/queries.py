@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, fingerprints, html_extract, packing, pii, quality, token_counts, warc
+from . import bpe, exact_dedup, fingerprints, html_extract, ngram_join, packing, pii, quality, token_counts, warc
 from .common import scratch_path, table
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"))
 
@@ -58,6 +62,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_html_extract": op2_html_extract,
     "op3_warc": op3_warc,
     "op4_packing": op4_packing,
