@@ -1,0 +1,83 @@
+import re
+from collections import namedtuple
+
+import pytest
+
+import corpus_pipeline
+from feedmart.llm import pii, quality, queries
+from feedmart.llm.common import staged, table
+from test_ngram_join import _brute as near_groups
+from test_packing import JSON, _check
+from test_pii import _base
+
+tokenizers = pytest.importorskip("tokenizers")
+Doc = namedtuple("Doc", "doc_id text lang source n_chars")
+
+
+def _exact(docs):
+    best = {}
+    for d in docs:
+        key = re.sub("[\x20\x09-\x0d]", "", d.text)
+        if key not in best or (-len(d.text), d.doc_id) < (-len(best[key].text), best[key].doc_id):
+            best[key] = d
+    return sorted(best.values())
+
+
+def _near(docs):
+    keep = {r[0] for r in near_groups([(d.doc_id, d.text) for d in docs], 5, 80, 100) if r[0] == r[2]}
+    return [d for d in docs if d.doc_id in keep]
+
+
+def _redacted(d):
+    out, end = [], 0
+    for start, _, stop, kind in _base(d.text):
+        if start >= end:
+            out += [d.text[end:start], f"[{kind.upper()}]"]
+        end = max(end, stop)
+    text = "".join(out) + d.text[end:]
+    return d._replace(text=text, n_chars=len(text))
+
+
+def test_stages_equal_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = table(spark, sf, "documents")
+    columns = docs.columns
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "exact_dedup", "near_dedup", "pii", "packing"]
+    machine = quality.fit(docs, table(spark, sf, "labels"))
+    want = [Doc(*r) for r in docs.select(*Doc._fields).collect()]
+    tests = [lambda ds: [d for d in ds if machine.score(d.text) >= quality.THRESHOLD], _exact, _near, lambda ds: [_redacted(d) for d in ds]]
+    for (name, stage), brute in zip(corpus_pipeline.STAGES[:-1], tests):
+        before, docs = docs, staged(stage(spark, docs, sf), f"test-{name}")
+        want = sorted(brute(want))
+        assert docs.columns == columns and docs.schema == before.schema
+        got = sorted(Doc(*r) for r in docs.select(*Doc._fields).collect())
+        if name == "pii":  # the method may add spans to those of the base patterns
+            base = {d.doc_id for d in want}
+            assert {d.doc_id for d in got} == base and sum(a == b for a, b in zip(got, want)) >= 0.98 * len(want)
+            want = got
+        assert got == want, name
+        assert len(want) > 100
+    rows = corpus_pipeline.STAGES[-1][1](spark, docs, sf).collect()
+    _check(rows, [(d.doc_id, d.text) for d in want], tokenizers.Tokenizer.from_file(JSON))
+    assert {d.doc_id for d in want} == {r.doc_id for r in rows}
+
+
+def test_run_on_small_tables(spark, sf_dir):
+    rows = corpus_pipeline.run(spark, sf_dir).collect()
+    assert rows and set(rows[0].asDict()) >= {"doc_id", "piece", "start", "length", "sequence_id", "offset"}
+
+
+def test_stages_on_odd_rows(spark, edge_docs, no_docs, sf_dir):
+    for docs in (edge_docs, no_docs):
+        columns, kept = docs.columns, docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            kept = staged(stage(spark, kept, sf_dir), "odd")
+            assert kept.columns == columns
+        assert corpus_pipeline.STAGES[-1][1](spark, kept, sf_dir).count() >= kept.count()
+
+
+def test_queries_are_registered():
+    import __spark_entry__ as entry
+    names = [f"op{n}_" for n in range(1, 11)]
+    assert all(sum(q.startswith(n) for q in entry.queries()) == 1 for n in names) and "pipeline" in entry.queries()
+    assert set(queries.ORACLE) <= set(queries.QUERIES) and pii.KIND_NAMES[:4] == ["email", "ip", "card", "phone"]
