@@ -24,7 +24,12 @@ def split_categories(col) -> Column:
 
 def source_from_path(col) -> Column:
     """The source is the name of the folder that holds the feed file. A Hive-style folder
-    ``source=<name>`` (as written by a partitioned writer) gives ``<name>``."""
+    ``source=<name>`` (as written by a partitioned writer) gives ``<name>``.
+
+    The file path of the metadata is a URI, so blanks, percent signs and other characters in it are
+    percent-encoded and are decoded here; a plus sign stands for itself. A partitioned writer escapes
+    some characters in folder names as well; these are decoded a second time, as its reader does."""
     c = F.col(col) if isinstance(col, str) else col
-    folder = F.regexp_extract(c, r"([^/]+)/[^/]+$", 1)
-    return F.regexp_replace(folder, r"^source=", "")
+    decoded = F.try_url_decode(F.replace(F.regexp_extract(c, r"([^/]+)/[^/]+$", 1), F.lit("+"), F.lit("%2B")))
+    written = F.try_url_decode(F.replace(F.regexp_replace(decoded, r"^source=", ""), F.lit("+"), F.lit("%2B")))
+    return F.when(F.startswith(decoded, F.lit("source=")), written).otherwise(decoded)

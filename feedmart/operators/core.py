@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedmart.functions.dates import raw_to_date
@@ -22,17 +22,12 @@ from feedmart.schemas import CORE_ATTRIBUTE_TABLES, RAW_ORDER
 def new_dimension_rows(raw: DataFrame, target: DataFrame, raw_col: str, id_col: str, name_col: str,
                        order: Sequence[str] = RAW_ORDER) -> DataFrame:
     """Names of ``raw_col`` not yet in ``target``, numbered after its largest id in order
-    of first appearance.
-
-    After the distinct step a load holds one row per new source or category name: the set is
-    bounded by the dimension's vocabulary, not by the number of news, so one ordered window
-    numbers it (each name's first raw row is a different row, so the order is total and the
-    numbering deterministic). The news keys, which grow with the data, use ``dense_ids``."""
+    of first appearance. Category names are free text, so they are numbered like the news keys."""
     names = raw.select(F.col(raw_col).alias("_name"), *order)
     first = first_per_key(names, ["_name"], order)
     fresh = insert_if_absent(first, target, ["_name"], [name_col])
-    rank = F.row_number().over(Window.orderBy(*[F.col(c) for c in order]))
-    return fresh.select((max_id(target, id_col) + rank).cast("long").alias(id_col), F.col("_name").alias(name_col))
+    numbered = dense_ids(fresh, list(order), id_col, start=max_id(target, id_col))
+    return numbered.select(id_col, F.col("_name").alias(name_col))
 
 
 def new_sources(raw: DataFrame, sources: DataFrame, order: Sequence[str] = RAW_ORDER) -> DataFrame:
@@ -60,29 +55,43 @@ def lookup_tag_id(df: DataFrame, tags: DataFrame, col: str = "tags") -> DataFram
 
 
 def new_news_rows(raw: DataFrame, news: DataFrame, sources: DataFrame, tags: DataFrame,
-                  order: Sequence[str] = RAW_ORDER, news_buckets: int | None = None) -> DataFrame:
-    """D3-D9 in one pass: raw ids not in ``news`` yet, each with the attributes of its first raw
-    row (first writer wins), a new surrogate key, its source and first tag as ids, and the load
-    that brought it.
+                  order: Sequence[str] = RAW_ORDER, news_buckets: int | None = None,
+                  last_id: int | None = None) -> DataFrame:
+    """Raw ids not in ``news`` yet, each with the attributes of its first raw row (first writer
+    wins), a new surrogate key, its source and first tag as ids, and the load that brought it.
 
     ``sources`` and ``tags`` must already hold every name of ``raw`` (load them first).
-    ``news_buckets``: bucket count of ``news`` by ``new_raw_id`` (see ``insert_if_absent``)."""
+    ``news_buckets``: bucket count of ``news`` by ``new_raw_id`` (see ``insert_if_absent``).
+    ``last_id``: largest ``new_id`` given out, if the caller knows it; else ``news`` is read for it.
+
+    Only ids and order columns are sorted and numbered; the wide attributes move once, by id."""
+    fresh = insert_if_absent(first_per_key(raw, ["id"], order), news, ["id"], ["new_raw_id"], news_buckets)
+    start = max_id(news, "new_id") if last_id is None else last_id
+    ids = dense_ids(fresh, list(order), "new_id", start=start).select("id", "new_id")
     first = first_per_key(raw, ["id"], order, ["title", "link", "summary", "published", "source", "tags"])
-    fresh = insert_if_absent(first, news, ["id"], ["new_raw_id"], news_buckets)
-    numbered = dense_ids(fresh, list(order), "new_id", start=max_id(news, "new_id"))
-    named = lookup_tag_id(lookup_source_id(numbered, sources), tags)
+    named = lookup_tag_id(lookup_source_id(first.join(ids, "id"), sources), tags)
     return named.select("new_id", F.col("id").alias("new_raw_id"), "title", "link", "summary",
                         raw_to_date(F.col("published")).alias("new_published"), "source_id", "tag_id",
                         "load_id")
 
 
-def new_news_tag_rows(raw: DataFrame, news: DataFrame, tags: DataFrame, bridge: DataFrame) -> DataFrame:
+def new_news_tag_rows(raw: DataFrame, news: DataFrame, tags: DataFrame, bridge: DataFrame,
+                      buckets: int | None = None) -> DataFrame:
     """compat=False: every (news, tag) pair of raw not yet in the bridge table (the reference keys
-    ``news_tags`` by news alone and so keeps only the first tag)."""
-    pairs = raw.select("id", "tags").distinct()
-    keyed = lookup_tag_id(lookup_news_id(pairs, news), tags).select("new_id", "tag_id")
-    return insert_if_absent(keyed.where(F.col("new_id").isNotNull() & F.col("tag_id").isNotNull()),
-                            bridge, ["new_id", "tag_id"])
+    ``news_tags`` by news alone and so keeps only the first tag), with the news item's source and date and
+    the first load that brought the pair.
+
+    ``news`` and ``bridge`` are bucketed by the raw id into ``buckets``: both joins are on that id, so only
+    this load's pairs are shuffled. The bridge is gathered to one row of tag ids per news item, inside its buckets."""
+    pairs = lookup_tag_id(raw.groupBy("id", "tags").agg(F.min("load_id").alias("load_id")), tags)
+    pairs = pairs.where(F.col("tag_id").isNotNull()).select(F.col("id").alias("new_raw_id"), "tag_id", "load_id")
+    if buckets:
+        pairs = pairs.repartition(buckets, "new_raw_id")
+    held = bridge.groupBy("new_raw_id").agg(F.collect_set("tag_id").alias("_held"))
+    rows = pairs.join(news.select("new_raw_id", "new_id", "source_id", "new_published"), "new_raw_id", "left")
+    rows = rows.join(held, "new_raw_id", "left")
+    fresh = rows.where(F.col("new_id").isNotNull() & ~F.coalesce(F.array_contains("_held", F.col("tag_id")), F.lit(False)))
+    return fresh.select("new_raw_id", "new_id", "tag_id", "load_id", "source_id", "new_published")
 
 
 def attribute_table(news: DataFrame, name: str) -> DataFrame:
@@ -91,14 +100,13 @@ def attribute_table(news: DataFrame, name: str) -> DataFrame:
 
 
 def core_fact(news: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
-    """J4 + A1: one fact row per news item (per news item and tag with a bridge table):
-    ``new_id, category (tag_id), source (source_id), published``."""
-    base = news.select("new_id", F.col("source_id").alias("source"), F.col("new_published").alias("published"),
+    """J4 on the wide table: one fact row per news item (per news item and tag with a bridge table, joined
+    on the raw id by which both are bucketed): ``new_id, category (tag_id), source (source_id), published``."""
+    base = news.select("new_raw_id", "new_id", F.col("source_id").alias("source"), F.col("new_published").alias("published"),
                        F.col("tag_id").alias("category"))
-    if bridge is None:
-        return base.select("new_id", "category", "source", "published")
-    return (base.drop("category").join(bridge.select("new_id", F.col("tag_id").alias("category")), "new_id", "left")
-            .select("new_id", "category", "source", "published"))
+    if bridge is not None:
+        base = base.drop("category").join(bridge.select("new_raw_id", F.col("tag_id").alias("category")), "new_raw_id", "left")
+    return base.select("new_id", "category", "source", "published")
 
 
 def assemble_fact(news_ids: DataFrame, news_tags: DataFrame, news_sources: DataFrame,
@@ -109,5 +117,4 @@ def assemble_fact(news_ids: DataFrame, news_tags: DataFrame, news_sources: DataF
          .join(news_tags.select("new_id", F.col("tag_id").alias("category")), "new_id", "left")
          .join(news_sources.select("new_id", F.col("source_id").alias("source")), "new_id", "left")
          .join(news_published_dates.select("new_id", F.col("new_published").alias("published")), "new_id", "left"))
-    return f.select("new_id", "category", "source", "published",
-                    F.when(F.col("source").isNotNull(), 1).otherwise(0).cast("long").alias("source_count"))
+    return f.groupBy("new_id", "category", "source", "published").agg(F.count("source").alias("source_count"))

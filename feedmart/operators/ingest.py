@@ -11,14 +11,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedmart.functions.dates import as_of_date, parse_pubdate, parse_pubdate_lenient, previous_day
+from feedmart.functions.dates import parse_pubdate, parse_pubdate_lenient, previous_day
 from feedmart.functions.text import default_fill, split_categories
-from feedmart.schemas import RAW
+from feedmart.schemas import ACCEPTED, CORRUPT, ENTRIES, RAW, REJECT, REJECTED
 
 # Reasons recorded for rejected entries.
 NO_CATEGORY = "no_category"
 NO_GUID = "no_guid"
 BAD_DATE = "bad_date"
+MALFORMED = "malformed"
 OUT_OF_WINDOW = "out_of_window"  # not a reject: a delta load takes one day only
 
 
@@ -59,6 +60,10 @@ def classify(entries: DataFrame, mode: str = "full", as_of=None, compat: bool =
         raise ValueError(f"mode must be 'full' or 'delta', not {mode!r}")
     if not compat:
         reason = reason.when(F.col("id") == "", F.lit(NO_GUID))
+    if CORRUPT in entries.columns:
+        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+    else:
+        e = e.withColumn(CORRUPT, F.lit(None).cast("string"))
     return e.withColumn("reason", reason)
 
 
@@ -76,17 +81,18 @@ def to_raw(classified: DataFrame, load_id: int) -> DataFrame:
 
 
 def rejects(classified: DataFrame, load_id: int) -> DataFrame:
-    """Entries of this load that were refused, with the reason."""
+    """Entries of this load that were refused, with the reason (and the text of malformed ones)."""
     bad = classified.where(F.col("reason").isNotNull() & (F.col("reason") != OUT_OF_WINDOW))
-    return bad.select("id", "title", "source", "pubDate", "reason",
-                      F.lit(load_id).cast("long").alias("load_id"), "file_path", "entry_pos")
-
-
-def delta_filter(entries: DataFrame, as_of=None) -> DataFrame:
-    """entries published on the day before ``as_of`` (default: yesterday)."""
-    return entries.where(parse_pubdate(F.col("pubDate")) == previous_day(as_of))
-
-
-def today_filter(df: DataFrame, as_of=None, col: str = "published") -> DataFrame:
-    """rows published on ``as_of`` (default: today)."""
-    return df.where(F.col(col) == as_of_date(as_of))
+    bad = bad.withColumn("load_id", F.lit(load_id).cast("long")).withColumn("raw_text", F.col(CORRUPT))
+    return bad.select(*REJECT.fieldNames())
+
+
+def to_entries(classified: DataFrame, load_id: int) -> DataFrame:
+    """Raw rows and rejects of one load in one pass: an accepted entry gives a row per category piece, a
+    rejected one a single row."""
+    kept = classified.where(F.col("reason").isNull() | (F.col("reason") != OUT_OF_WINDOW))
+    pieces = F.when(F.col("reason").isNull(), split_categories("category")).otherwise(F.array(F.lit(None).cast("string")))
+    rows = (kept.select("*", F.posexplode(pieces).alias("tag_pos", "tags"))
+            .withColumn("load_id", F.lit(load_id)).withColumn("raw_text", F.col(CORRUPT))
+            .withColumn("status", F.when(F.col("reason").isNull(), ACCEPTED).otherwise(REJECTED)))
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in ENTRIES.fields])

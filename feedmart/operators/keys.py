@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmart.session import ensure_checkpoint_dir
+from feedmart.session import materialise
 
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id = partition index << 33 | row number
 
@@ -66,23 +66,20 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, start: Column |
               num_partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = start + 1, start + 2, ... following ``order`` (ties broken arbitrarily).
 
-    The numbered rows are checkpointed (reliable checkpoint in the shared folder) before the
-    partition sizes are taken, so that both uses see one and the same range partitioning even if
-    an executor is lost and tasks are re-run.
+    The numbered rows are written to the scratch folder before the partition sizes are taken, so that both
+    uses see one and the same range partitioning even if an executor is lost and tasks are re-run.
+    Pass keys and order columns only and join the ids back: ``df`` is written as it is.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     order_cols = [F.col(c) for c in order]
     # Without an explicit count AQE may merge small range partitions; it only merges adjacent
     # ones, so partition order still follows the order key.
     ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
-    numbered = (ranged
-                .sortWithinPartitions(*order_cols)
-                .withColumn("_mono", F.monotonically_increasing_id())
-                .withColumn("_part", F.shiftright(F.col("_mono"), 33))
-                .withColumn("_row", F.col("_mono").bitwiseAND(F.lit(_LOW_BITS)))
-                .drop("_mono")
-                .checkpoint(eager=True))
+    numbered = materialise(
+        ranged.sortWithinPartitions(*order_cols)
+        .withColumn("_mono", F.monotonically_increasing_id())
+        .withColumn("_part", F.shiftright(F.col("_mono"), 33))
+        .withColumn("_row", F.col("_mono").bitwiseAND(F.lit(_LOW_BITS)))
+        .drop("_mono"), "numbered")
     sizes = numbered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select("_part", F.coalesce(
         F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),

@@ -2,10 +2,9 @@
 
 Plan of ``mart``: the fact is reduced once to day counts ``n`` per (category, source, day) by a
 hash aggregate with map-side partial aggregation - the only step whose cost grows with the number
-of news items, and the one that absorbs hot keys. The day table is then shuffled once by category;
-category-wide measures are window sums over it (its rows per category are bounded by sources x
-calendar days, not by the data volume), and the per-(category, source) measures are an aggregate
-that reuses the same partitioning (no further shuffle). No self-join, no fan-out join.
+of news items, and the one that absorbs hot keys. The rest is aggregates of the day table: per
+category over its days, and per (category, source); the category rows are joined to the pairs. No
+window over a category, no fan-out join.
 
 ``compat=True`` reproduces the reference exactly (see the notes in ``mart``); ``compat=False``
 gives the measures as the task words them.
@@ -13,10 +12,11 @@ gives the measures as the task words them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedmart.functions.dates import as_of_date, day_of_week
+from feedmart.operators.keys import dense_ids
 from feedmart.schemas import MART_COUNT_COLUMNS, WEEKDAYS
 
 CAT, SRC, PUB = "category", "source", "published"
@@ -82,30 +82,23 @@ def _unpack_day(packed: Column) -> Column:
 
 
 def _measures(day: DataFrame, as_of=None, compat: bool = True) -> DataFrame:
-    """Every measure per (category, source), unrounded (LongType), from day counts."""
+    """Every measure per (category, source), unrounded (LongType), from day counts.
+
+    Two levels: day counts are summed per (category, day) and those per category, so that a category
+    which holds most news never meets in one task; per (category, source) they are summed directly. The
+    category rows, one each, are joined to the pairs (broadcast once their shuffle has measured them)."""
     today = as_of_date(as_of)
     pub, n = F.col(PUB), F.col("n")
     dow = day_of_week(pub, compat)
-    by_cat = Window.partitionBy(CAT)
-    first_of_day = Window.partitionBy(CAT, PUB).orderBy(SRC)
-    # One shuffle by category: both windows and the (category, source) aggregate below reuse it.
-    day = day.repartition(CAT)
-    day = day.select("*", ((F.row_number().over(first_of_day) == 1) & pub.isNotNull()).cast("long").alias("_new_day"))
-    x = day.select(
-        "*",
-        F.sum(n).over(by_cat).alias("_all"),
-        F.sum("_new_day").over(by_cat).alias("_days"),
-        F.sum(F.when(pub == today, n).otherwise(0)).over(by_cat).alias("_all_today"),
-        *[F.sum(F.when(dow == k, n).otherwise(0)).over(by_cat).alias(f"_wk{k}") for k in range(1, 8)])
-    return x.groupBy(CAT, SRC).agg(
-        F.max("_all").alias("all_n"),
-        F.sum(n).alias("src_n"),
-        F.max("_all_today").alias("all_today"),
-        F.sum(F.when(pub == today, n).otherwise(0)).alias("src_today"),
-        F.max("_days").alias("n_days"),
-        F.max(_pack_day(n, pub)).alias("_busiest"),
-        *[F.max(f"_wk{k}").alias(f"amount_news_{d}") for k, d in enumerate(WEEKDAYS, start=1)]) \
-        .withColumn("max_news_date", _unpack_day(F.col("_busiest"))).drop("_busiest")
+    by_day = day.groupBy(CAT, PUB).agg(F.sum("n").alias("n"))
+    by_cat = by_day.groupBy(F.col(CAT).alias("_cat")).agg(
+        F.sum(n).alias("all_n"), F.count(pub).alias("n_days"),
+        F.sum(F.when(pub == today, n).otherwise(0)).alias("all_today"), *_weekday_sums(dow, n))
+    by_pair = day.groupBy(CAT, SRC).agg(
+        F.sum(n).alias("src_n"), F.sum(F.when(pub == today, n).otherwise(0)).alias("src_today"),
+        F.max(_pack_day(n, pub)).alias("_busiest"))
+    joined = by_pair.join(by_cat, F.col(CAT).eqNullSafe(F.col("_cat")))
+    return joined.withColumn("max_news_date", _unpack_day(F.col("_busiest"))).drop("_busiest", "_cat")
 
 
 def _today_columns(m: DataFrame, compat: bool) -> tuple[Column, Column]:
@@ -133,7 +126,7 @@ def mart(fact: DataFrame, as_of=None, compat: bool = True, tags: DataFrame | Non
     total equals the all-time total (Q3), no news today gives NULL (Q4), the average divides by
     the number of distinct dated days of the category (Q7), ties of the busiest day give the latest
     day (Q8). Undated news count in the totals only (Q9). ``id`` numbers rows by (category, source).
-    ``compat=False`` adds ``category_id``. With ``tags`` and ``sources`` the fact holds ids and
+    ``compat=False`` adds ``category_id`` and keeps the counts as BIGINT. With ``tags`` and ``sources`` the fact holds ids and
     the mart is given names (J9) before it is numbered.
     """
     return mart_from_days(day_counts(fact), as_of, compat, tags, sources)
@@ -156,16 +149,16 @@ def mart_from_days(day: DataFrame, as_of=None, compat: bool = True, tags: DataFr
         F.expr("all_n div nullif(n_days, 0)").alias("avg_news_per_day"),
         "max_news_date",
         *[f"amount_news_{d}" for d in WEEKDAYS])
-    for c in MART_COUNT_COLUMNS + [f"amount_news_{d}" for d in WEEKDAYS]:
-        out = out.withColumn(c, F.col(c).cast("int"))
-    # The mart holds one row per (category, source) pair, bounded by the two dimensions, so
-    # numbering it in one ordered window is cheap.
-    ordered = Window.orderBy(CAT, SRC)
-    cols = ["id"] + ([] if compat else ["category_id"]) + [c for c in out.columns]
-    out = out.withColumn("id", F.row_number().over(ordered).cast("long"))
-    if not compat:
-        out = out.withColumn("category_id", F.dense_rank().over(Window.orderBy(CAT)).cast("long"))
-    return out.select(*cols)
+    if compat:  # the reference declares INTEGER; the corrected mart keeps BIGINT
+        for c in MART_COUNT_COLUMNS + [f"amount_news_{d}" for d in WEEKDAYS]:
+            out = out.withColumn(c, F.col(c).cast("int"))
+    numbered = dense_ids(out, [CAT, SRC], "id")
+    if compat:
+        return numbered.select("id", *out.columns)
+    # one number per category, in order
+    ids = dense_ids(out.select(F.col(CAT).alias("_cat")).distinct(), ["_cat"], "category_id")
+    numbered = numbered.join(ids, F.col(CAT).eqNullSafe(F.col("_cat")))
+    return numbered.select("id", "category_id", *out.columns)
 
 
 def with_names(m: DataFrame, tags: DataFrame, sources: DataFrame) -> DataFrame:

@@ -21,5 +21,8 @@ def category_normalise(df: DataFrame, col: str = "tags", mapping: DataFrame | No
     if mapping is None:
         return df.withColumn(col, F.trim(F.col(col)))
     m = mapping.select(F.col("key").alias("_nkey"), F.col("canonical").alias("_canon"))
+    twice = m.groupBy("_nkey").count().where("count > 1").limit(3).collect()
+    if twice:
+        raise ValueError(f"mapping keys must be unique; listed twice: {[r['_nkey'] for r in twice]}")
     joined = df.withColumn("_nkey", normalise_key(col)).join(m, "_nkey", "left")
     return joined.withColumn(col, F.coalesce(F.col("_canon"), F.trim(F.col(col)))).drop("_nkey", "_canon")

@@ -55,15 +55,8 @@ def check_store(store) -> DataFrame:
     """C1 + C2 over a whole store: one row per declared key with the number of violating key
     values (duplicates, or NULL in a primary key) or orphan rows. All checks are aggregates and
     anti joins; the report is one row per check."""
-    spark = store.spark
-
     def table(name):
         layer, t = name.split(".")
-        if (layer, t) == ("mart_store", "news"):
-            try:
-                return spark.read.parquet(store.path(layer, t))
-            except Exception:  # noqa: BLE001 - no mart yet
-                return spark.createDataFrame([], "id long")
         return store.read(layer, t)
 
     parts = []
@@ -77,24 +70,28 @@ def check_store(store) -> DataFrame:
         parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit("foreign key").alias("check"), F.lit(child).alias("table"),
             F.lit(f"{fk} -> {parent}.{pk}").alias("columns"), "violations"))
-    parts.append(check_day_log(store).agg(F.count(F.lit(1)).alias("violations")).select(
-        F.lit("derived").alias("check"), F.lit("mart_store.news_days").alias("table"),
-        F.lit("sum(n) per category, source, day = core").alias("columns"), "violations"))
+    for log in ("news_days", "pair_days"):
+        parts.append(check_day_log(store, log).agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit("derived").alias("check"), F.lit(f"mart_store.{log}").alias("table"),
+            F.lit("sum(n) per category, source, day = core").alias("columns"), "violations"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
-def check_day_log(store) -> DataFrame:
+def check_day_log(store, log_table: str = "news_days") -> DataFrame:
     """The per-load day-count log, summed, against day counts recomputed from the whole core
-    (first tag per news item): the (category, source, day) triples where they differ. A full
-    outer join on the triple (NULL days match NULL days), both sides pre-aggregated."""
+    (``news_days``: first tag per news item; ``pair_days``: every pair of the bridge): the (category, source,
+    day) triples where they differ. A full outer join on the triple (NULL days match NULL days), both
+    sides pre-aggregated."""
     from feedmart.operators.core import core_fact
     from feedmart.operators.mart import day_counts
     keys = ["category", "source", "published"]
-    log = store.read("mart_store", "news_days").groupBy(*keys).agg(F.sum("n").alias("n_log"))
-    core = day_counts(core_fact(store.read("core_store", "news"))).withColumnRenamed("n", "n_core")
+    log = store.read("mart_store", log_table).groupBy(*keys).agg(F.sum("n").alias("n_log"))
+    news, bridge = store.read("core_store", "news"), store.read("core_store", "news_tag_pairs")
+    fact = core_fact(news) if log_table == "news_days" else core_fact(news.join(bridge.select("new_raw_id").distinct(), "new_raw_id", "left_semi"), bridge)
+    core = day_counts(fact).withColumnRenamed("n", "n_core")
     cond = None
     for k in keys:
         c = log[k].eqNullSafe(core[k])

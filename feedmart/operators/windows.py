@@ -3,9 +3,9 @@
 ``count(...) over (partition by category)`` on the fact would send every news item of a category
 to one task, and one category may hold a third of all news. The same values come from a
 pre-aggregate (partial aggregation collapses hot keys before the shuffle) joined back to the
-rows on a null-safe key. The aggregate side is tiny (one row per category, or per day); Spark
-broadcasts it when its measured size is under the broadcast threshold and shuffles otherwise,
-and AQE splits a skewed fact partition. W3 is a genuine window, but over day counts, whose rows
+rows on a null-safe key. The aggregate is written to the scratch folder first, so the planner knows
+its real size before it decides about the fact: it broadcasts the aggregate under the broadcast
+threshold, and the fact isn't shuffled, or else shuffles both, and AQE splits a skewed fact partition. W3 is a genuine window, but over day counts, whose rows
 per (category, source) are bounded by calendar days.
 """
 
@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 from feedmart.functions.dates import day_of_week
 from feedmart.operators.mart import CAT, PUB, SRC, day_counts
 from feedmart.schemas import WEEKDAYS
+from feedmart.session import materialise
 
 
 def _join_back(rows: DataFrame, agg: DataFrame, keys: Sequence[str]) -> DataFrame:
+    agg = materialise(agg, "window-aggregate")
     a = agg.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in agg.columns if c not in keys])
     cond = None
     for k in keys:

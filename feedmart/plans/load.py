@@ -3,12 +3,12 @@
 Stage boundaries are written tables, so lineage is cut between layers and a re-run after a
 failure starts from what was committed:
 
-1. landing -> raw: one XML scan of every source and file; accepted rows replace the partitions
-   (source, load_id) of ``raw_store.news`` and rejects those of ``raw_store.rejects``, so running
-   the same load twice leaves one copy.
-2. raw (this load's partitions only) -> core: sources, tags, then news (and the tag bridge when
-   ``compat=False``), each an insert-if-absent append; a re-run appends nothing.
-3. core -> mart: full rebuild, overwrite.
+1. landing -> raw: one XML scan of every source and file, written in one pass as raw rows and rejects under a
+   fresh load id. A re-run of a named load replaces all that load wrote there.
+2. raw (this load's rows only) -> core: sources, tags, then news (and the tag bridge when
+   ``compat=False``), each an insert-if-absent append; a re-run appends nothing. A category mapping is
+   applied here, so raw keeps the categories as delivered and a changed mapping can be applied again.
+3. core -> mart: full rebuild from the day counts that each load added, overwrite.
 
 The delta load differs only in step 1: entries published on the day before ``as_of``, strict
 date parsing (bad dates are rejected, or fail the job with ``on_bad_date="fail"``).
@@ -18,93 +18,113 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.operators.core import core_fact, new_news_rows, new_news_tag_rows, new_sources, new_tags
-from feedmart.operators.ingest import classify, rejects, to_raw
+from feedmart.operators.ingest import classify, to_entries
 from feedmart.operators.mart import day_counts, mart, mart_from_days
 from feedmart.operators.normalise import category_normalise
+from feedmart.schemas import NEWS_TAGS
+from feedmart.session import materialise, scratch_scope
 from feedmart.sources.rss import read_landing
 from feedmart.sources.store import Store
 
 
-def load_raw(entries: DataFrame, store: Store, load_id: int, mode: str = "full", as_of=None,
-             compat: bool = True, on_bad_date: str = "reject", mapping: DataFrame | None = None) -> DataFrame:
-    """Step 1. Returns this load's raw rows as stored (read back from the table)."""
-    classified = classify(entries, mode, as_of, compat, on_bad_date).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        raw = to_raw(classified, load_id)
-        if mapping is not None:
-            raw = category_normalise(raw, "tags", mapping)
-        store.replace_partitions(raw, "raw_store", "news")
-        store.replace_partitions(rejects(classified, load_id), "raw_store", "rejects")
-    finally:
-        classified.unpersist()
-    store.publish_raw_views()
-    return store.read("raw_store", "news").where(F.col("load_id") == load_id)
-
-
-def load_core(raw: DataFrame, store: Store, compat: bool = True, load_id: int | None = None) -> None:
-    """Step 2: insert-if-absent of sources, tags, news (and news-tag pairs); then the day
-    counts of the news this load added (``load_id``) replace that load's partition of
-    ``mart_store.news_days`` - recomputed from core, so a re-run after a failure repairs it."""
-    store.append(new_sources(raw, store.read("core_store", "sources")), "core_store", "sources")
-    store.append(new_tags(raw, store.read("core_store", "tags")), "core_store", "tags")
-    store.append(new_news_rows(raw, store.read("core_store", "news"), store.read("core_store", "sources"),
-                               store.read("core_store", "tags"), news_buckets=store.buckets()), "core_store", "news")
-    if not compat:
-        store.append(new_news_tag_rows(raw, store.read("core_store", "news"), store.read("core_store", "tags"),
-                                       store.read("core_store", "news_tag_pairs")), "core_store", "news_tag_pairs")
-    if load_id is not None:
-        added = store.read("core_store", "news").where(F.col("load_id") == load_id)
-        days = day_counts(core_fact(added)).withColumn("load_id", F.lit(load_id).cast("long"))
-        store.replace_partitions(days, "mart_store", "news_days")
-
-
-def build_mart(store: Store, as_of=None, compat: bool = True, from_log: bool | None = None) -> DataFrame:
+def resolve_day(spark: SparkSession, as_of=None) -> _dt.date:
+    """The day that counts as today, taken once per load: the given one, or the session's current date."""
+    if as_of is None:
+        return spark.sql("SELECT current_date()").first()[0]
+    if isinstance(as_of, _dt.datetime):
+        return as_of.date()
+    return as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
+
+
+def load_raw(entries: DataFrame, store: Store, load_id: int | None = None, mode: str = "full", as_of=None,
+             compat: bool = True, on_bad_date: str = "reject", name: str | None = None) -> tuple[int, DataFrame]:
+    """Step 1. Returns the load's id and its raw rows as stored (read back from the table)."""
+    load_id = store.begin_load(load_id, name)
+    store.append_entries(to_entries(classify(entries, mode, as_of, compat, on_bad_date), load_id), load_id)
+    return load_id, store.load_rows("news", load_id)
+
+
+def load_core(raw: DataFrame, store: Store, compat: bool = True, load_id: int | None = None,
+              mapping: DataFrame | None = None) -> None:
+    """Step 2: insert-if-absent of sources, tags, news (and news-tag pairs), and the day counts of what this
+    load added. With ``load_id`` the ledger is kept; new ids start after the last one given out."""
+    if mapping is not None:
+        raw = category_normalise(raw, "tags", mapping)
+    with scratch_scope(store.spark):
+        last = store.last_new_id()
+        store.append(new_sources(raw, store.read("core_store", "sources")), "core_store", "sources")
+        store.append(new_tags(raw, store.read("core_store", "tags")), "core_store", "tags")
+        news = materialise(new_news_rows(raw, store.read("core_store", "news"), store.read("core_store", "sources"),
+                                         store.read("core_store", "tags"), news_buckets=store.buckets(), last_id=last), "new-news")
+        store.append(news, "core_store", "news")
+        if not compat:
+            pairs = materialise(new_news_tag_rows(raw, store.read("core_store", "news"), store.read("core_store", "tags"),
+                                                  store.read("core_store", "news_tag_pairs"), store.buckets()), "new-pairs")
+            store.append(pairs.select(*NEWS_TAGS.fieldNames()), "core_store", "news_tag_pairs")
+        if load_id is not None:
+            if store.is_rerun(load_id):  # an earlier run may have added rows and broken off: count what core holds
+                news = store.read("core_store", "news")
+                own = store.read("core_store", "news_tag_pairs").where(F.col("load_id") == load_id)
+                pairs = None if compat else own.join(news.select("new_raw_id", "source_id", "new_published"), "new_raw_id")
+                news = news.where(F.col("load_id") == load_id)
+            _log_days(store, "news_days", core_fact(news), load_id)
+            if not compat:
+                fact = pairs.select("new_id", F.col("tag_id").alias("category"), F.col("source_id").alias("source"),
+                                    F.col("new_published").alias("published"))
+                _log_days(store, "pair_days", fact, load_id)
+            added = news.agg(F.max("new_id")).first()[0]
+            store.end_load(load_id, max(last, added or 0))
+
+
+def _log_days(store: Store, table: str, fact: DataFrame, load_id: int) -> None:
+    """Day counts of all that a load added."""
+    days = day_counts(fact).withColumn("load_id", F.lit(load_id).cast("long"))
+    store.replace_load(days, "mart_store", table, load_id)
+
+
+def build_mart(store: Store, as_of=None, compat: bool = True, from_log: bool = True) -> DataFrame:
     """Step 3: rebuild the mart and return it as stored.
 
-    With ``compat`` (one tag per news item, so each news item adds to exactly one day count)
-    the mart is built from the accumulated day-count log: its size is categories x sources x
-    days, so a load does not rescan the history of core. Otherwise (and with ``from_log=False``)
-    it is built from the whole core: news items can gain tags in later loads."""
+    News items and news-tag pairs are only ever added, so the mart is built from the accumulated day counts, whose
+    size is categories x sources x days, and a load doesn't rescan the history of core. ``from_log=False`` rebuilds
+    from the whole core."""
     tags, sources = store.read("core_store", "tags"), store.read("core_store", "sources")
-    if compat if from_log is None else from_log:
-        log = store.read("mart_store", "news_days")
-        days = log.groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
-        m = mart_from_days(days, as_of, compat, tags=tags, sources=sources)
-    else:
-        news = store.read("core_store", "news")
-        bridge = None if compat else store.read("core_store", "news_tag_pairs")
-        m = mart(core_fact(news, bridge), as_of, compat, tags=tags, sources=sources)
-    path = store.path("mart_store", "news")
-    m.write.mode("overwrite").parquet(path)
-    return store.spark.read.parquet(path)
-
-
-def _default_load_id(as_of) -> int:
-    day = as_of if isinstance(as_of, (_dt.date, _dt.datetime)) else (
-        _dt.date.fromisoformat(str(as_of)) if as_of is not None else _dt.date.today())
-    return int(day.strftime("%Y%m%d"))
-
-
-def full_load(spark: SparkSession, landing: str, root: str, as_of=None, compat: bool = True,
-              load_id: int = 0, mapping: DataFrame | None = None) -> DataFrame:
+    with scratch_scope(store.spark):
+        if from_log:
+            log = store.read("mart_store", "news_days" if compat else "pair_days")
+            days = log.groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
+            m = mart_from_days(days, as_of, compat, tags=tags, sources=sources)
+        else:
+            bridge = None if compat else store.read("core_store", "news_tag_pairs")
+            m = mart(core_fact(store.read("core_store", "news"), bridge), as_of, compat, tags=tags, sources=sources)
+        return store.overwrite(m, "mart_store", "news")
+
+
+def _load(store: Store, entries: DataFrame, mode: str, as_of, compat: bool, on_bad_date: str, load_id: int | None,
+          name: str | None, mapping: DataFrame | None) -> DataFrame:
+    day = resolve_day(store.spark, as_of)
+    load_id, raw = load_raw(entries, store, load_id, mode, day, compat, on_bad_date, name)
+    load_core(raw, store, compat, load_id, mapping)
+    return build_mart(store, day, compat)
+
+
+def full_load(spark: SparkSession, landing: str, root: str, as_of=None, compat: bool = True, load_id: int | None = None,
+              mapping: DataFrame | None = None, name: str | None = None, pattern: str = "*/*",
+              modified_after: str | None = None, store: Store | None = None) -> DataFrame:
     """Every entry of the landing folder -> raw -> core -> mart. Returns the mart."""
-    store = Store(spark, root).register()
-    raw = load_raw(read_landing(spark, landing), store, load_id, "full", as_of, compat, mapping=mapping)
-    load_core(raw, store, compat, load_id)
-    return build_mart(store, as_of, compat)
-
-
-def delta_load(spark: SparkSession, landing: str, root: str, as_of=None, compat: bool = True,
-               load_id: int | None = None, on_bad_date: str = "reject",
-               mapping: DataFrame | None = None) -> DataFrame:
-    """Entries published the day before ``as_of`` -> raw -> core -> mart. Returns the mart."""
-    store = Store(spark, root).register()
-    lid = _default_load_id(as_of) if load_id is None else load_id
-    raw = load_raw(read_landing(spark, landing), store, lid, "delta", as_of, compat, on_bad_date, mapping)
-    load_core(raw, store, compat, lid)
-    return build_mart(store, as_of, compat)
+    store = store or Store(spark, root).register()
+    return _load(store, read_landing(spark, landing, pattern, modified_after), "full", as_of, compat, "reject", load_id, name, mapping)
+
+
+def delta_load(spark: SparkSession, landing: str, root: str, as_of=None, compat: bool = True, load_id: int | None = None,
+               on_bad_date: str = "reject", mapping: DataFrame | None = None, name: str | None = None, pattern: str = "*/*",
+               modified_after: str | None = None, store: Store | None = None) -> DataFrame:
+    """Entries published the day before ``as_of`` -> raw -> core -> mart. Returns the mart.
+
+    ``pattern`` and ``modified_after`` keep the scan to files that can hold that day's entries."""
+    store = store or Store(spark, root).register()
+    return _load(store, read_landing(spark, landing, pattern, modified_after), "delta", as_of, compat, on_bad_date, load_id, name, mapping)

@@ -16,30 +16,33 @@ FACT_EVENTS = """fact AS (SELECT event_id AS new_id, event_type AS category,
 
 RAW_EVENTS = """r AS (SELECT 'event ' || CAST(event_id AS VARCHAR) AS title, 'http://e/' || CAST(event_id AS VARCHAR) AS link,
         CAST(user_id AS VARCHAR) AS id, props AS summary, event_type AS tags,
-        'src_' || CAST(user_id % 3 AS VARCHAR) AS source, strftime(ts, '%Y-%m-%d') AS published,
-        event_id AS entry_pos FROM events)"""
+        'src_' || CAST(user_id % 3 AS VARCHAR) AS source,
+        CASE WHEN user_id % 10 = 7 THEN '' ELSE strftime(ts, '%Y-%m-%d') END AS published,
+        event_id AS entry_pos, CASE WHEN ts < TIMESTAMP '2024-01-08' THEN 0 ELSE 1 END AS load_id FROM events)"""
 
-# Core built from raw-events: first appearance by (source, entry_pos) decides every id.
+# Core built from raw-events: first appearance by (load, source, entry_pos) decides every id.
 EVENTS_CORE = RAW_EVENTS + """,
-s AS (SELECT source AS source_name, row_number() OVER (ORDER BY source, min(entry_pos)) AS source_id
+s AS (SELECT source AS source_name, row_number() OVER (ORDER BY min(load_id), source) AS source_id
       FROM r GROUP BY source),
-t0 AS (SELECT tags, source, entry_pos, row_number() OVER (PARTITION BY tags ORDER BY source, entry_pos) AS rn FROM r),
-t AS (SELECT tags AS tag_name, row_number() OVER (ORDER BY source, entry_pos) AS tag_id FROM t0 WHERE rn = 1),
-n0 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY source, entry_pos) AS rn FROM r),
-n1 AS (SELECT row_number() OVER (ORDER BY source, entry_pos) AS new_id, id AS new_raw_id, title, link, summary,
+t0 AS (SELECT tags, load_id, source, entry_pos, row_number() OVER (PARTITION BY tags ORDER BY load_id, source, entry_pos) AS rn FROM r),
+t AS (SELECT tags AS tag_name, row_number() OVER (ORDER BY load_id, source, entry_pos) AS tag_id FROM t0 WHERE rn = 1),
+n0 AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY load_id, source, entry_pos) AS rn FROM r),
+n1 AS (SELECT row_number() OVER (ORDER BY load_id, source, entry_pos) AS new_id, id AS new_raw_id, title, link, summary,
               TRY_CAST(published AS DATE) AS new_published, source, tags FROM n0 WHERE rn = 1),
 news AS (SELECT n1.new_id, n1.new_raw_id, n1.title, n1.link, n1.summary, n1.new_published, s.source_id, t.tag_id,
                 n1.source AS source_name, n1.tags AS tag_name
          FROM n1 LEFT JOIN s ON s.source_name = n1.source LEFT JOIN t ON t.tag_name = n1.tags)"""
 
-RSS = """rss AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS pub_date,
+RSS = """rss AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, CAST(o_orderdate AS DATE) AS order_date,
+    CASE WHEN o_custkey % 40 NOT IN (7, 9) THEN CAST(o_orderdate AS DATE) END AS pub_date,
     CASE WHEN o_orderstatus <> 'P' THEN 'http://o/' || CAST(o_orderkey AS VARCHAR) END AS guid,
     'Order ' || CAST(o_orderkey AS VARCHAR) || ' & customer ' || CAST(o_custkey AS VARCHAR) AS title,
     'http://o/' || CAST(o_orderkey AS VARCHAR) AS link,
     CASE WHEN o_orderpriority <> '3-MEDIUM'
          THEN 'total <b>' || CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) || '</b>' END AS description,
-    strftime(o_orderdate + to_hours(CAST(o_custkey % 24 AS INTEGER)), '%a, %d %b %Y %H:%M:%S') || ' ' ||
-      CASE o_orderstatus WHEN 'F' THEN '+0300' WHEN 'O' THEN '-0500' WHEN 'P' THEN 'Z' ELSE '+0000' END AS pubDate,
+    CASE o_custkey % 40 WHEN 7 THEN 'Someday, 1 January' WHEN 9 THEN NULL ELSE
+      strftime(o_orderdate + to_hours(CAST(o_custkey % 24 AS INTEGER)), '%a, %d %b %Y %H:%M:%S') || ' ' ||
+      CASE o_orderstatus WHEN 'F' THEN '+0300' WHEN 'O' THEN '-0500' WHEN 'P' THEN 'Z' ELSE '+0000' END END AS pubDate,
     o_orderpriority <> '4-NOT SPECIFIED' AS has_category,
     o_orderpriority = '1-URGENT' AS has_second,
     'src_' || o_orderstatus AS source
@@ -50,23 +53,28 @@ pieces AS (
   UNION ALL SELECT o_orderkey, 2 AS tag_pos, 'urgent' AS tags FROM rss WHERE has_category AND has_second),
 raw_rss AS (
   SELECT rss.title, rss.link, coalesce(rss.guid, '') AS id, coalesce(rss.description, '') AS summary, p.tags,
-         rss.source, strftime(rss.pub_date, '%Y-%m-%d') AS published, p.tag_pos, rss.o_orderkey, rss.pub_date
+         rss.source, coalesce(strftime(rss.pub_date, '%Y-%m-%d'), '') AS published, p.tag_pos, rss.o_orderkey, rss.pub_date,
+         rss.order_date
   FROM rss JOIN pieces p ON p.o_orderkey = rss.o_orderkey)"""
 
 
+_DELTA_DAY = f"DATE '{RSS_AS_OF}' - INTERVAL 1 DAY"
+
+
 def mart_sql(fact_ctes: str, as_of: str, compat: bool = True, names: bool = True) -> str:
     """The mart over a CTE ``fact(category, source, published)``."""
     dow = "extract(dow FROM published)" if compat else "extract(isodow FROM published)"
     wk = ",\n      ".join(f"sum(n) FILTER (WHERE {dow} = {k}) AS wk{k}" for k in range(1, 8))
+    whole = "INTEGER" if compat else "BIGINT"
     if compat:
         today = (f"CAST(CASE WHEN s.src_today > 0 THEN c.all_n END AS INTEGER) AS all_source_count_category_news_today,\n"
                  f"  CAST(CASE WHEN s.src_today > 0 THEN s.src_today END AS INTEGER) AS source_count_category_news_today")
         cat_id = ""
     else:
-        today = (f"CAST(coalesce(c.all_today, 0) AS INTEGER) AS all_source_count_category_news_today,\n"
-                 f"  CAST(coalesce(s.src_today, 0) AS INTEGER) AS source_count_category_news_today")
+        today = (f"CAST(coalesce(c.all_today, 0) AS BIGINT) AS all_source_count_category_news_today,\n"
+                 f"  CAST(coalesce(s.src_today, 0) AS BIGINT) AS source_count_category_news_today")
         cat_id = "dense_rank() OVER (ORDER BY s.category) AS category_id,"
-    days = ",\n  ".join(f"CAST(coalesce(c.wk{k}, 0) AS INTEGER) AS amount_news_{d}"
+    days = ",\n  ".join(f"CAST(coalesce(c.wk{k}, 0) AS {whole}) AS amount_news_{d}"
                         for k, d in enumerate(WEEKDAYS, start=1))
     return f"""WITH {fact_ctes},
 day AS (SELECT category, source, published, count(*) AS n FROM fact GROUP BY category, source, published),
@@ -81,10 +89,10 @@ peak AS (SELECT category, source, max(published) AS max_news_date FROM (
     FROM day WHERE published IS NOT NULL) x WHERE n = top GROUP BY category, source)
 SELECT row_number() OVER (ORDER BY s.category, s.source) AS id, {cat_id}
   s.category, s.source,
-  CAST(c.all_n AS INTEGER) AS all_source_count_category_news,
-  CAST(s.src_n AS INTEGER) AS source_count_category_news,
+  CAST(c.all_n AS {whole}) AS all_source_count_category_news,
+  CAST(s.src_n AS {whole}) AS source_count_category_news,
   {today},
-  CAST(c.all_n // NULLIF(c.n_days, 0) AS INTEGER) AS avg_news_per_day,
+  CAST(c.all_n // NULLIF(c.n_days, 0) AS {whole}) AS avg_news_per_day,
   p.max_news_date,
   {days}
 FROM src s JOIN cat c ON c.category = s.category
@@ -96,6 +104,11 @@ def _first_news_fact(order: str, rows: str = "raw_rss") -> str:
 fact AS (SELECT tags AS category, source, pub_date AS published FROM nf WHERE rn = 1)"""
 
 
+def _every_tag_fact(rows: str) -> str:
+    """Corrected: a row per news item and distinct tag; ids are unique here and entries without one are refused."""
+    return f"fact AS (SELECT DISTINCT id, tags AS category, source, pub_date AS published FROM {rows} WHERE id <> '')"
+
+
 _WK_WINDOW = ",\n  ".join(
     f"CAST(sum(CASE WHEN extract(dow FROM published) = {k} THEN 1 ELSE 0 END) OVER (PARTITION BY category) AS BIGINT)"
     f" AS amount_news_{d}" for k, d in enumerate(WEEKDAYS, start=1))
@@ -110,8 +123,6 @@ MAPPING = """mapping AS (
   SELECT DISTINCT lower(trim(regexp_extract(o_orderpriority, '^[0-9]+-(.*)$', 1))) AS key,
          upper(regexp_extract(o_orderpriority, '^[0-9]+-(.*)$', 1)) AS canonical FROM orders)"""
 
-_DELTA_DAY = f"DATE '{RSS_AS_OF}' - INTERVAL 1 DAY"
-
 ORACLE: dict[str, str] = {
     "rss_scan": f"""WITH {RSS}
 SELECT guid, title, link, description, pubDate,
@@ -124,30 +135,45 @@ SELECT rss.link, p.tag_pos, p.tags FROM pieces p JOIN rss ON rss.o_orderkey = p.
     "default_fill": f"""WITH {RSS}
 SELECT link, coalesce(guid, '') AS id, title, coalesce(description, '') AS summary FROM rss""",
     "parse_pubdate_lenient": f"""WITH {RSS}
-SELECT link, pubDate, strftime(pub_date, '%Y-%m-%d') AS published FROM rss""",
+SELECT link, pubDate, coalesce(strftime(pub_date, '%Y-%m-%d'), '') AS published FROM rss""",
     "parse_pubdate_strict": f"""WITH {RSS}
-SELECT link, pubDate, strftime(pub_date, '%Y-%m-%d') AS published FROM rss""",
+SELECT link, pubDate, strftime(order_date, '%Y-%m-%d') AS published FROM rss
+WHERE pubDate LIKE '___, %:%:% %'""",
     "incremental_yesterday": f"""WITH {RSS}
 SELECT link, id, tags, tag_pos, published, source FROM raw_rss WHERE pub_date = {_DELTA_DAY}""",
-    "rejects": f"""WITH {RSS}
-SELECT coalesce(guid, '') AS id, title, source, pubDate,
-       CASE WHEN NOT has_category THEN 'no_category' ELSE 'no_guid' END AS reason
-FROM rss WHERE NOT has_category OR guid IS NULL""",
+    "rejects": f"""WITH {RSS}, full_load AS (
+  SELECT *, CASE WHEN NOT has_category THEN 'no_category' WHEN guid IS NULL THEN 'no_guid' END AS reason, 0 AS load_id FROM rss),
+delta_load AS (
+  SELECT *, CASE WHEN pub_date IS NULL THEN 'bad_date' WHEN NOT has_category THEN 'no_category' WHEN guid IS NULL THEN 'no_guid' END,
+         1 FROM rss WHERE pub_date IS NULL OR pub_date = {_DELTA_DAY})
+SELECT coalesce(guid, '') AS id, title, source, pubDate, reason, CAST(load_id AS BIGINT) AS load_id
+FROM (SELECT * FROM full_load UNION ALL SELECT * FROM delta_load) WHERE reason IS NOT NULL""",
     "source_from_path": f"""WITH {RSS}
 SELECT link, source FROM rss""",
     "raw_discovery": f"""WITH {RSS}
 SELECT DISTINCT source, 'news_df_' || source AS table_name FROM raw_rss""",
     "raw_append": f"""WITH {RSS}
-SELECT title, link, id, summary, tags, source, published, CAST(0 AS BIGINT) AS load_id, tag_pos FROM raw_rss""",
+SELECT title, link, id, summary, tags, source, published, CAST(load_id AS BIGINT) AS load_id, tag_pos
+FROM raw_rss CROSS JOIN (VALUES (1), (2)) loads(load_id)""",
     "raw_append_delta": f"""WITH {RSS}
-SELECT title, link, id, summary, tags, source, published, CAST(1 AS BIGINT) AS load_id, tag_pos
+SELECT title, link, id, summary, tags, source, published, CAST(2 AS BIGINT) AS load_id, tag_pos
 FROM raw_rss WHERE pub_date = {_DELTA_DAY}""",
     "init_load": mart_sql(RSS + ",\n" + _first_news_fact("source, o_orderkey, tag_pos"), ORDERS_AS_OF),
     "incremental_load": mart_sql(
         RSS + f""",
-loads AS (SELECT *, 0 AS load_id FROM raw_rss WHERE pub_date < {_DELTA_DAY}
+loads AS (SELECT *, 0 AS load_id FROM raw_rss WHERE order_date < {_DELTA_DAY}
           UNION ALL SELECT *, 1 AS load_id FROM raw_rss WHERE pub_date = {_DELTA_DAY}),
 """ + _first_news_fact("load_id, source, o_orderkey, tag_pos", "loads"), RSS_AS_OF),
+    "init_load_corrected": mart_sql(RSS + ",\n" + _every_tag_fact("raw_rss"), ORDERS_AS_OF, compat=False),
+    "incremental_load_corrected": mart_sql(
+        RSS + f""",
+loads AS (SELECT * FROM raw_rss WHERE order_date < {_DELTA_DAY}
+          UNION ALL SELECT * FROM raw_rss WHERE pub_date = {_DELTA_DAY} AND order_date >= {_DELTA_DAY}),
+""" + _every_tag_fact("loads"), RSS_AS_OF, compat=False),
+    "mapped_load": mart_sql(RSS + ", " + MAPPING + """,
+mapped AS (SELECT r.* REPLACE (coalesce(m.canonical, trim(r.tags)) AS tags)
+           FROM raw_rss r LEFT JOIN mapping m ON m.key = lower(trim(r.tags))),
+""" + _first_news_fact("source, o_orderkey, tag_pos", "mapped"), ORDERS_AS_OF),
     "streaming_load": mart_sql(RSS + ",\n" + _first_news_fact("source, o_orderkey, tag_pos"), ORDERS_AS_OF),
     "raw_union": f"""WITH {RAW_EVENTS}
 SELECT id, title, tags, source, published, 'events' AS file_path, entry_pos FROM r
@@ -160,10 +186,14 @@ SELECT entry_pos, TRY_CAST(published AS DATE) AS new_published FROM r""",
     "dim_sources": f"WITH {EVENTS_CORE}\nSELECT source_id, source_name FROM s",
     "dim_tags": f"WITH {EVENTS_CORE}\nSELECT tag_id, tag_name FROM t",
     "dim_news_ids": f"WITH {EVENTS_CORE}\nSELECT new_id, new_raw_id FROM news",
-    "surrogate_keys": """WITH r AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, 'src_' || l_linestatus AS source,
-                  l_orderkey * 8 + l_linenumber AS entry_pos FROM lineitem),
-f AS (SELECT id, source, entry_pos, row_number() OVER (PARTITION BY id ORDER BY source, entry_pos) AS rn FROM r)
-SELECT row_number() OVER (ORDER BY source, entry_pos) AS new_id, id AS new_raw_id FROM f WHERE rn = 1""",
+    "surrogate_keys": f"""WITH {EVENTS_CORE},
+r2 AS (SELECT CAST(l_orderkey AS VARCHAR) AS id, 'src_' || l_linestatus AS source,
+              l_orderkey * 8 + l_linenumber AS entry_pos FROM lineitem),
+f AS (SELECT id, source, entry_pos, row_number() OVER (PARTITION BY id ORDER BY source, entry_pos) AS rn FROM r2
+      WHERE id NOT IN (SELECT new_raw_id FROM news))
+SELECT new_id, new_raw_id FROM news
+UNION ALL
+SELECT (SELECT max(new_id) FROM news) + row_number() OVER (ORDER BY source, entry_pos), id FROM f WHERE rn = 1""",
     "lookup_news_id": f"""WITH {EVENTS_CORE}
 SELECT r.entry_pos, r.id, news.new_id FROM r LEFT JOIN news ON news.new_raw_id = r.id""",
     "lookup_source_id": f"""WITH {EVENTS_CORE}
@@ -185,6 +215,9 @@ SELECT rss.link, p.tag_pos, coalesce(m.canonical, trim(p.tags)) AS tags
 FROM pieces p JOIN rss ON rss.o_orderkey = p.o_orderkey LEFT JOIN mapping m ON m.key = lower(trim(p.tags))""",
     "core_fact": f"""WITH {EVENTS_CORE}
 SELECT new_id, tag_id AS category, source_id AS source, new_published AS published FROM news""",
+    "assemble_fact": f"""WITH {EVENTS_CORE}
+SELECT new_id, tag_id AS category, source_id AS source, new_published AS published,
+       CAST(CASE WHEN source_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS source_count FROM news""",
     "day_of_week": f"""WITH {FACT_ORDERS}
 SELECT new_id, published, CAST(extract(dow FROM published) AS INTEGER) AS day_of_week FROM fact""",
     "win_category_total": f"""WITH {FACT_ORDERS}

@@ -21,6 +21,10 @@ def _struct(*fields):
 RSS_ITEM = _struct(("guid", S), ("title", S), ("link", S), ("description", S), ("pubDate", S),
                    ("category", T.ArrayType(S)))
 
+# As scanned from files: text that isn't well-formed XML is kept beside the fields.
+CORRUPT = "_corrupt_record"
+RSS_SCAN = T.StructType([*RSS_ITEM.fields, T.StructField(CORRUPT, S, True)])
+
 # Raw layer: the reference's seven text columns, then the arrival-order columns that make
 # "first writer wins" well defined across loads, sources, files and splits.
 RAW_COLUMNS = ["title", "link", "id", "summary", "tags", "source", "published"]
@@ -30,7 +34,11 @@ RAW = _struct(("title", S), ("link", S), ("id", S), ("summary", S), ("tags", S),
               ("tag_pos", I))
 
 REJECT = _struct(("id", S), ("title", S), ("source", S), ("pubDate", S), ("reason", S), ("load_id", L),
-                 ("file_path", S), ("entry_pos", L))
+                 ("file_path", S), ("entry_pos", L), ("raw_text", S))
+# What a load writes in one pass: raw rows (accepted) and rejects, apart by the status folder.
+ENTRIES = T.StructType([*RAW.fields, *[f for f in REJECT.fields if f.name not in RAW.fieldNames()],
+                        T.StructField("status", S, True)])
+ACCEPTED, REJECTED = "accepted", "rejected"
 
 # Core layer. The six one-attribute tables of the reference share one key and are filled from the
 # same first raw row, so they are kept as one wide table; each is a column selection of it.
@@ -38,8 +46,9 @@ SOURCES = _struct(("source_id", L), ("source_name", S))
 TAGS = _struct(("tag_id", L), ("tag_name", S))
 NEWS = _struct(("new_id", L), ("new_raw_id", S), ("title", S), ("link", S), ("summary", S),
                ("new_published", D), ("source_id", L), ("tag_id", L), ("load_id", L))
-NEWS_TAGS = _struct(("new_id", L), ("tag_id", L))
-# News per (category, source, day) added by one load: additive because core is insert-only.
+NEWS_TAGS = _struct(("new_raw_id", S), ("new_id", L), ("tag_id", L), ("load_id", L))
+# News (or news-tag pairs) per (category, source, day) added by one load: additive because core is
+# insert-only.
 NEWS_DAYS = _struct(("category", L), ("source", L), ("published", D), ("n", L), ("load_id", L))
 
 CORE_ATTRIBUTE_TABLES = {
@@ -59,6 +68,9 @@ MART_COUNT_COLUMNS = ["all_source_count_category_news", "source_count_category_n
                       "avg_news_per_day"]
 MART_COLUMNS = (["id", "category", "source"] + MART_COUNT_COLUMNS + ["max_news_date"]
                 + [f"amount_news_{d}" for d in WEEKDAYS])
+MART_CORRECTED = T.StructType([T.StructField("id", L), T.StructField("category_id", L), T.StructField("category", S),
+                               T.StructField("source", S)] + [T.StructField(c, L) for c in MART_COUNT_COLUMNS]
+                              + [T.StructField("max_news_date", D)] + [T.StructField(f"amount_news_{d}", L) for d in WEEKDAYS])
 MART = T.StructType([T.StructField("id", L), T.StructField("category", S), T.StructField("source", S)]
                     + [T.StructField(c, I) for c in MART_COUNT_COLUMNS]
                     + [T.StructField("max_news_date", D)]

@@ -1,16 +1,18 @@
 """Session helpers.
 
 Library functions never create a session; they take DataFrames. ``get_session`` is for scripts,
-tests and the benchmark. Lineage is cut with reliable ``checkpoint()`` into the folder named by
-``spark.checkpoint.dir``; a private folder is only made when the session has none (local runs).
+tests and the benchmark. Lineage is cut with tables written into the folder named by
+``spark.checkpoint.dir``, which all executors share; a private folder is only made for a local master that
+names none.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a cluster job of this library expects. AQE re-plans joins at run time from the real
 # size of each shuffle stage (broadcast below the threshold, sort-merge beyond it) and splits
@@ -51,7 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Local runs and tests only: a cluster names a shared folder in spark.checkpoint.dir.
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="feedmart-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -63,8 +66,54 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/feedmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+_scopes: list[list[str]] = []
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` into the scratch folder and read it back: lineage is cut, later uses see the same
+    rows, and the planner knows the real size. Inside ``scratch_scope`` the table goes at its end."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    if _scopes:
+        _scopes[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables that ``materialise`` writes inside the block are deleted when it ends."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            delete_path(spark, path)
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it doesn't exist)."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["DEFAULT_CONF", "get_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions"]
+__all__ = ["DEFAULT_CONF", "child_names", "delete_path", "ensure_checkpoint_dir", "get_session", "materialise",
+           "path_exists", "scratch_path", "scratch_scope", "shuffle_partitions"]

@@ -12,20 +12,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.functions.text import source_from_path
-from feedmart.schemas import RSS_ITEM
+from feedmart.schemas import CORRUPT, RSS_ITEM, RSS_SCAN
 
 ENTRY_COLUMNS = [f.name for f in RSS_ITEM.fields]
+XML_OPTIONS = {"rowTag": "item", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
 
 
-def read_landing(spark: SparkSession, landing: str, pattern: str = "*/*") -> DataFrame:
+def read_landing(spark: SparkSession, landing: str | list[str], pattern: str = "*/*",
+                 modified_after: str | None = None) -> DataFrame:
     """All entries of all feed files below ``landing`` (S1 + S2).
 
+    ``pattern`` and ``modified_after`` (a timestamp) narrow the scan to the files a load needs; a list
+    of paths is read as it is. An entry that isn't well-formed XML keeps its text in ``_corrupt_record``.
+
     Columns: the RSS item fields, ``source`` (folder name), ``file_path``, ``block_start`` and
     ``entry_pos``. Ordered by (source, file_path, block_start, entry_pos) the rows follow the files'
     entry order: the position is increasing inside one split, and a split starts at block_start.
     """
-    items = (spark.read.format("xml").option("rowTag", "item").schema(RSS_ITEM)
-             .load(f"{landing.rstrip('/')}/{pattern}"))
+    reader = spark.read.format("xml").options(**XML_OPTIONS).schema(RSS_SCAN)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    items = reader.load(landing if isinstance(landing, list) else f"{landing.rstrip('/')}/{pattern}")
     return (items
             .withColumn("file_path", F.col("_metadata.file_path"))
             .withColumn("block_start", F.col("_metadata.file_block_start"))

@@ -5,220 +5,378 @@ are three folders). Tables are addressed by path so that separate jobs (full loa
 load tomorrow) see the same data; ``register`` also exposes them in the session catalog for SQL
 users (``raw_store.news``, ``core_store.news`` ...).
 
-The core news table grows with all history while a load brings one day, and every load anti-joins
-its ids against it. It is therefore bucketed by ``new_raw_id`` (the bridge ``news_tag_pairs`` by
-``new_id``): the history side of those joins is read bucket by bucket with no shuffle, and only
-the day's keys are shuffled to match. Bucketing lives in the catalog, so every Store registers its
-bucketed tables as external tables over its folders under a private database derived from its
-root (several stores in one session never see each other's tables); the bucket count is fixed
-when a store is first written and kept in ``core_store/_layout``. ``register`` publishes the
-reference's names; the last store to call it owns them.
+Loads. Every load gets an id from the ledger ``_loads``; ids are never given out twice, so a load only
+adds raw rows. Only an explicit re-run of a named load replaces, and then all that load wrote to raw and
+rejects. The ledger also keeps the largest ``new_id`` given out, so that no load reads history for it. One
+load writes to a store at a time.
+
+Raw. One pass writes a load's raw rows and rejects to ``raw_store/entries``, apart by the folders
+``status=...``, ``load_id=...`` and ``source=...``.
+
+Core. The news table grows with all history while a load brings one day, and every load anti-joins its ids
+against it. It is therefore bucketed by ``new_raw_id``, and so is the bridge ``news_tag_pairs``: the history side
+of those joins is read bucket by bucket with no shuffle, and only the day's keys are shuffled to match.
+Bucketing lives in the catalog, so every Store registers its bucketed tables as external tables over its
+folders under a private database derived from its root (several stores in one session never see each other's
+tables). The bucket count comes from the caller or from ``spark.sql.shuffle.partitions``, never from the
+cores at hand; ``rebucket`` changes it and merges the files of many loads into one per bucket.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmart import schemas
-from feedmart.session import shuffle_partitions
+from feedmart.session import child_names, delete_path, path_exists, shuffle_partitions
 
 # layer -> table -> (schema, partition columns)
 TABLES = {
-    "raw_store": {"news": (schemas.RAW, ["source", "load_id"]),
-                  "rejects": (schemas.REJECT, ["load_id"])},
+    "raw_store": {"news": (schemas.RAW, ["load_id", "source"]),
+                  "rejects": (schemas.REJECT, ["load_id", "source"])},
     "core_store": {"sources": (schemas.SOURCES, []), "tags": (schemas.TAGS, []),
-                   "news": (schemas.NEWS, ["load_id"]), "news_tag_pairs": (schemas.NEWS_TAGS, [])},
-    "mart_store": {"news": (schemas.MART, []), "news_days": (schemas.NEWS_DAYS, ["load_id"])},
+                   "news": (schemas.NEWS, []), "news_tag_pairs": (schemas.NEWS_TAGS, [])},
+    "mart_store": {"news": (schemas.MART, []), "news_days": (schemas.NEWS_DAYS, ["load_id"]),
+                   "pair_days": (schemas.NEWS_DAYS, ["load_id"])},
 }
-
-
 # (layer, table) -> bucket column
-BUCKETED = {("core_store", "news"): "new_raw_id", ("core_store", "news_tag_pairs"): "new_id"}
+BUCKETED = {("core_store", "news"): "new_raw_id", ("core_store", "news_tag_pairs"): "new_raw_id"}
+STATUS = {("raw_store", "news"): schemas.ACCEPTED, ("raw_store", "rejects"): schemas.REJECTED}
+LEDGER = "seq long, load_id long, name string, event string, last_new_id long"
+OWNER = "feedmart.root"
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None,
+                 databases: dict[str, str] | None = None):
+        """``databases``: catalog name of each layer, if not the layer's own (see ``register``)."""
         self.spark = spark
         self.root = root.rstrip("/")
+        self.databases = {layer: layer for layer in TABLES} | (databases or {})
         self._wanted_buckets = buckets
-        self._buckets: int | None = None
+        self._layout: tuple[int, int] | None = None
         self._bucketed_ready = False
         self._published = False
+        self._running: tuple[int, int, bool, int | None] | None = None  # ledger entry, id, re-run, last new_id
         self._db = "feedmart_" + hashlib.sha1(self.root.encode()).hexdigest()[:12]
 
+    # -- files -----------------------------------------------------------------------------------
+    def path(self, layer: str, table: str) -> str:
+        if (layer, table) in STATUS:
+            return f"{self.root}/raw_store/entries/status={STATUS[layer, table]}"
+        if (layer, table) in BUCKETED:
+            return f"{self.root}/{layer}/{table}/v{self.layout()[1]}"
+        return f"{self.root}/{layer}/{table}"
+
+    def schema(self, layer: str, table: str) -> T.StructType:
+        if (layer, table) == ("mart_store", "news") and self.exists(layer, table):
+            return self.spark.read.parquet(self.path(layer, table)).schema  # compat or corrected
+        return TABLES[layer][table][0]
+
+    def exists(self, layer: str, table: str) -> bool:
+        return path_exists(self.spark, self.path(layer, table))
+
+    # -- ledger of loads -------------------------------------------------------------------------
+    def _ledger(self) -> DataFrame:
+        path = f"{self.root}/_loads"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], LEDGER)
+        return self.spark.read.schema(LEDGER).parquet(path)
+
+    def _note(self, seq: int, load_id: int, name: str | None, event: str, last_new_id: int | None = None) -> None:
+        values = (seq, load_id, name, event, last_new_id)
+        cols = [F.lit(v).cast(t).alias(c) for v, (c, t) in zip(values, (x.split() for x in LEDGER.split(", ")))]
+        self.spark.range(1).coalesce(1).select(*cols).write.mode("append").parquet(f"{self.root}/_loads")
+
+    def _ledger_state(self, name: str | None = None):
+        """One row on the ledger: last entry, last load, that of ``name``, last id given out; begins
+        after the last end; runs of a load."""
+        begin = F.col("event") == "begin"
+        ended = F.max(F.when(F.col("event") == "end", F.col("seq")))
+        row = self._ledger().agg(
+            F.coalesce(F.max("seq"), F.lit(0)).alias("seq"), F.coalesce(F.max("load_id"), F.lit(0)).alias("load"),
+            F.max(F.when(F.col("name") == F.lit(name), F.col("load_id"))).alias("named"),
+            F.max("last_new_id").alias("last"), F.coalesce(ended, F.lit(0)).alias("ended"),
+            F.collect_list(F.when(begin, F.struct("seq", "load_id"))).alias("begun")).first()
+        open_ = sum(b["seq"] > row["ended"] for b in row["begun"])
+        runs = lambda i: sum(b["load_id"] == i for b in row["begun"])
+        return row, open_, runs
+
+    def begin_load(self, load_id: int | None = None, name: str | None = None) -> int:
+        """Id of a load that starts now: a fresh one, or, for a ``name`` (or an explicit id) that was loaded before, the
+        same id again; what that load wrote to raw and rejects is then removed first."""
+        row, open_, runs = self._ledger_state(name)
+        if load_id is None:
+            load_id = row["named"] if row["named"] is not None else row["load"] + 1
+        elif row["named"] is not None and row["named"] != load_id:
+            raise ValueError(f"load {name!r} has the id {row['named']}, not {load_id}")
+        self._note(row["seq"] + 1, load_id, name, "begin")
+        self._running = (row["seq"] + 1, load_id, runs(load_id) > 0, None if open_ else row["last"] or 0)
+        if self._running[2]:
+            self.drop_load(load_id)
+        return load_id
+
+    def drop_load(self, load_id: int) -> None:
+        """Remove all raw rows and rejects of a load."""
+        for layer, table in STATUS:
+            if self._published:
+                for s in self._sources_of(layer, table, load_id):
+                    self.spark.sql(f"ALTER TABLE {self.name(layer, table)} DROP IF EXISTS "
+                                   f"PARTITION (load_id = {load_id}, source = '{_quoted(s)}')")
+            delete_path(self.spark, f"{self.path(layer, table)}/load_id={load_id}")
+        delete_path(self.spark, f"{self.root}/raw_store/_sources/load_id={load_id}")
+
+    def _sources_of(self, layer: str, table: str, load_id: int) -> list[str]:
+        folders = child_names(self.spark, f"{self.path(layer, table)}/load_id={load_id}")
+        return [unquote(f.removeprefix("source=")) for f in folders if f.startswith("source=")]
+
+    def is_rerun(self, load_id: int) -> bool:
+        """True if the load had begun before."""
+        if self._running and self._running[1] == load_id:
+            return self._running[2]
+        return self._ledger_state()[2](load_id) > 1
+
+    def end_load(self, load_id: int, last_new_id: int) -> None:
+        seq = self._running[0] if self._running and self._running[1] == load_id else self._ledger_state()[0]["seq"]
+        self._note(seq + 1, load_id, None, "end", last_new_id)
+        self._running = None
+
+    def last_new_id(self) -> int:
+        """Largest ``new_id`` given out: from the ledger, unless a load broke off since the last one ended, when history
+        tells. (The load that this store is running doesn't count.)"""
+        if self._running:
+            last = self._running[3]
+        else:
+            row, open_, _ = self._ledger_state()
+            last = None if open_ else row["last"] or 0
+        if last is not None:
+            return last
+        return self.read("core_store", "news").agg(F.max("new_id")).first()[0] or 0
+
     # -- bucketed tables -----------------------------------------------------------------------
-    def buckets(self) -> int:
-        """Bucket count of the store: as first written, else the given one, else the session's
-        shuffle partition count capped at four per core."""
-        if self._buckets is None:
+    def layout(self) -> tuple[int, int]:
+        """Bucket count and version: as last written, else the given count or the session's shuffle partitions."""
+        if self._layout is None:
             path = f"{self.root}/core_store/_layout"
-            try:
-                row = self.spark.read.schema("buckets int").parquet(path).first()
-            except AnalysisException:
-                row = None
-            if row is None:
-                n = self._wanted_buckets or min(shuffle_partitions(self.spark),
-                                                4 * self.spark.sparkContext.defaultParallelism)
-                self.spark.createDataFrame([(n,)], "buckets int").coalesce(1).write.mode("ignore").parquet(path)
-                row = self.spark.read.schema("buckets int").parquet(path).first()
-            self._buckets = int(row.buckets)
-        return self._buckets
+            if not path_exists(self.spark, path):
+                self._write_layout(self._wanted_buckets or shuffle_partitions(self.spark), 1)
+            last = self.spark.read.schema("buckets int, version int").parquet(path).orderBy(F.desc("version")).first()
+            self._layout = int(last.buckets), int(last.version)
+        return self._layout
+
+    def _write_layout(self, buckets: int, version: int) -> None:
+        row = self.spark.range(1).select(F.lit(buckets).cast("int").alias("buckets"), F.lit(version).cast("int").alias("version"))
+        row.coalesce(1).write.mode("append").parquet(f"{self.root}/core_store/_layout")
+
+    def buckets(self) -> int:
+        return self.layout()[0]
+
+    def rebucket(self, buckets: int | None = None) -> "Store":
+        """Rewrite the bucketed tables with ``buckets`` buckets (by default as many as now) and one file per bucket, then
+        switch to the new files and delete the old ones. Also the compaction of the per-load files."""
+        old, version = self.layout()
+        tables = {key: self.read(*key) for key in BUCKETED}
+        new = Store(self.spark, self.root)
+        new._db, new._layout = f"{self._db}_v{version + 1}", (buckets or old, version + 1)
+        new._ensure_bucketed()
+        for (layer, table), rows in tables.items():
+            new.append(rows, layer, table)
+        gone = [self.path(*key) for key in BUCKETED]
+        self._write_layout(buckets or old, version + 1)
+        self.spark.sql(f"DROP DATABASE {new._db} CASCADE")  # external tables: the files stay
+        self._layout, self._bucketed_ready = None, False
+        for layer, table in BUCKETED:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._private(layer, table)}")
+        self._ensure_bucketed()
+        if self._published:
+            self.register()
+        for path in gone:
+            delete_path(self.spark, path)
+        return self
 
     def _private(self, layer: str, table: str) -> str:
         """This store's own catalog name for a bucketed table: a database derived from the root,
         so several stores in one session never read each other's tables."""
         return f"{self._db}.{layer}__{table}"
 
-    def _ddl(self, layer: str, table: str, name: str, if_not_exists: bool) -> str:
-        schema, parts = TABLES[layer][table]
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    def name(self, layer: str, table: str) -> str:
+        return f"{self.databases[layer]}.{table}"
+
+    def _ddl(self, layer: str, table: str, name: str) -> str:
+        parts = TABLES[layer][table][1]
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema(layer, table).fields)
         part = f" PARTITIONED BY ({', '.join(parts)})" if parts else ""
         key = BUCKETED.get((layer, table))
         bucket = f" CLUSTERED BY ({key}) INTO {self.buckets()} BUCKETS" if key else ""
-        ine = "IF NOT EXISTS " if if_not_exists else ""
-        return (f"CREATE TABLE {ine}{name} ({cols}) USING parquet{part}{bucket} "
-                f"LOCATION '{self.path(layer, table)}'")
+        return (f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet{part}{bucket} "
+                f"LOCATION '{_quoted(self.path(layer, table))}' TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}')")
 
     def _ensure_bucketed(self) -> None:
         if self._bucketed_ready:
             return
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self._db}")
         for layer, table in BUCKETED:
-            name = self._private(layer, table)
-            self.spark.sql(self._ddl(layer, table, name, if_not_exists=True))
-            self._refresh_name(name, layer, table)
+            self.spark.sql(self._ddl(layer, table, self._private(layer, table)))
+            self.spark.catalog.refreshTable(self._private(layer, table))
         self._bucketed_ready = True
 
-    def path(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}"
+    # -- K-ns / K-ddl: catalog ------------------------------------------------------------------
+    def _ours(self, name: str) -> bool:
+        """True if the catalog's ``name`` was made by this library; its files lie in some store and stay when it is dropped."""
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+        return any(r["key"] == OWNER for r in rows)
 
-    def schema(self, layer: str, table: str) -> T.StructType:
-        return TABLES[layer][table][0]
-
-    # -- K-ns / K-ddl: create what is missing -------------------------------------------------
-    def create(self) -> "Store":
-        """Create every table that does not exist yet (an empty Parquet table with its schema)."""
-        self._ensure_bucketed()
-        for layer, tables in TABLES.items():
-            for table, (schema, parts) in tables.items():
-                if (layer, table) not in BUCKETED and not self.exists(layer, table):
-                    w = self.spark.createDataFrame([], schema).write.mode("ignore")
-                    if parts:
-                        w = w.partitionBy(*parts)
-                    w.parquet(self.path(layer, table))
-        return self
+    def _claim(self, name: str) -> None:
+        """Drop the catalog entry of another store; a table or view that isn't of this library stays, with an error."""
+        if self.spark.catalog.tableExists(name):
+            if not self._ours(name):
+                raise ValueError(f"{name} exists and isn't a table of this library; publish under other names "
+                                 "with Store(..., databases={...})")
+            kind = self.spark.catalog.getTable(name).tableType
+            self.spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} IF EXISTS {name}")
 
     def register(self) -> "Store":
         """K-ns / K-ddl: the three databases and every table under the reference's names
         (``raw_store.news``, ``core_store.news`` ...) in the session catalog, as external tables
-        over this store's folders (re-pointed if another store held the names), plus the
+        over this store's folders (names that another store holds are taken over), plus the
         reference's seven one-attribute core tables (``core_store.news_ids``, ``news_tags`` ...)
-        as views. The library's own reads of bucketed tables use the store's private names."""
+        as views. Any other table under one of the names is left alone and raises an error."""
         self._ensure_bucketed()
+        core = self.databases["core_store"]
+        names = [self.name(layer, t) for layer in TABLES for t in TABLES[layer]]
+        views = [f"{core}.{v}" for v in schemas.CORE_ATTRIBUTE_TABLES]
+        for name in names + views:  # look at all of them before the first is touched
+            if self.spark.catalog.tableExists(name) and not self._ours(name):
+                self._claim(name)
         for layer, tables in TABLES.items():
-            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.databases[layer]}")
             for table in tables:
-                self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{table}")   # external: files stay
-                self.spark.sql(self._ddl(layer, table, f"{layer}.{table}", if_not_exists=False))
-                self._refresh_name(f"{layer}.{table}", layer, table)
-        # the reference's one-attribute core tables, as views over the wide news table
-        for name, cols in schemas.CORE_ATTRIBUTE_TABLES.items():
-            self.spark.sql(f"CREATE OR REPLACE VIEW core_store.{name} AS "
-                           f"SELECT {', '.join(cols)} FROM core_store.news")
+                self._publish(layer, table)
+        for view, cols in schemas.CORE_ATTRIBUTE_TABLES.items():
+            self._claim(f"{core}.{view}")
+            self.spark.sql(f"CREATE VIEW {core}.{view} TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}') AS "
+                           f"SELECT {', '.join(cols)} FROM {core}.news")
+        raw = self.databases["raw_store"]
+        for view in self.spark.catalog.listTables(raw, "news_df_*"):  # of the store that held the names before
+            if self._ours(f"{raw}.{view.name}"):
+                self.spark.sql(f"DROP VIEW {raw}.{view.name}")
         self._published = True
+        self._publish_raw_views(self.raw_tables())
         return self
 
-    def exists(self, layer: str, table: str) -> bool:
-        try:
-            self.spark.read.schema(self.schema(layer, table)).parquet(self.path(layer, table))
-            return True
-        except AnalysisException:
-            return False
+    def _publish(self, layer: str, table: str) -> None:
+        name = self.name(layer, table)
+        self._claim(name)
+        self.spark.sql(self._ddl(layer, table, name))
+        if TABLES[layer][table][1] and self.exists(layer, table):
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # once, when the store is published
+        self.spark.catalog.refreshTable(name)
+
+    def _publish_raw_views(self, sources: DataFrame) -> None:
+        """The reference's per-source raw tables, ``raw_store.news_df_<source>``, as views over the partitioned raw
+        table: one statement per source of ``sources`` (one load's, or the store's when it is published).
+        Characters that the catalog refuses in names become ``_``; sources that then have one name share the view."""
+        raw = self.databases["raw_store"]
+        for source in {re.sub("[^A-Za-z0-9_]", "_", r.source) for r in sources.collect()}:
+            view = f"{raw}.news_df_{source}"
+            self._claim(view)
+            self.spark.sql(f"CREATE VIEW {view} TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}') AS "
+                           f"SELECT title, link, id, summary, tags, source, published FROM {raw}.news "
+                           f"WHERE regexp_replace(source, '[^A-Za-z0-9_]', '_') = '{source}'")
 
     # -- scans ---------------------------------------------------------------------------------
     def read(self, layer: str, table: str) -> DataFrame:
         """The table; a table never written reads as empty (nothing to create up front)."""
-        schema = self.schema(layer, table)
         if (layer, table) in BUCKETED:
             self._ensure_bucketed()
-            return self.spark.table(self._private(layer, table)).select(*[f.name for f in schema.fields])
-        try:
-            df = self.spark.read.schema(schema).parquet(self.path(layer, table))
-        except AnalysisException:
+            return self.spark.table(self._private(layer, table)).select(*self.schema(layer, table).fieldNames())
+        schema = self.schema(layer, table)
+        if not self.exists(layer, table):
             return self.spark.createDataFrame([], schema)
-        return df.select(*[f.name for f in schema.fields])
+        return self.spark.read.schema(schema).parquet(self.path(layer, table)).select(*schema.fieldNames())
+
+    def load_rows(self, table: str, load_id: int) -> DataFrame:
+        """Raw rows (or rejects) of one load: only its folder is listed and read."""
+        schema = TABLES["raw_store"][table][0]
+        base = self.path("raw_store", table)
+        if not path_exists(self.spark, f"{base}/load_id={load_id}"):
+            return self.spark.createDataFrame([], schema)
+        one = self.spark.read.schema(schema).option("basePath", base).parquet(f"{base}/load_id={load_id}")
+        return one.select(*schema.fieldNames())
 
     # -- sinks ---------------------------------------------------------------------------------
+    def _cast(self, df: DataFrame, schema: T.StructType) -> DataFrame:
+        return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
     def append(self, df: DataFrame, layer: str, table: str) -> None:
         schema, parts = TABLES[layer][table]
+        rows = self._cast(df, schema)
         key = BUCKETED.get((layer, table))
-        if key:
-            # one file per bucket and load: shuffle the new rows by the bucket key first
+        if key:  # one file per bucket and load: shuffle the new rows by the bucket key first
             self._ensure_bucketed()
-            rows = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
             rows.repartition(self.buckets(), key).write.insertInto(self._private(layer, table))
-            self._refresh(layer, table)
-            return
-        w = df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("append")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(self.path(layer, table))
+            self.spark.catalog.refreshTable(self._private(layer, table))
+        else:
+            w = rows.write.mode("append")
+            (w.partitionBy(*parts) if parts else w).parquet(self.path(layer, table))
         self._refresh(layer, table)
 
-    def replace_partitions(self, df: DataFrame, layer: str, table: str) -> None:
-        """Overwrite only the partitions present in ``df`` (re-running one load is idempotent)."""
-        schema, parts = TABLES[layer][table]
-        (df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(self.path(layer, table)))
-        self._refresh(layer, table)
+    def append_entries(self, entries: DataFrame, load_id: int) -> None:
+        """K-raw: raw rows and rejects of one load, written in one pass; the catalog learns this load's partitions."""
+        rows = self._cast(entries, schemas.ENTRIES)
+        rows.write.mode("append").partitionBy("status", "load_id", "source").parquet(f"{self.root}/raw_store/entries")
+        for layer, table in STATUS:
+            sources = self._sources_of(layer, table, load_id)
+            if self._published and sources:
+                adds = " ".join(f"PARTITION (load_id = {load_id}, source = '{_quoted(s)}')" for s in sources)
+                self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD IF NOT EXISTS {adds}")
+                self.spark.catalog.refreshTable(self.name(layer, table))
+            if table == "news" and sources:
+                rows = self.spark.createDataFrame([(s,) for s in sources], "source string")
+                rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/raw_store/_sources/load_id={load_id}")
+                if self._published:
+                    self._publish_raw_views(rows.select("source", _table_name()))
 
-    def overwrite(self, df: DataFrame, layer: str, table: str) -> None:
-        schema, _ = TABLES[layer][table]
-        df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]).write.mode("overwrite") \
-            .parquet(self.path(layer, table))
+    def replace_load(self, df: DataFrame, layer: str, table: str, load_id: int) -> None:
+        """Replace the partition of one load in a table partitioned by ``load_id``."""
+        rows = self._cast(df, TABLES[layer][table][0]).drop("load_id")
+        rows.write.mode("overwrite").parquet(f"{self.path(layer, table)}/load_id={load_id}")
+        if self._published:
+            self.spark.sql(f"ALTER TABLE {self.name(layer, table)} ADD IF NOT EXISTS PARTITION (load_id = {load_id})")
         self._refresh(layer, table)
 
-    def _refresh(self, layer: str, table: str) -> None:
-        """Keep the catalog entries of a table in step with files written (partitions are tracked
-        in the catalog, so new ones are recovered from the folder listing)."""
-        if (layer, table) in BUCKETED and self._bucketed_ready:
-            # written through insertInto, which keeps the catalog's partitions in step
-            self.spark.catalog.refreshTable(self._private(layer, table))
+    def overwrite(self, df: DataFrame, layer: str, table: str) -> DataFrame:
+        """K-mart: full refresh; a published table is declared again, as its columns depend on the mode."""
+        path = self.path(layer, table)
+        df.write.mode("overwrite").parquet(path)
         if self._published:
-            self._refresh_name(f"{layer}.{table}", layer, table)
+            self._publish(layer, table)
+        self.spark.catalog.refreshByPath(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def _refresh_name(self, name: str, layer: str, table: str) -> None:
-        if not self.spark.catalog.tableExists(name):
-            return
-        if name == f"{layer}.{table}":
-            # the public name may belong to another store: only touch it if it is ours
-            loc = [r for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r[0] == "Location"]
-            if not loc or loc[0][1].rstrip("/").replace("file:", "") != self.path(layer, table).replace("file:", ""):
-                return
-        if TABLES[layer][table][1] and self.exists(layer, table):
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-        self.spark.catalog.refreshTable(name)
-
-    def publish_raw_views(self) -> None:
-        """The reference's per-source raw tables, ``raw_store.news_df_<source>``, as views over
-        the partitioned raw table (published stores only). One statement per source: the list
-        is the sources dimension, a handful of names."""
-        if not self._published:
-            return
-        for row in self.raw_tables().collect():
-            self.spark.sql(f"CREATE OR REPLACE VIEW raw_store.`{row.table_name}` AS "
-                           f"SELECT title, link, id, summary, tags, source, published FROM raw_store.news "
-                           f"WHERE source = '{row.source.replace(chr(39), chr(39) * 2)}'")
+    def _refresh(self, layer: str, table: str) -> None:
+        if self._published:
+            self.spark.catalog.refreshTable(self.name(layer, table))
 
     # -- S3: raw-table discovery ---------------------------------------------------------------
     def raw_tables(self) -> DataFrame:
         """One row per source present in raw, named as the reference names its per-source raw
-        tables (``news_df_<source>``). Reads partition values only."""
-        raw = self.read("raw_store", "news")
-        return (raw.select("source").distinct()
-                .select("source", F.concat(F.lit("news_df_"), F.col("source")).alias("table_name")))
+        tables (``news_df_<source>``). Reads the loads' lists of sources, no raw rows."""
+        path = f"{self.root}/raw_store/_sources"
+        if not path_exists(self.spark, path):
+            return self.spark.createDataFrame([], "source string, table_name string")
+        listed = self.spark.read.schema("source string, load_id long").parquet(path)
+        return listed.select("source").distinct().select("source", _table_name())
+
+
+def _table_name():
+    return F.concat(F.lit("news_df_"), F.col("source")).alias("table_name")
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")

