@@ -15,7 +15,7 @@ gives an empty result. Other columns are ignored by ``exact_groups`` and kept by
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import join_groups, staged
@@ -70,18 +70,26 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept."""
-    stay = exact_groups(docs, id_col, text_col).filter("kept")
-    stay = stay.select(F.col("doc_id").alias("__stay_id"), F.col("text_sha256").alias("__stay_sha"),
-                       F.col("points").alias("__stay_points"), F.lit(True).alias("__stays"))
+    """``docs`` with one row of each group of equal texts, all columns kept.
+
+    Ids to drop are narrow rows; the texts move once, for the anti-join (not at all when Spark sees from the size of
+    the written ids that they can be broadcast). Ids that several rows share are decided by id and text, apart."""
+    rows = exact_groups(docs, id_col, text_col)
+    ids = staged(rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.max("kept").alias("kept")).filter("n > 1 or not kept"), "copies")
+    own = F.col(id_col).eqNullSafe(F.col("__id"))
+    out = docs.join(ids.select(F.col("doc_id").alias("__id")), own, "left_anti")
+    shared = ids.filter("n > 1")
+    if shared.isEmpty():
+        return out
     raw = F.coalesce(F.col(text_col), F.lit(""))
-    own = docs.withColumns({"__sha": F.sha2(normalised(raw), 256), "__points": F.length(raw).cast("long")})
-    out = own.join(stay, F.col(id_col).eqNullSafe(F.col("__stay_id")) & (F.col("__sha") == F.col("__stay_sha"))
-                   & (F.col("__points") == F.col("__stay_points")))
+    again = docs.join(shared.select(F.col("doc_id").alias("__id")), own, "left_semi")
+    again = again.withColumns({"__sha": F.sha2(normalised(raw), 256), "__points": F.length(raw).cast("long")})
+    stay = rows.filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__stay"), F.col("points").alias("__long"))
+    again = again.join(stay, own & (F.col("__sha") == F.col("__stay")) & (F.col("__points") == F.col("__long")), "left_semi")
     # a row repeated in full has one decision; one of the repeats stays
-    from pyspark.sql import Window
     nth = F.row_number().over(Window.partitionBy("__sha", id_col, "__points").orderBy(text_col))
-    return out.withColumn("__nth", nth).filter("__nth = 1").select(*docs.columns)
+    again = again.withColumn("__nth", nth).filter("__nth = 1").select(*docs.columns)
+    return out.unionByName(again)
 
 
 __all__ = ["drop_copies", "exact_groups", "normalised", "recipes", "verified"]
