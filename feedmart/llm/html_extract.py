@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,6 +68,7 @@ class _Reader:
     def __init__(self):
         self.blocks: list[tuple[str, bool, bool, str, int]] = []
         self.open: list[str] = []
+        self.names: Counter = Counter()  # how many elements of a name are open
         self.skips = 0  # depth of the outermost element that is left out, 0 if none
         self.parts: list[str] = []
         self.linked = self.container = self.links = 0
@@ -102,12 +103,11 @@ class _Reader:
             return
         if not self.skips and name in BLOCKS:
             self.flush()
-            if "p" in self.open[-12:]:  # a block ends an open paragraph
-                self.pop_to(max(i for i, n in enumerate(self.open) if n == "p"))
+            self.close_near("p", 12)  # a block ends an open paragraph
         for other in CLOSES.get(name, ()):
-            if other in self.open[-6:]:
-                self.pop_to(max(i for i, n in enumerate(self.open) if n == other))
+            self.close_near(other, 6)
         self.open.append(name)
+        self.names[name] += 1
         self.container += name in ("article", "main")
         self.links += name == "a"
         if not self.skips and _is_boilerplate(name, attrs):
@@ -117,13 +117,22 @@ class _Reader:
     def end(self, name: str) -> None:
         if name in BLOCKS and not self.skips:
             self.flush()
-        if name not in self.open:
+        if not self.names[name]:
             return
-        at = len(self.open) - 1 - self.open[::-1].index(name)
+        at = len(self.open) - 1
+        while self.open[at] != name:
+            at -= 1
         if self.skips and at < self.skips - 1 and name not in BLOCKS:
             return  # an inline end tag can't end the element that is left out
         self.pop_to(at)
 
+    def close_near(self, name: str, depth: int) -> None:
+        """Close the innermost open ``name`` if it is among the last ``depth`` open elements."""
+        for at in range(len(self.open) - 1, max(-1, len(self.open) - 1 - depth), -1):
+            if self.open[at] == name:
+                self.pop_to(at)
+                return
+
     def pop_to(self, at: int) -> None:
         if self.skips > at:
             self.skips = 0
@@ -133,6 +142,7 @@ class _Reader:
         for n in self.open[at:]:
             self.container -= n in ("article", "main")
             self.links -= n == "a"
+            self.names[n] -= 1
         del self.open[at:]
 
 

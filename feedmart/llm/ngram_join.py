@@ -50,6 +50,7 @@ SPLIT = 5000
 BLOCK_ROWS = 4096
 BLOCK_SHINGLES = 4_000_000
 MEMBER_BITS = 25
+BIT_CELLS = 64_000_000
 
 _rng = np.random.default_rng(20240611)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -343,7 +344,8 @@ def components(edges: DataFrame) -> DataFrame:
 # -- verification
 
 def _linked(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right: np.ndarray, num: int, den: int):
-    """For each of ``left``: the members of ``right`` that it links with (both sorted; a pair inside both only once)."""
+    """For each of ``left``: the members of ``right`` that it links with. Common shingles are counted by bit sets where the
+    block's shingles are few and shared by many, else along their lists."""
     m = len(sets)
     tokens = np.concatenate(sets)
     owner = np.repeat(np.arange(m), sizes)
@@ -355,16 +357,15 @@ def _linked(sets: list[np.ndarray], sizes: np.ndarray, left: np.ndarray, right:
     words = -(-v // 64)
     in_right = np.zeros(m, bool)
     in_right[right] = True
-    if m * words <= 4_000_000 and m * m * words <= 20.0 * float((count[count > 1].astype(float) ** 2).sum()) + 1e6:
-        bits = np.zeros((m, words * 64), np.uint8) if m * words * 64 <= 64_000_000 else None
-        if bits is not None:
-            bits[owner, token] = 1
-            rows = np.packbits(bits, axis=1).view(np.uint64)
-            del bits
-            for i in left:
-                shared = np.bitwise_count(rows & rows[i]).sum(1, dtype=np.int64)
-                yield i, _pass(shared, sizes, i, in_right, num, den)
-            return
+    by_lists = float((count[count > 1].astype(float) ** 2).sum())  # steps through the lists of common shingles
+    if m * words * 64 <= BIT_CELLS and m * m * words <= 20 * by_lists:
+        bits = np.zeros((m, words * 64), np.uint8)
+        bits[owner, token] = 1
+        rows = np.packbits(bits, axis=1).view(np.uint64)
+        del bits
+        for i in left:
+            yield i, _pass(np.bitwise_count(rows & rows[i]).sum(1, dtype=np.int64), sizes, i, in_right, num, den)
+        return
     by_token = np.argsort(token, kind="stable")
     starts = np.searchsorted(token[by_token], np.arange(v + 1))
     owners = owner[by_token]
