@@ -75,6 +75,33 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_join": r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM split),
+one AS (SELECT doc_id, unnest(s) AS x FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM one a JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM met JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+         WHERE 100 * c >= 90 * (len(p.s) + len(q.s) - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(reach.b) AS component_id, coalesce(any_value(degree.n), 0) AS n_links
+FROM sets JOIN reach ON reach.a = doc_id LEFT JOIN degree ON degree.a = doc_id GROUP BY doc_id, len(s)
+""",
+    "op3_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
+d AS (
+  SELECT page_id, strlen(body) AS payload_bytes,
+         list_aggregate(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
+           (CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31 AS INTEGER), 1)), 'string_agg', '') AS payload_digest
+  FROM p),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to FROM m
+""",
     "op8_exact_dedup": r"""
 WITH norm AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
