@@ -17,6 +17,7 @@ date parsing (bad dates are rejected, or fail the job with ``on_bad_date="fail"`
 from __future__ import annotations
 
 import datetime as _dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,8 +57,11 @@ def load_core(raw: DataFrame, store: Store, compat: bool = True, load_id: int |
         raw = category_normalise(raw, "tags", mapping)
     with scratch_scope(store.spark):
         last = store.last_new_id()
-        store.append(new_sources(raw, store.read("core_store", "sources")), "core_store", "sources")
-        store.append(new_tags(raw, store.read("core_store", "tags")), "core_store", "tags")
+        def add(table: str, rows) -> None:
+            store.append(rows(raw, store.read("core_store", table)), "core_store", table)
+        with ThreadPoolExecutor(2) as both:  # two small, independent jobs
+            for done in [both.submit(add, "sources", new_sources), both.submit(add, "tags", new_tags)]:
+                done.result()
         news = materialise(new_news_rows(raw, store.read("core_store", "news"), store.read("core_store", "sources"),
                                          store.read("core_store", "tags"), news_buckets=store.buckets(), last_id=last), "new-news")
         store.append(news, "core_store", "news")

@@ -226,19 +226,15 @@ class Store:
         self._bucketed_ready = True
 
     # -- K-ns / K-ddl: catalog ------------------------------------------------------------------
-    def _ours(self, name: str) -> bool:
-        """True if the catalog's ``name`` was made by this library; its files lie in some store and stay when it is dropped."""
-        rows = self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
-        return any(r["key"] == OWNER for r in rows)
-
-    def _claim(self, name: str) -> None:
-        """Drop the catalog entry of another store; a table or view that isn't of this library stays, with an error."""
-        if self.spark.catalog.tableExists(name):
-            if not self._ours(name):
-                raise ValueError(f"{name} exists and isn't a table of this library; publish under other names "
-                                 "with Store(..., databases={...})")
-            kind = self.spark.catalog.getTable(name).tableType
-            self.spark.sql(f"DROP {'VIEW' if kind == 'VIEW' else 'TABLE'} IF EXISTS {name}")
+    def _held(self, name: str) -> bool:
+        """True if a table or view of this library holds ``name``; its files lie in some store and stay when it is dropped.
+        Anything else under that name is left alone, with an error."""
+        if not self.spark.catalog.tableExists(name):
+            return False
+        if any(r["key"] == OWNER for r in self.spark.sql(f"SHOW TBLPROPERTIES {name}").collect()):
+            return True
+        raise ValueError(f"{name} exists and isn't a table of this library; publish under other names "
+                         "with Store(..., databases={...})")
 
     def register(self) -> "Store":
         """K-ns / K-ddl: the three databases and every table under the reference's names
@@ -247,35 +243,31 @@ class Store:
         reference's seven one-attribute core tables (``core_store.news_ids``, ``news_tags`` ...)
         as views. Any other table under one of the names is left alone and raises an error."""
         self._ensure_bucketed()
-        core = self.databases["core_store"]
+        core, raw = self.databases["core_store"], self.databases["raw_store"]
         names = [self.name(layer, t) for layer in TABLES for t in TABLES[layer]]
         views = [f"{core}.{v}" for v in schemas.CORE_ATTRIBUTE_TABLES]
-        for name in names + views:  # look at all of them before the first is touched
-            if self.spark.catalog.tableExists(name) and not self._ours(name):
-                self._claim(name)
+        held = {name for name in names + views if self._held(name)}  # look at all of them before the first is touched
         for layer, tables in TABLES.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.databases[layer]}")
             for table in tables:
-                self._publish(layer, table)
+                self._publish(layer, table, self.name(layer, table) in held)
         for view, cols in schemas.CORE_ATTRIBUTE_TABLES.items():
-            self._claim(f"{core}.{view}")
-            self.spark.sql(f"CREATE VIEW {core}.{view} TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}') AS "
+            self.spark.sql(f"CREATE OR REPLACE VIEW {core}.{view} TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}') AS "
                            f"SELECT {', '.join(cols)} FROM {core}.news")
-        raw = self.databases["raw_store"]
         for view in self.spark.catalog.listTables(raw, "news_df_*"):  # of the store that held the names before
-            if self._ours(f"{raw}.{view.name}"):
+            if self._held(f"{raw}.{view.name}"):
                 self.spark.sql(f"DROP VIEW {raw}.{view.name}")
         self._published = True
         self._publish_raw_views(self.raw_tables())
         return self
 
-    def _publish(self, layer: str, table: str) -> None:
+    def _publish(self, layer: str, table: str, held: bool) -> None:
         name = self.name(layer, table)
-        self._claim(name)
+        if held:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
         self.spark.sql(self._ddl(layer, table, name))
         if TABLES[layer][table][1] and self.exists(layer, table):
             self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")  # once, when the store is published
-        self.spark.catalog.refreshTable(name)
 
     def _publish_raw_views(self, sources: DataFrame) -> None:
         """The reference's per-source raw tables, ``raw_store.news_df_<source>``, as views over the partitioned raw
@@ -284,8 +276,8 @@ class Store:
         raw = self.databases["raw_store"]
         for source in {re.sub("[^A-Za-z0-9_]", "_", r.source) for r in sources.collect()}:
             view = f"{raw}.news_df_{source}"
-            self._claim(view)
-            self.spark.sql(f"CREATE VIEW {view} TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}') AS "
+            self._held(view)
+            self.spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{OWNER}' = '{_quoted(self.root)}') AS "
                            f"SELECT title, link, id, summary, tags, source, published FROM {raw}.news "
                            f"WHERE regexp_replace(source, '[^A-Za-z0-9_]', '_') = '{source}'")
 
@@ -355,7 +347,7 @@ class Store:
         path = self.path(layer, table)
         df.write.mode("overwrite").parquet(path)
         if self._published:
-            self._publish(layer, table)
+            self._publish(layer, table, self._held(self.name(layer, table)))
         self.spark.catalog.refreshByPath(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
