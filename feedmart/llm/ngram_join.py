@@ -19,8 +19,8 @@ a block of candidates:
    counting; lists of very frequent shingles are split by salt, and the centres of their parts joined.
    Connected candidates are a block: documents that link are always in one.
 4. Verification. The sets of a block meet in a task, and every pair in it is compared exactly. A block with more than
-   BLOCK_ROWS classes or BLOCK_SHINGLES shingles is split into parts, and a task takes two parts, so no task gets more
-   than twice that. Tasks return, per class, its links and one edge of a spanning forest, never pairs.
+   BLOCK_ROWS classes or BLOCK_SHINGLES shingles is split into parts by set size and hash; a task takes two parts of
+   compatible sizes, so no task gets more than about twice that. Tasks return, per class, its links and one edge of a spanning forest, never pairs.
 5. Components of the forest, by hooking and pointer jumping; classes are expanded to documents.
 
 Words are the runs of other characters than space and U+0009 to U+000D, after lower-casing A-Z. Fewer than n words make
@@ -31,11 +31,13 @@ has no component. Repeated rows count as links of each other. Other columns are
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import join_groups, short_batches, shuffle_partitions, staged
@@ -49,6 +51,7 @@ SHORT = 32
 SPLIT = 5000
 BLOCK_ROWS = 4096
 BLOCK_SHINGLES = 4_000_000
+PARTS = 1 << 32  # numbers of a band's parts
 MEMBER_BITS = 25
 BIT_CELLS = 64_000_000
 
@@ -426,6 +429,31 @@ def _members_bitmap(members: DataFrame) -> np.ndarray:
     return out
 
 
+def _with_parts(members: DataFrame, num: int, den: int) -> DataFrame:
+    """Adds the class's ``part`` of its block, and ``others``, the parts that it is compared with.
+
+    A large block is split by bands of set size, and a large band by hash. Bands are as wide as the ratio of sizes that
+    linked sets may have, so a part only meets those of its own band and of the two next to it."""
+    width = max(math.log(den / num), 1e-6) * (1 + 1e-9)  # a trifle wider than the ratio: rounding can't skip a band
+    members = members.withColumn("band", F.floor(F.log("n") / width))
+    size = staged(members.groupBy("component", "band").agg(F.count("*").alias("rows"), F.sum("n").alias("total")), "block-sizes")
+    whole = size.groupBy("component").agg(F.sum("rows").alias("rows"), F.sum("total").alias("total"))
+    large = whole.filter((F.col("rows") > BLOCK_ROWS) | (F.col("total") > BLOCK_SHINGLES)).select("component")
+    count = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES))
+    split = size.join(large, "component").select("component", "band", count.alias("parts"))
+    for name, step in (("below", 1), ("above", -1)):
+        split = split.join(split.select("component", (F.col("band") + step).alias("band"), F.col("parts").alias(name)), ["component", "band"], "left")
+
+    def parts(band: Column, n: Column) -> Column:
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda p: band * PARTS + p)).otherwise(F.array().cast("array<long>"))
+    band, one = F.col("band"), F.col("parts").isNull()
+    part = F.when(one, F.lit(0).cast("long")).otherwise(band * PARTS + F.pmod(F.xxhash64("sig"), F.col("parts")))
+    others = F.concat(parts(band - 1, F.col("below")), parts(band, F.col("parts")), parts(band + 1, F.col("above")))
+    members = members.join(staged(split, "block-parts"), ["component", "band"], "left")
+    return members.select("sig", "rep", "copies", "component", part.alias("part"),
+                          F.when(one, F.array(F.lit(0).cast("long"))).otherwise(others).alias("others"))
+
+
 def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, n_links for every row of ``docs``."""
     spark = docs.sparkSession
@@ -437,11 +465,6 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
                                                  F.first("tokens").alias("tokens"), F.first("levels").alias("levels"), F.first("salts").alias("salts")), "classes")
     blocks = components(_candidates(classes, num, den))
     members = staged(classes.select("sig", "rep", "copies", "n").join(blocks.withColumnRenamed("node", "rep"), "rep"), "members")
-    size = members.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("total"))
-    parts = F.greatest(F.ceil(F.col("rows") / BLOCK_ROWS), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    large = size.select("component", parts.alias("parts"))
-    members = members.join(large, "component")
-
     shared = spark.sparkContext.broadcast(_members_bitmap(members))
 
     def cut(batches):
@@ -458,9 +481,9 @@ def jaccard_components(docs: DataFrame, n: int = 3, num: int = 90, den: int = 10
                                               pa.array([s.astype("<u8").tobytes() for _, s in sets], pa.binary())], names=["rep", "sig", "shingles"])
     hashed = texts.filter("doc_id is not null").select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(1 << MEMBER_BITS)).alias("at"), "text")
     sets = hashed.mapInArrow(cut, "rep long, sig binary, shingles binary")
-    rows = sets.join(members, ["rep", "sig"]).withColumn("part", F.pmod(F.xxhash64("sig"), F.col("parts")).cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda p: F.struct(F.least(p, "part").alias("i"), F.greatest(p, "part").alias("j")))
-    tasks = rows.withColumn("pair", F.explode(others)).select("component", F.col("pair.i").alias("i"), F.col("pair.j").alias("j"), "part", "sig", "rep", "copies", "shingles")
+    rows = sets.join(_with_parts(members, num, den), ["rep", "sig"])
+    tasks = rows.withColumn("other", F.explode("others")).select(
+        "component", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "sig", "rep", "copies", "shingles")
     found = staged(tasks.groupBy("component", "i", "j").applyInPandas(_verify(num, den), "sig binary, links long, a long, b long"), "links")
 
     links = found.groupBy("sig").agg(F.sum("links").alias("links"))

@@ -91,6 +91,23 @@ def test_split_blocks_and_lists(spark, copies, monkeypatch):
     assert sorted(map(tuple, ngram_join.jaccard_components(docs, 3, 80, 100).collect())) == _brute(copies, 3, 80, 100)
 
 
+def test_blocks_split_by_size(spark, monkeypatch):
+    """One block of texts that grow by a word each: parts meet their neighbours in size only, and no link is lost."""
+    monkeypatch.setattr(ngram_join, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(ngram_join, "SHORT", 2)
+    words = [f"w{i % 211}" for i in range(130)]
+    rows = [(i, " ".join(words[:3 + i % 120])) for i in range(140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for num, den in ((90, 100), (100, 100)):
+        assert sorted(map(tuple, ngram_join.jaccard_components(docs, 3, num, den).collect())) == _brute(rows, 3, num, den)
+    members = spark.createDataFrame([(bytes([i]), i, 1, n, 7) for i, n in enumerate([1, 9, 10, 10, 11, 100, 111, 112, 500])],
+                                    "sig binary, rep long, copies long, n long, component long")
+    got = {r.rep: r for r in ngram_join._with_parts(members, 90, 100).collect()}
+    meet = {(a, b) for a in got for b in got if got[b].part in got[a].others}
+    assert {(1, 2), (2, 3), (2, 1), (2, 4), (5, 6)} <= meet and not {(0, 1), (4, 5), (7, 8), (0, 8)} & meet
+    assert all((b, a) in meet for a, b in meet)
+
+
 def test_full_bitmap_changes_nothing(spark, copies, monkeypatch):
     full = lambda docs, n: (np.full((1 << 27) // 8, 255, np.uint8), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
     monkeypatch.setattr(ngram_join, "frequencies", full)
