@@ -66,7 +66,7 @@ class PieceLengths:
         found = [get(w) for w in words]
         miss = [i for i, n in enumerate(found) if n is None]
         if miss:
-            new = {words[i] for i in miss} - cached.keys()
+            new = {words[i] for i in miss if words[i] not in cached}
             short = [w for w in new if len(w) <= LONGEST]
             long = {w: len(self.model.encode(w)) - 2 * (w[0] == "\n") for w in new if len(w) > LONGEST}
             known = {words[i]: cached[words[i]] for i in miss if words[i] in cached}
@@ -81,6 +81,18 @@ class PieceLengths:
         return out
 
 
+_loaded: dict[int, PieceLengths] = {}
+
+
+def loaded(model: bytes, table: list[tuple[str, int]]) -> PieceLengths:
+    """One table, model and cache per Python worker, kept over its tasks."""
+    key = hash((model, tuple(table)))
+    if key not in _loaded:
+        _loaded.clear()
+        _loaded[key] = PieceLengths(model, table)
+    return _loaded[key]
+
+
 def pre_tokens(text: str) -> tuple[int, list[str]]:
     """Number of line feeds, and the other pre-tokens: a word that follows one space as it is, others with their
     spaces after a line feed."""
@@ -160,7 +172,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     shared = spark.sparkContext.broadcast((model, [(w, own.cache[w]) for w in words]))
 
     def count(batches):
-        lengths = PieceLengths(*shared.value)
+        lengths = loaded(*shared.value)
         for b in batches:
             n = lengths.count(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64())], names=["doc_id", "n_bytes", "n_tokens"])
