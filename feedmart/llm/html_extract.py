@@ -2,7 +2,8 @@
 
 A page is read as a sequence of blocks, each with its tag path, the names (and roles, see ROLE) of its open elements
 from the root to the leaf. Elements that can't hold the article (BOILERPLATE, or a class or id with a word of ROLE)
-are left out while reading. Then, per tag path, text length and punctuation are summed over its blocks; the
+are left out while reading, as are hidden ones (a ``hidden`` attribute, aria-hidden that is true, a style with display:none or
+visibility:hidden). Then, per tag path, text length and punctuation are summed over its blocks; the
 ratios of both to the number of blocks are smoothed over neighbouring blocks in page order, fused into one score
 that the share of text outside links weakens, averaged per path, and a path whose score reaches SHARE of
 the page's text-weighted mean is content. Inside an ``article`` or ``main`` element scores count CONTAINER times. Headings go with the content that follows them.
@@ -47,19 +48,40 @@ ROLE = re.compile(r"(?<![a-z])(?:ads?|adverts?|advertisements?|advertising|spons
                   r"widgets?|copyright|legal|disclaimers?|pagination|pager|toolbar|skip|search)(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 SPACE = re.compile(r"\s+")
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
+CSS_COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([A-Za-z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>?|([^<]++|<)""", re.S)
 
 
+def _attributes(attrs: str) -> dict[str, str]:
+    """Values by lower-case name; the first of a repeated name counts, as in browsers."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(attrs):
+        out.setdefault(name.lower(), html.unescape("".join(values)))
+    return out
+
+
+def _is_hidden(attributes: dict[str, str]) -> bool:
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true":
+        return True
+    style: dict[str, tuple[bool, str]] = {}
+    for declaration in CSS_COMMENT.sub(" ", attributes.get("style", "")).lower().split(";"):
+        name, _, value = declaration.partition(":")
+        value, important, _ = value.partition("!")
+        if bool(important) >= style.get(name.strip(), (False, ""))[0]:  # the last one counts, important ones first
+            style[name.strip()] = (bool(important), value.strip())
+    return style.get("display", (0, ""))[1] == "none" or style.get("visibility", (0, ""))[1] == "hidden"
+
+
 def _is_boilerplate(name: str, attrs: str) -> bool:
     if name in BOILERPLATE:
         return True
     if not attrs.strip() or name in ("html", "body", "article", "main"):
         return False
-    if any(ROLE.search(next(filter(None, m), "").lower().replace("_", "-")) for m in ATTRIBUTE.findall(attrs)):
+    attributes = _attributes(attrs)
+    if any(ROLE.search(attributes.get(k, "").lower().replace("_", "-")) for k in ("class", "id", "role")):
         return True
-    return bool(HIDDEN.search(attrs))
+    return _is_hidden(attributes)
 
 
 class _Reader:

@@ -39,6 +39,18 @@ def test_extraction_of_small_pages(page, want):
     assert html_extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("attrs", ["style='overflow:hidden'", "class=overflow-hidden", "aria-hidden='false'", "data-hidden='false'", "title='display:none, hidden'",
+                                   "style='display:none;display:block'", "data-id=sidebar"])
+def test_look_alikes_of_hidden_are_read(attrs):
+    assert html_extract.main_text(f"<body><div {attrs}><article><p>{LONG}</p></article></div></body>") == LONG.strip()
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=''", "class=x hidden", "aria-hidden=true", "aria-hidden = 'TRUE'", "style='color:red; Display : NONE !important'",
+                                   'style="visibility:hidden"', "style='display:none!important;display:block'"])
+def test_hidden_elements_are_left_out(attrs):
+    assert html_extract.main_text(f"<body><p>{LONG}</p><div {attrs}><p>{LONG}{LONG}</p></div></body>") == LONG.strip()
+
+
 def test_extraction_edges(spark):
     deep, long = "<div>" * 20_000 + "deep", "<p>" + LONG * 5000
     pages = spark.createDataFrame([(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (None, "v", deep, "t"), (4, "w", long, "t")],
