@@ -1,9 +1,9 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read as a sequence of blocks, each with its tag path, the names (and roles, see ROLE) of its open elements
-from the root to the leaf. Elements that can't hold the article (BOILERPLATE, or a class or id with a word of ROLE)
-are left out while reading, as are hidden ones (a ``hidden`` attribute, aria-hidden that is true, a style with display:none or
-visibility:hidden). Then, per tag path, text length and punctuation are summed over its blocks; the
+A page is read as a sequence of blocks, each with its tag path, the names of its open elements
+from the root to the leaf. Elements that can't hold the article (BOILERPLATE) are left out while reading, as are hidden ones (a ``hidden`` attribute, aria-hidden that is true, a style with display:none or
+visibility:hidden). Elements that usually don't hold it (UNLIKELY, or a class, id or role that _names_boilerplate) are read, and
+left out once the page is known, unless they hold the article, see _Reader.kept. Then, per tag path, text length and punctuation are summed over its blocks; the
 ratios of both to the number of blocks are smoothed over neighbouring blocks in page order, fused into one score
 that the share of text outside links weakens, averaged per path, and a path whose score reaches SHARE of
 the page's text-weighted mean is content. Inside an ``article`` or ``main`` element scores count CONTAINER times. Headings go with the content that follows them.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,10 +31,14 @@ SHARE = 0.12
 CONTAINER = 8.0
 KERNEL = (0.25, 0.5, 1.0, 0.5, 0.25)
 DEEPEST = 200
+LONGEST_NAME = 80
 
 # Element names of HTML.
-BOILERPLATE = frozenset("nav header footer aside form button select textarea option label fieldset menu dialog script style "
+BOILERPLATE = frozenset("button select textarea option label script style "
                         "noscript template iframe object svg math canvas audio video map head title figcaption".split())
+# Left out unless they hold the article; in those of SECONDARY, articles are often comments or teasers.
+SECONDARY = frozenset("nav footer aside menu dialog".split())
+UNLIKELY = SECONDARY | frozenset("header form fieldset".split())
 RAW = frozenset("script style template iframe textarea title svg math canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt figure footer form h1 h2 h3 h4 h5 h6 "
@@ -41,11 +46,21 @@ BLOCKS = frozenset("address article aside blockquote body center dd details div
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",)}
-# Words in a class, id or role that mark what isn't the article.
-ROLE = re.compile(r"(?<![a-z])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed)?|promo(?:tion)?s?|banners?|comments?|respond|disqus|"
-                  r"replies|side-?bars?|menus?|nav(?:bar|igation)?|breadcrumbs?|footers?|headers?|mastheads?|cookies?|consent|notices?|alerts?|"
-                  r"pop-?ups?|modals?|overlays?|newsletters?|subscri(?:be|ption)|sign-?up|log-?in|share|sharing|social|related|recommended|"
-                  r"widgets?|copyright|legal|disclaimers?|pagination|pager|toolbar|skip|search)(?![a-z])")
+# Words in a class, id or role that mark what isn't the article: alone or with words of PLAIN; those of HEADS also at the end of a class or
+# before words of PLAIN there (ids may be the words of a heading).
+HEADS = frozenset("comment comments respond disqus replies sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer footers "
+                  "masthead mastheads banner banners cookie cookies popup popups modal modals pagination pager toolbar newsletter newsletters "
+                  "ad ads advert adverts advertisement advertisements advertising sharing share social related recommended promo promos".split())
+ROLE = HEADS | frozenset("sponsor sponsored promotion promotions header headers consent notice notices alert alerts overlay overlays "
+                         "subscribe subscription signup login widget widgets copyright legal disclaimer "
+                         "disclaimers skip search".split())
+PLAIN = frozenset("site page main global top bottom left right primary secondary upper lower inner outer list box bar area slot unit buttons button "
+                  "icons icon links link items item section block form posts articles stories text title wrapper wrap container".split())
+# A name with one of these words tells of the page or its subject, not of the element: has-sidebar, no-comments, category-cookies.
+NOT_OWN = frozenset("has no not non with without hide hides show shows is category cat tag term type format status".split())
+COMMENTS = frozenset("comment comments respond disqus replies related recommended sidebar sidebars".split())
+SPLIT = (("side-bar", "sidebar"), ("pop-up", "popup"), ("sign-up", "signup"), ("log-in", "login"))
+WORD = re.compile(r"[a-z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…。、，！？]")
 SPACE = re.compile(r"\s+")
 ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s>/=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]++)))?""")
@@ -73,42 +88,107 @@ def _is_hidden(attributes: dict[str, str]) -> bool:
     return style.get("display", (0, ""))[1] == "none" or style.get("visibility", (0, ""))[1] == "hidden"
 
 
-def _is_boilerplate(name: str, attrs: str) -> bool:
+@lru_cache(maxsize=1 << 14)
+def _names_boilerplate(token: str, is_class: bool, inside: bool) -> int:
+    """0, or 1 if a token of a class, id or role marks what isn't the article, 2 if it has a word of COMMENTS."""
+    token = token.replace("_", "-")
+    for apart, joined in SPLIT:
+        token = token.replace(apart, joined)
+    words = [w for w in WORD.findall(token) if not (inside and w in ("header", "headers"))]
+    if ":" in token or not NOT_OWN.isdisjoint(words) or ROLE.isdisjoint(words):
+        return 0
+    own = next(w for w in reversed(words) if w not in PLAIN)
+    if (is_class and own in HEADS) or all(w in ROLE or w in PLAIN for w in words):
+        return 1 if COMMENTS.isdisjoint(words) else 2
+    return 0
+
+
+def _kind(name: str, attrs: str, inside: bool) -> int:
+    """0 for an element that is read, 1 if it is left out unless it holds the article, 2 if articles in it needn't be the article, 3 if
+    it is left out. ``inside`` an article, headers hold its title."""
     if name in BOILERPLATE:
-        return True
+        return 3
+    kind = 2 if name in SECONDARY else int(name in UNLIKELY and not (inside and name == "header"))
     if not attrs.strip() or name in ("html", "body", "article", "main"):
-        return False
+        return kind
     attributes = _attributes(attrs)
-    if any(ROLE.search(attributes.get(k, "").lower().replace("_", "-")) for k in ("class", "id", "role")):
-        return True
-    return _is_hidden(attributes)
+    if _is_hidden(attributes):
+        return 3
+    for k in ("class", "role") if name in HEADINGS else ("class", "id", "role"):
+        for token in attributes.get(k, "").lower().split():
+            if len(token) <= LONGEST_NAME:
+                kind = max(kind, _names_boilerplate(token, k == "class", inside))
+    return kind
 
 
 class _Reader:
-    """Blocks of a page: (path, in container, heading, text, characters inside links)."""
+    """Blocks of a page: (path, in container, heading, text, characters inside links), and the element of each."""
 
     def __init__(self):
         self.blocks: list[tuple[str, bool, bool, str, int]] = []
+        self.of: list[int] = []  # the innermost element of each block
         self.open: list[str] = []
+        self.ids: list[int] = [0]  # the numbers of the open elements, after that of the page
+        self.parent, self.kinds, self.tags = [0], [0], [""]  # by number; parents have smaller ones
         self.names: Counter = Counter()  # how many elements of a name are open
         self.skips = 0  # depth of the outermost element that is left out, 0 if none
+        self.unlikely: list[int] = []  # depths of the open elements of kind 1 and 2
         self.parts: list[str] = []
-        self.linked = self.container = self.links = 0
+        self.linked = self.container = self.links = self.element = 0
         self.heading = False
         self.path = ""
 
+    def kept(self) -> list[int]:
+        """The blocks that stay when elements of kind 1 and 2 are left out, but for those that hold the article.
+
+        An element of kind 1 holds it if it has text in an ``article`` or ``main``, or most of the page's text outside links.
+        One of kind 2 (comments and teasers are articles, too) does if it has text in a ``main``, or if it has most of the text and no
+        article outside it has any, nor, if it has no article either, more than a tenth of the text is in plain sight:
+        it is a wrapper, or its end tag is missing.
+        """
+        size = len(self.parent)
+        plain, open_, kinds, parent = [0] * size, 0, self.kinds, self.parent
+        free = [True] * size  # outside all elements of kind 1 and 2
+        for e in range(1, size):
+            free[e] = free[parent[e]] and not kinds[e]
+        if all(free):
+            return list(range(len(self.blocks)))
+        for (_, _, _, text, linked), e in zip(self.blocks, self.of):
+            plain[e] += len(text) - linked
+            open_ += free[e] * (len(text) - linked)
+        whole, articles, mains = plain[:], [0] * size, [0] * size
+        for e in range(size - 1, 0, -1):
+            whole[parent[e]] += whole[e]
+            articles[parent[e]] += whole[e] if self.tags[e] in ("article", "main") else articles[e]
+        total, all_articles, within = whole[0], articles[0], articles
+        out, articles = [False] * size, [0] * size
+        for e in range(size - 1, 0, -1):
+            if kinds[e] == 1:
+                out[e] = not (articles[e] or 2 * plain[e] > total)
+            elif kinds[e] == 2:
+                most = 2 * whole[e] > total and within[e] == all_articles and (within[e] > 0 or 10 * open_ <= total)
+                out[e] = not (mains[e] or most)
+            if not out[e]:
+                plain[parent[e]] += plain[e]
+                articles[parent[e]] += plain[e] if self.tags[e] in ("article", "main") else articles[e]
+                mains[parent[e]] += plain[e] if self.tags[e] == "main" else mains[e]
+        for e in range(1, size):
+            out[e] = out[e] or out[parent[e]]
+        return [i for i, e in enumerate(self.of) if not out[e]]
+
     def flush(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
             if text:
                 self.blocks.append((self.path, self.container > 0, self.heading, text, min(self.linked, len(text))))
+                self.of.append(self.element)
             self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
         if self.skips:
             return
         if not self.parts:
-            self.path = "/".join(self.open[:DEEPEST])
+            self.path, self.element = "/".join(self.open[:DEEPEST]), self.ids[-1]
             self.heading = any(n in HEADINGS for n in self.open[-4:])
         self.parts.append(raw)
         if self.links:
@@ -128,13 +208,21 @@ class _Reader:
             self.close_near("p", 12)  # a block ends an open paragraph
         for other in CLOSES.get(name, ()):
             self.close_near(other, 6)
+        kind = 0 if self.skips else _kind(name, attrs, self.container > 0)
         self.open.append(name)
         self.names[name] += 1
         self.container += name in ("article", "main")
         self.links += name == "a"
-        if not self.skips and _is_boilerplate(name, attrs):
+        if kind:
             self.flush()
-            self.skips = len(self.open)
+            if kind == 3:
+                self.skips = len(self.open)
+            else:
+                self.unlikely.append(len(self.open))
+        self.parent.append(self.ids[-1])
+        self.ids.append(len(self.kinds))
+        self.kinds.append(kind % 3)
+        self.tags.append(name)
 
     def end(self, name: str) -> None:
         if name in BLOCKS and not self.skips:
@@ -144,7 +232,7 @@ class _Reader:
         at = len(self.open) - 1
         while self.open[at] != name:
             at -= 1
-        if self.skips and at < self.skips - 1 and name not in BLOCKS:
+        if at < max(self.skips, *self.unlikely[-1:], 0) - 1 and name not in BLOCKS:
             return  # an inline end tag can't end the element that is left out
         self.pop_to(at)
 
@@ -159,13 +247,15 @@ class _Reader:
         if self.skips > at:
             self.skips = 0
         elif not self.skips:
-            if any(n in BLOCKS for n in self.open[at:]):
+            if (self.unlikely and self.unlikely[-1] > at) or any(n in BLOCKS for n in self.open[at:]):
                 self.flush()
         for n in self.open[at:]:
             self.container -= n in ("article", "main")
             self.links -= n == "a"
             self.names[n] -= 1
-        del self.open[at:]
+        del self.open[at:], self.ids[at + 1:]
+        while self.unlikely and self.unlikely[-1] > at:
+            self.unlikely.pop()
 
 
 def blocks(page: str) -> list[tuple[str, bool, bool, str, int]]:
@@ -193,7 +283,7 @@ def blocks(page: str) -> list[tuple[str, bool, bool, str, int]]:
         else:
             reader.start(name, attrs)
     reader.flush()
-    return reader.blocks
+    return [reader.blocks[i] for i in reader.kept()]
 
 
 def _find_end(page: str, name: str, at: int) -> int:

@@ -51,6 +51,37 @@ def test_hidden_elements_are_left_out(attrs):
     assert html_extract.main_text(f"<body><p>{LONG}</p><div {attrs}><p>{LONG}{LONG}</p></div></body>") == LONG.strip()
 
 
+ARTICLE = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}{LONG}</p></article>"
+PLAIN = f"<h1>Title</h1><p>{LONG}</p><p>{LONG}{LONG}</p>"
+TEXT = f"Title\n{LONG.strip()}\n{(LONG * 2).strip()}"
+
+
+@pytest.mark.parametrize("body", [ARTICLE, PLAIN, f"<main>{PLAIN}</main>"])
+@pytest.mark.parametrize("start, end", [
+    ("<div class='content has-sidebar'>", "</div>"), ("<div class=elementor-widget-container>", "</div>"), ("<div class='post no-comments'>", "</div>"),
+    ("<section id=legal-news>", "</section>"), ("<form action=x method=post>", "</form>"), ("<div id=page class='right-sidebar'>", "</div>"),
+    ("<div class=widget>", "</div>"), ("<header>", "</header>"), ("<aside>", ""), ("<nav><a href=x>Home</a>", ""), ("<div class='ad'>", "")])
+def test_elements_that_hold_the_article_are_read(body, start, end):
+    assert html_extract.main_text(f"<body><nav><a href=y>Home</a></nav>{start}{body}{end}<footer>Imprint, and more.</footer></body>") == TEXT
+
+
+@pytest.mark.parametrize("name", ["class=sidebar", "id='comments'", "class='x ad-slot'", "class=related-posts", "class=site_footer", "class=cookie-banner", "class='post-comments'",
+                                  "role=navigation", "class=share-buttons", "class=newsletter-form", "class=breadcrumbs", "class='side-bar'", "class=main-menu"])
+def test_named_boilerplate_is_left_out(name):
+    assert html_extract.main_text(f"<body>{ARTICLE}<div {name}><p>{LONG}</p></div></body>") == TEXT
+    assert html_extract.main_text(f"<body>{ARTICLE.replace('</article>', '')}<div {name}><p>{LONG}</p></div></article></body>") == TEXT
+
+
+def test_comments_and_teasers_are_not_the_article():
+    for name in ("<section id=comments>", "<aside>", "<div class=related>"):
+        end = f"</{name[1:].split()[0].strip('>')}>"
+        assert html_extract.main_text(f"<body>{ARTICLE}{name}{f'<article><p>{LONG * 4}</p></article>' * 5}{end}</body>") == TEXT
+    assert html_extract.main_text(f"<main>{PLAIN}<section class=comments>{f'<article><p>{LONG}</p></article>' * 9}</section></main>") == TEXT
+    for part in ("<h2 id=cookies>", "<h2 id='how-to-delete-cookies'>", "<h2 class=tag-social>", "<section id=the-sidebar-of-the-page><h2>"):
+        assert html_extract.main_text(f"<body><article><p>{LONG}</p>{part}Next</h2><p>{LONG}</p></article>") == f"{LONG.strip()}\nNext\n{LONG.strip()}"
+    assert html_extract.main_text(f"<article><header class=entry-header><h1>Title</h1></header>{PLAIN[14:]}</article>") == TEXT
+
+
 def test_extraction_edges(spark):
     deep, long = "<div>" * 20_000 + "deep", "<p>" + LONG * 5000
     pages = spark.createDataFrame([(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (None, "v", deep, "t"), (4, "w", long, "t")],
