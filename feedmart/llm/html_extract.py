@@ -46,6 +46,10 @@ BLOCKS = frozenset("address article aside blockquote body center dd details div
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",)}
+# What starts inside these closes nothing outside them.
+BARRIERS = frozenset("table button noscript select".split())
+LISTS = frozenset("ul ol dl".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript".split())  # and RAW; anything else ends an open head
 # Words in a class, id or role that mark what isn't the article: alone or with words of PLAIN; those of HEADS also at the end of a class or
 # before words of PLAIN there (ids may be the words of a heading).
 HEADS = frozenset("comment comments respond disqus replies sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer footers "
@@ -185,6 +189,8 @@ class _Reader:
             self.parts, self.linked = [], 0
 
     def text(self, raw: str) -> None:
+        if self.skips and self.open[-1] == "head" and raw.strip():
+            self.end("head")
         if self.skips:
             return
         if not self.parts:
@@ -195,6 +201,8 @@ class _Reader:
             self.linked += len(raw.strip())
 
     def start(self, name: str, attrs: str) -> None:
+        if self.names["head"] and (name == "body" or (self.open[-1] == "head" and name not in IN_HEAD)):
+            self.end("head")
         if name == "br":
             if not self.skips:
                 self.parts and self.parts.append(" ")
@@ -203,9 +211,10 @@ class _Reader:
             if name == "hr" and not self.skips:
                 self.flush()
             return
-        if not self.skips and name in BLOCKS:
-            self.flush()
-            self.close_near("p", 12)  # a block ends an open paragraph
+        if name in BLOCKS:
+            if not self.skips:
+                self.flush()
+            self.close_near("p", 12)  # a block ends an open paragraph, also one that is left out
         for other in CLOSES.get(name, ()):
             self.close_near(other, 6)
         kind = 0 if self.skips else _kind(name, attrs, self.container > 0)
@@ -242,6 +251,8 @@ class _Reader:
             if self.open[at] == name:
                 self.pop_to(at)
                 return
+            if self.open[at] in BARRIERS or (self.open[at] in LISTS and name in ("li", "dt", "dd")):
+                return
 
     def pop_to(self, at: int) -> None:
         if self.skips > at:

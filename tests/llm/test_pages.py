@@ -82,6 +82,22 @@ def test_comments_and_teasers_are_not_the_article():
     assert html_extract.main_text(f"<article><header class=entry-header><h1>Title</h1></header>{PLAIN[14:]}</article>") == TEXT
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<head><title>x</title><body><p>{LONG}</p>", LONG.strip()),
+    (f"<!DOCTYPE html><title>x</title><head><meta charset=utf-8><link rel=x><style>a</style><p>{LONG}</p>", LONG.strip()),
+    (f"<html><head><noscript><link rel=x></noscript><script>a</script>\n{LONG}", LONG.strip()),
+    (f"<head><noscript>No scripts.<body><p>{LONG}</p>", LONG.strip()),
+    (f"<div><p class=share>Share<p>{LONG}<p>{LONG}</div>", f"{LONG.strip()}\n{LONG.strip()}"),
+    (f"<div><p hidden>Share<p>{LONG}<h2>Next</h2><p>{LONG}</div>", f"{LONG.strip()}\nNext\n{LONG.strip()}"),
+    (f"<div><p style='display:none'>Share <b>it<ul><li>{LONG}</ul></div>", LONG.strip()),
+    (f"<ul><li hidden>Share<li>{LONG}</ul>", LONG.strip()),
+    (f"<ul><li>{LONG}<div hidden><ul><li>a<li>b</ul>c</div><li>{LONG}</ul>", f"{LONG.strip()}\n{LONG.strip()}"),
+    (f"<table><tr><td>{LONG}<div hidden><table><tr><td>a<td>b</table>c</div><tr><td>{LONG}</table>", f"{LONG.strip()}\n{LONG.strip()}"),
+    (f"<p>{LONG}<button><div>Buy</div> now</button></p><p>{LONG}</p>", f"{LONG.strip()}\n{LONG.strip()}")])
+def test_optional_end_tags_of_what_is_left_out(page, want):
+    assert html_extract.main_text(page) == want
+
+
 def test_extraction_edges(spark):
     deep, long = "<div>" * 20_000 + "deep", "<p>" + LONG * 5000
     pages = spark.createDataFrame([(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (None, "v", deep, "t"), (4, "w", long, "t")],
