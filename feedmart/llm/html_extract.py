@@ -7,6 +7,8 @@ left out once the page is known, unless they hold the article, see _Reader.kept.
 ratios of both to the number of blocks are smoothed over neighbouring blocks in page order, fused into one score
 that the share of text outside links weakens, averaged per path, and a path whose score reaches SHARE of
 the page's text-weighted mean is content. Inside an ``article`` or ``main`` element scores count CONTAINER times. Headings go with the content that follows them.
+An ``article`` or ``main`` with most of the text outside links is the article: all blocks that are read in it are content. Without one, lists,
+tables, quotes and the like that stand beside the paragraphs with most of the text, in the same element, are content unless they are mostly links.
 
 Defined results: a null or empty page has an empty text. Character references are decoded; white space inside a
 block becomes one space; blocks are joined by a line feed in page order; unclosed elements end where their
@@ -44,6 +46,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+FLOW = frozenset("p ul ol dl table blockquote pre figure".split())  # what an article consists of
+WRAPPERS = BLOCKS - FLOW - HEADINGS - frozenset("li dt dd tr thead tbody tfoot summary".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",)}
 # What starts inside these closes nothing outside them.
@@ -180,6 +184,32 @@ class _Reader:
             out[e] = out[e] or out[parent[e]]
         return [i for i, e in enumerate(self.of) if not out[e]]
 
+    def sure(self, kept: list[int]) -> list[bool]:
+        """Which of the blocks ``kept`` lie in the article: in the outermost ``article`` with most of their text outside links, else
+        in such a ``main``, else in all articles if they have most of it together, else beside the paragraphs that have most of it."""
+        size, parent, tags = len(self.parent), self.parent, self.tags
+        whole = [0] * size
+        for i in kept:
+            whole[self.of[i]] += len(self.blocks[i][3]) - self.blocks[i][4]
+        for e in range(size - 1, 0, -1):
+            whole[parent[e]] += whole[e]
+        large = [e for e in range(1, size) if 2 * whole[e] > whole[0]]  # each inside the one before
+        one = next((e for tag in ("article", "main") for e in large if tags[e] == tag), 0)
+        within, together = [False] * size, 0
+        for e in range(1, size):
+            within[e] = within[parent[e]] or (e == one if one else tags[e] == "article")
+            together += whole[e] if within[e] and not within[parent[e]] else 0
+        if 2 * together > whole[0]:
+            return [within[self.of[i]] for i in kept]
+        last = next((e for e in reversed(large) if tags[e] in WRAPPERS), 0)
+        beside, flow = [False] * size, 0
+        for e in range(1, size):
+            beside[e] = tags[e] in FLOW if parent[e] == last else beside[parent[e]]
+            flow += whole[e] if beside[e] and parent[e] == last else 0
+        if 2 * flow <= whole[0]:
+            return [False] * len(kept)
+        return [beside[self.of[i]] and 2 * self.blocks[i][4] <= len(self.blocks[i][3]) for i in kept]
+
     def flush(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
@@ -269,7 +299,8 @@ class _Reader:
             self.unlikely.pop()
 
 
-def blocks(page: str) -> list[tuple[str, bool, bool, str, int]]:
+def blocks(page: str) -> list[tuple[str, bool, bool, str, int, bool]]:
+    """Path, in a container, heading, text, characters inside links, in the article for sure."""
     reader, at, low = _Reader(), 0, None
     while at < len(page):
         m = TOKEN.match(page, at)
@@ -294,7 +325,8 @@ def blocks(page: str) -> list[tuple[str, bool, bool, str, int]]:
         else:
             reader.start(name, attrs)
     reader.flush()
-    return [reader.blocks[i] for i in reader.kept()]
+    kept = reader.kept()
+    return [(*reader.blocks[i], sure) for i, sure in zip(kept, reader.sure(kept))]
 
 
 def _find_end(page: str, name: str, at: int) -> int:
@@ -307,7 +339,7 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     length, marks, count, plain = defaultdict(float), defaultdict(float), defaultdict(int), defaultdict(float)
-    for path, _, _, text, linked in found:
+    for path, _, _, text, linked, _ in found:
         length[path] += len(text)
         marks[path] += len(PUNCTUATION.findall(text))
         plain[path] += len(text) - linked
@@ -330,10 +362,10 @@ def main_text(page: str | None) -> str:
         of_path[b[0]] += s / count[b[0]]
     # square roots: a page with one very long block doesn't lose its shorter ones
     mean = sum(of_path[b[0]] ** 0.5 * len(b[3]) for b in found) / sum(len(b[3]) for b in found)
-    keep = [of_path[b[0]] ** 0.5 >= SHARE * mean for b in found]
+    keep = [b[5] or of_path[b[0]] ** 0.5 >= SHARE * mean for b in found]
     for i in range(len(found) - 2, -1, -1):
         if found[i][2]:
-            keep[i] = keep[i + 1]
+            keep[i] = found[i][5] or keep[i + 1]
     return "\n".join(b[3] for b, k in zip(found, keep) if k)
 
 

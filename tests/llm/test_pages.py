@@ -98,6 +98,27 @@ def test_optional_end_tags_of_what_is_left_out(page, want):
     assert html_extract.main_text(page) == want
 
 
+@pytest.mark.parametrize("start, end", [
+    ("<article>", "</article>"), ("<main>", "</main>"), ("<div><div class=post>", "</div><div>Imprint</div></div>"), ("<main><article>", "</article></main>"), ("<article><div><article>", "</article></div></article>")])
+@pytest.mark.parametrize("part, lines", [
+    ("<ul>" + "<li>forty characters without any marks in it" * 30 + "</ul>", ["forty characters without any marks in it"] * 30),
+    ("<table>" + "<tr><td>a<td>12" * 20 + "</table>", ["a", "12"] * 20), ("<blockquote>So be it</blockquote>", ["So be it"]),
+    ("<pre>x = 1</pre>", ["x = 1"]), ("<ul><li><a href=x>A source</a></ul>", ["A source"]), ("<h3>Last words</h3>", ["Last words"])])
+def test_short_blocks_of_an_article_with_long_paragraphs(start, end, part, lines):
+    para = LONG * 21
+    page = f"<body><nav><li><a href=x>Home</a></nav>{start}{f'<p>{para}</p>' * 10}<h2>Next</h2>{part}{end}<ul><li><a href=1>one</a><li><a href=2>two</a></ul></body>"
+    if "post" in start and ("href" in part or "<h3>" in part):
+        return  # outside an article, links and last headings may be the page's
+    assert html_extract.main_text(page) == "\n".join([para.strip()] * 10 + ["Next"] + lines)
+
+
+def test_articles_that_have_most_of_the_text_together():
+    para = f"<p>{LONG}</p>"
+    one = f"<article><p>{LONG * 20}</p><ul><li>short</ul></article>"
+    assert html_extract.main_text(f"{para * 9}<ul><li>short</ul>") == "\n".join([LONG.strip()] * 9 + ["short"])
+    assert html_extract.main_text(f"<body>{one * 3}<div><a href=x>more</a></div>") == "\n".join([(LONG * 20).strip(), "short"] * 3)
+
+
 def test_extraction_edges(spark):
     deep, long = "<div>" * 20_000 + "deep", "<p>" + LONG * 5000
     pages = spark.createDataFrame([(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (None, "v", deep, "t"), (4, "w", long, "t")],
