@@ -37,17 +37,17 @@ LONGEST_NAME = 80
 
 # Element names of HTML.
 BOILERPLATE = frozenset("button select textarea option label script style "
-                        "noscript template iframe object svg math canvas audio video map head title figcaption".split())
+                        "noscript template iframe object svg math canvas audio video head title".split())
 # Left out unless they hold the article; in those of SECONDARY, articles are often comments or teasers.
 SECONDARY = frozenset("nav footer aside menu dialog".split())
 UNLIKELY = SECONDARY | frozenset("header form fieldset".split())
 RAW = frozenset("script style template iframe textarea title svg math canvas object".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt figure footer form h1 h2 h3 h4 h5 h6 "
+BLOCKS = frozenset("address article aside blockquote body center dd details div dl dt figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hr html legend li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 FLOW = frozenset("p ul ol dl table blockquote pre figure".split())  # what an article consists of
-WRAPPERS = BLOCKS - FLOW - HEADINGS - frozenset("li dt dd tr thead tbody tfoot summary".split())
+WRAPPERS = BLOCKS - FLOW - HEADINGS - frozenset("li dt dd tr thead tbody tfoot summary figcaption".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",)}
 # What starts inside these closes nothing outside them.

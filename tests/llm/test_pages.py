@@ -119,6 +119,13 @@ def test_articles_that_have_most_of_the_text_together():
     assert html_extract.main_text(f"<body>{one * 3}<div><a href=x>more</a></div>") == "\n".join([(LONG * 20).strip(), "short"] * 3)
 
 
+def test_captions_and_maps_are_read():
+    figure = f"<figure><img src=x><figcaption>A caption, of {LONG}</figcaption></figure><p><map name=m><area href=x>{LONG}</map></p>"
+    want = f"{LONG.strip()}\nA caption, of {LONG.strip()}\n{LONG.strip()}"
+    assert html_extract.main_text(f"<article><p>{LONG}</p>{figure}</article>") == want == html_extract.main_text(f"<p>{LONG}</p>{figure}")
+    assert html_extract.main_text(f"<p>{LONG}</p><label>Mail</label><dialog>Sure?</dialog><noscript>No scripts.</noscript>") == LONG.strip()
+
+
 def test_extraction_edges(spark):
     deep, long = "<div>" * 20_000 + "deep", "<p>" + LONG * 5000
     pages = spark.createDataFrame([(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (None, "v", deep, "t"), (4, "w", long, "t")],
