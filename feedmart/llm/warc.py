@@ -6,7 +6,8 @@ the others are revisit records without payload. ``read`` parses archives and che
 its digest; ``resolve`` joins revisits to their responses by digest.
 
 Archives are written by Spark's text writer with its commit protocol into a folder of shared storage: a lost
-executor's half-written files never show. A file is one gzip stream of at most RECORDS_PER_FILE records.
+executor's half-written files never show. A file is one gzip stream of at most RECORDS_PER_FILE records and of at most
+ARCHIVE_BYTES of payloads, or of one record with a larger payload. Archives are inflated and parsed piece by piece.
 
 Defined results: a null payload is empty; empty payloads are equal payloads. Repeated rows (same id, same payload)
 as the response are responses themselves. A null id counts as the smallest. A null address is replaced by the
@@ -26,6 +27,9 @@ from pyspark.sql import functions as F
 from .common import batch_rows, join_groups, staged
 
 RECORDS_PER_FILE = 4000
+ARCHIVE_BYTES = 64 << 20
+PIECE_BYTES = 1 << 20
+BATCH_BYTES = 16 << 20
 DATE = "1970-01-01T00:00:00Z"
 # The record format, and its profile of revisits with an equal payload.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -81,27 +85,89 @@ def record_text(row: DataFrame, date: str = DATE) -> DataFrame:
     return row.select(F.concat(head, block, F.lit("\r\n\r")).alias("value"))
 
 
+def size_levels() -> list[tuple[int, int, int]]:
+    """(least, most, records): payload bytes above ``least`` up to ``most``, and how many such records an archive holds."""
+    levels, least, records = [], -1, RECORDS_PER_FILE
+    while records > 1:
+        levels.append((least, ARCHIVE_BYTES // records, records))
+        least, records = ARCHIVE_BYTES // records, records // 4
+    return levels + [(least, 1 << 31, 1)]
+
+
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", date: str = DATE) -> None:
-    """Write deduplicated archives into the new folder ``path``."""
-    rows = with_revisits(records(pages, id_col, url_col, payload_col))
-    (record_text(rows, date).write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
-     .option("maxRecordsPerFile", RECORDS_PER_FILE).text(path))
-
-
-def parse(data: bytes):
-    """(headers, block) of each record of an archive; headers have lower-case names."""
-    at = 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8").split("\r\n")
+    """Write deduplicated archives into the new folder ``path``, those of each level of payload sizes in a job of their own; only
+    the last one marks the folder as complete."""
+    plain = records(pages, id_col, url_col, payload_col)
+    rows, n_bytes = with_revisits(plain), F.octet_length("payload")
+    levels = size_levels()
+    level = sum(((n_bytes > least).cast("int") for least, _, _ in levels[1:]), F.lit(0))
+    found = sorted({0, *plain.agg(F.collect_set(level)).first()[0]})  # the first job refuses a folder that is there
+    for i in found:
+        least, most, n = levels[i]
+        revisit = F.col("original").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("original"))  # without payload
+        part = rows.filter(revisit | (n_bytes <= most)) if i == 0 else rows.filter(n_bytes > least).filter(n_bytes <= most).filter(~revisit)
+        (record_text(part, date).write.mode("append" if i else "error").option("lineSep", "\n").option("compression", "gzip")
+         .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", n)
+         .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", str(i == found[-1]).lower()).text(path))
+
+
+def inflate(data):
+    """The bytes of an archive in pieces: of all its gzip streams, or as they are."""
+    view, at = memoryview(data).cast("B"), 0
+    if bytes(view[:2]) != b"\x1f\x8b":
+        for at in range(0, len(view), PIECE_BYTES):
+            yield view[at:at + PIECE_BYTES]
+        return
+    while at < len(view):
+        stream = zlib.decompressobj(31)
+        while not stream.eof:
+            given = stream.unconsumed_tail
+            if not given:
+                given = view[at:at + PIECE_BYTES]
+                at += len(given)
+            piece = stream.decompress(given, PIECE_BYTES)
+            if piece:
+                yield piece
+            elif not given and not stream.eof:
+                raise ValueError("the archive ends inside a gzip stream")
+        at -= len(stream.unused_data)
+
+
+def parse(data):
+    """(headers, block) of each record of an archive, given as bytes or in pieces; headers have lower-case names."""
+    pieces = iter([data] if isinstance(data, (bytes, bytearray, memoryview)) else data)
+    buffer, at, gone = bytearray(), 0, 0  # the next record starts at ``at``, after ``gone`` bytes that were dropped
+
+    def more() -> bool:
+        nonlocal at, gone
+        piece = next(pieces, None)
+        if piece is None:
+            return False
+        del buffer[:at]
+        at, gone = 0, gone + at
+        buffer.extend(piece)
+        return True
+
+    while at < len(buffer) or more():
+        searched = at
+        while (end := buffer.find(b"\r\n\r\n", searched)) < 0:
+            searched = max(0, len(buffer) - at - 3)
+            if not more():
+                raise ValueError(f"the headers of the record at byte {gone + at} don't end")
+        lines = buffer[at:end].decode("utf-8").split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
+            raise ValueError(f"no WARC record at byte {gone + at}")
         head = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        start, n = end + 4, int(head["content-length"])
-        yield head, data[start:start + n]
-        if data[start + n:start + n + 4] != b"\r\n\r\n":
-            raise ValueError(f"record at byte {at} doesn't end where it says")
+        n, skip = int(head["content-length"]), end + 4 - at
+        while len(buffer) < at + skip + n + 4 and more():
+            pass
+        start = at + skip
+        if buffer[start + n:start + n + 4] != b"\r\n\r\n":
+            raise ValueError(f"record at byte {gone + at} doesn't end where it says")
+        with memoryview(buffer) as view:
+            block = bytes(view[start:start + n])
         at = start + n + 4
+        yield head, block
 
 
 def _number(urn: str | None) -> int | None:
@@ -117,11 +183,11 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
     schema = pa.schema(fields)
 
     def rows(batches):
+        batch = lambda out: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
         for b in batches:
             for data in b.column(0):
-                raw, out = data.as_py(), []
-                raw = zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw
-                for head, block in parse(raw):
+                out, held = [], 0
+                for head, block in parse(inflate(data.as_buffer())):
                     payload = block[block.index(b"\r\n\r\n") + 4:]
                     digest = head["warc-payload-digest"].removeprefix("sha1:")
                     whole = head["warc-type"] == "response"
@@ -129,11 +195,12 @@ def read(spark: SparkSession, path: str, payloads: bool = False) -> DataFrame:
                         raise ValueError(f"payload of {head['warc-record-id']} doesn't fit its digest")
                     out.append((_number(head["warc-record-id"]), head["warc-target-uri"], head["warc-type"], digest,
                                 len(payload) if whole else None, _number(head.get("warc-refers-to")), payload if whole else None)[:len(fields)])
-                    if len(out) == 500:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
-                        out = []
+                    held += len(payload) * payloads
+                    if len(out) == 500 or held >= BATCH_BYTES:
+                        yield batch(out)
+                        out, held = [], 0
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), schema.types)], schema=schema)
+                    yield batch(out)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
     sql = {pa.int64(): "long", pa.string(): "string", pa.binary(): "binary"}
     with batch_rows(spark, 1):  # an archive a batch
@@ -151,4 +218,4 @@ def resolve(rows: DataFrame) -> DataFrame:
                       F.col("digest").alias("payload_digest"), "record_type", "refers_to")
 
 
-__all__ = ["parse", "read", "record_text", "records", "resolve", "sha1_base32", "with_revisits", "write"]
+__all__ = ["inflate", "parse", "read", "record_text", "records", "resolve", "sha1_base32", "size_levels", "with_revisits", "write"]

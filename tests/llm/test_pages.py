@@ -1,7 +1,10 @@
 import base64
+import gzip
 import hashlib
 import html
+import os
 import re
+import zlib
 
 import pytest
 
@@ -169,6 +172,36 @@ def test_warc_edges(spark):
     assert warc.resolve(warc.read(spark, empty)).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark):
+    sizes = {i: 1_000_000 + i for i in range(90)} | {100 + i: 20_000 + i for i in range(50)} | {1000 + i: i for i in range(50)} | {2000: 70_000_000}
+    pages = spark.createDataFrame([(i, n) for i, n in sizes.items()], "page_id long, n int").coalesce(1).selectExpr("page_id", "'u' AS url", "repeat('x', n) AS html")
+    path = scratch_path(spark, "warc-bytes")
+    warc.write(pages.union(pages.filter("page_id = 1").selectExpr("page_id - 2", "url", "html")), path)
+    inflated = []
+    for r in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).collect():
+        heads = list(warc.parse(warc.inflate(bytes(r.content))))
+        inflated.append((sum(len(b) for _, b in heads), len(heads)))
+    assert all(n <= warc.ARCHIVE_BYTES + 200 * k or k == 1 for n, k in inflated) and sum(k for _, k in inflated) == len(sizes) + 1
+    got = {r.page_id: r for r in warc.read(spark, path, payloads=True).selectExpr("*", "length(payload) AS n").drop("payload").collect()}
+    assert {i: r.n for i, r in got.items() if r.record_type == "response"} == sizes and got[-1].refers_to == 1
+    assert os.path.exists(path.removeprefix("file:") + "/_SUCCESS")
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        warc.write(pages.limit(1), path)
+
+
+def test_archives_are_parsed_in_pieces(monkeypatch):
+    blocks = [b"", b"abc", b"\r\n\r\n" * 9, bytes(range(256)) * 40]
+    records = [b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(b), b) for b in blocks]
+    for n in (1, 7, 1 << 20):
+        monkeypatch.setattr(warc, "PIECE_BYTES", n)
+        for data in (b"".join(records), gzip.compress(b"".join(records)), b"".join(map(gzip.compress, records)), gzip.compress(b"") + gzip.compress(b"".join(records))):
+            assert [b for _, b in warc.parse(warc.inflate(data))] == blocks
+            for cut in (len(data) - 1, len(data) - 9):
+                with pytest.raises((ValueError, zlib.error)):
+                    list(warc.parse(warc.inflate(data[:cut])))
+    assert list(warc.parse(warc.inflate(b""))) == []
+
+
 def test_damaged_payload_is_refused():
     record = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
     assert [b for _, b in warc.parse(record * 3)] == [b"abc"] * 3
