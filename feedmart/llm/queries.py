@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, fingerprints, html_extract, ngram_join, packing, pii, quality, token_counts, warc
+from . import bpe, centroid_clusters, exact_dedup, fingerprints, html_extract, ngram_join, packing, pii, quality, token_counts, warc
 from .common import scratch_path, table
 
 
@@ -61,6 +61,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed="2", dims=64)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_html_extract": op2_html_extract,
@@ -72,8 +76,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
+    "op11_centroid_clusters": op11_centroid_clusters,
 }
 
+
+def _rounds_sql(k: int, rounds: int, seed: str, dims: int) -> str:
+    """DuckDB SQL of ``centroid_clusters``: one pair of tables a round."""
+    sql = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE len(embedding) = {dims} AND list_count(embedding) = {dims} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dims}),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('{seed}:' || vec_id) NULLS LAST, x) - 1 AS INTEGER) AS c, x FROM v
+  ORDER BY c LIMIT {k}),"""
+    for i in range(rounds + 1):
+        sql += f"""
+far{i} AS (SELECT r, c, list_sum(list_transform(list_zip(v.x, c{i}.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM v, c{i}),
+a{i} AS MATERIALIZED (SELECT r, arg_min(c, (d, c)) AS c, CAST(min(d) AS BIGINT) AS d FROM far{i} GROUP BY r),"""
+        if i < rounds:
+            sql += f"""
+m{i} AS (SELECT c, dim, CAST(floor(sum(y) / count(*)) AS BIGINT) AS y
+         FROM (SELECT a{i}.c, unnest(v.x) AS y, generate_subscripts(v.x, 1) AS dim FROM a{i} JOIN v USING (r)) GROUP BY c, dim),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c, coalesce(n.x, c{i}.x) AS x FROM c{i} LEFT JOIN (SELECT c, list(y ORDER BY dim) AS x FROM m{i} GROUP BY c) n USING (c)),"""
+    return sql + f"""
+s AS (SELECT c, CAST(sum(d) AS BIGINT) AS cluster_inertia FROM a{rounds} GROUP BY c)
+SELECT v.vec_id, a.c AS cluster, a.d AS distance, s.cluster_inertia, (SELECT CAST(sum(d) AS BIGINT) FROM a{rounds}) AS inertia,
+       sha256(array_to_string(z.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (r) JOIN s USING (c) JOIN c{rounds} z USING (c)
+"""
+
+
+
 ORACLE: dict[str, str] = {
     "op1_ngram_join": r"""
 WITH RECURSIVE split AS (
@@ -115,4 +148,5 @@ SELECT doc_id,
 FROM norm
 WINDOW grp AS (PARTITION BY body ORDER BY points DESC, doc_id)
 """,
+    "op11_centroid_clusters": _rounds_sql(40, 5, "2", 64),
 }

@@ -1,0 +1,120 @@
+import hashlib
+import itertools
+import random
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feedmart.llm import centroid_clusters as cc
+from feedmart.llm import queries, vectors
+
+
+def _brute(rows, k, rounds, seed, dims=64):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, sha256), in plain integers."""
+    own = [(i, [int(np.floor(256 * float(x))) for x in v]) for i, v in rows
+           if v is not None and len(v) == dims and all(x is not None and np.isfinite(x) for x in v)]
+    rank = lambda r: (r[0] is None, hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[1])
+    centres = [v for _, v in sorted(own, key=rank)[:k]]
+    if not own:
+        return []
+    x = np.array([v for _, v in own], object)
+
+    def assign():
+        far = np.stack([((x - np.array(c, object)) ** 2).sum(1) for c in centres], 1)
+        to = [min(range(len(centres)), key=lambda c: (row[c], c)) for row in far]
+        return to, [row[c] for row, c in zip(far, to)]
+    for _ in range(rounds):
+        to, _ = assign()
+        for c in range(len(centres)):
+            mine = [x[i] for i in range(len(own)) if to[i] == c]
+            if mine:
+                centres[c] = [sum(col) // len(mine) for col in zip(*mine)]
+    to, far = assign()
+    inertia = [sum(f for t, f in zip(to, far) if t == c) for c in range(len(centres))]
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return [(i, t, f, inertia[t], sum(far), sha[t]) for (i, _), t, f in zip(own, to, far)]
+
+
+def _key(rows):
+    return sorted(map(tuple, rows), key=str)
+
+
+@pytest.mark.parametrize("sf", ["/root/testdata/sf0.001", "/root/testdata/sf0.1"])
+def test_query_equals_sql(spark, sf):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{sf}/embeddings.parquet')")
+    want = con.sql(queries.ORACLE["op11_centroid_clusters"])
+    got = queries.op11_centroid_clusters(spark, sf)
+    cols = list(want.columns)
+    assert sorted(cols) == sorted(got.columns)
+    assert _key(got.select(*cols).collect()) == _key(want.fetchall())
+
+
+def _table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, place int, ids string, vectors string, cluster string")
+
+
+def _with_extras(rows):
+    return [(i, v, 1, "x", None, "y") for i, v in rows]
+
+
+def test_rows_that_take_part_ties_and_repeats(spark, monkeypatch):
+    monkeypatch.setattr(cc, "BLOCK", 7)
+    rng = random.Random(3)
+    vec = lambda s: [round(rng.gauss(0, s), 2) for _ in range(4)]
+    rows = [(i, vec(1)) for i in range(120)] + [(500 + i, [0.25, -0.5, 0.0, 1.0]) for i in range(90)]
+    rows += [(7, vec(1)), (7, vec(1)), (None, vec(2)), (None, [0.0] * 4), (3, vec(1))]
+    bad = [(900, None), (901, []), (902, [1.0] * 3), (903, [1.0, None, 0.0, 0.0]), (904, [float("nan")] + [0.0] * 3), (905, [float("inf")] + [0.0] * 3)]
+    rng.shuffle(rows)
+    for k, rounds in ((6, 3), (1, 1), (9, 0), (500, 2)):
+        got = cc.clusters(_table(spark, _with_extras(rows + bad)), k, rounds, "2", dims=4)
+        assert _key(got.collect()) == _key(_brute(rows, k, rounds, "2", 4))
+    assert cc.clusters(_table(spark, []), dims=4).count() == 0
+    assert cc.clusters(_table(spark, _with_extras(bad)), dims=4).columns == got.columns
+
+
+def test_large_components(spark):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-5e5, 5e5) for _ in range(3)]) for i in range(60)]
+    assert _key(cc.clusters(_table(spark, _with_extras(rows)), 5, 3, "s", dims=3).collect()) == _key(_brute(rows, 5, 3, "s", 3))
+    with pytest.raises(Exception, match="beyond"):
+        cc.clusters(_table(spark, _with_extras([(1, [1e9, 0.0, 0.0])])), 1, 1, dims=3).collect()
+
+
+@pytest.mark.parametrize("dims, bits", [(2, 4), (3, 3), (5, 2), (1, 5)])
+def test_curve_visits_neighbours(dims, bits):
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=dims)))
+    place = cc.hilbert_place(cells, bits)
+    assert sorted(place.tolist()) == list(range(len(cells)))
+    path = cells[np.argsort(place)]
+    assert (np.abs(np.diff(path, axis=0)).sum(1) == 1).all()
+
+
+def test_bounds_keep_every_nearest_centroid():
+    rng = np.random.default_rng(5)
+    kept = 0
+    for _ in range(300):
+        x = rng.integers(-40, 40, (8, 3)) + rng.integers(-200, 200, 3)
+        c = rng.integers(-200, 200, (12, 3))
+        among = cc.candidates(x.min(0), x.max(0), c)
+        kept += len(among)
+        to, far = cc.nearest(x, c, np.arange(12))
+        again, same = cc.nearest(x, c, among)
+        assert (to == again).all() and (far == same).all()
+    assert kept < 300 * 12 / 2
+
+
+def test_zone_maps_of_separate_groups_leave_few_candidates(spark, monkeypatch):
+    """Groups far apart: most blocks hold one group, and the box leaves a few of the 20 centroids."""
+    monkeypatch.setattr(cc, "BLOCK", 32)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(0, 1, (20, 64))
+    x = centres[rng.integers(0, 20, 3000)] + rng.normal(0, 0.05, (3000, 64))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    blocks = cc.zone_maps(rows.select("vec_id", vectors.scaled(F.col("embedding")).alias("vector")), 64).collect()
+    c = np.floor(256 * centres).astype(np.int64)
+    left = [len(cc.candidates(np.frombuffer(b.low, "<i4"), np.frombuffer(b.high, "<i4"), c)) for b in blocks]
+    assert sum(len(b.ids) for b in blocks) == 3000
+    assert np.mean(left) < 8
