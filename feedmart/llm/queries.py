@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, centroid_clusters, exact_dedup, fingerprints, html_extract, ngram_join, packing, pii, quality, token_counts, warc
+from . import bpe, centroid_clusters, exact_dedup, fingerprints, hard_negatives, html_extract, ngram_join, packing, pii, quality, token_counts, warc
 from .common import scratch_path, table
 
 
@@ -65,6 +65,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed="2", dims=64)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_html_extract": op2_html_extract,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 
@@ -149,4 +154,21 @@ FROM norm
 WINDOW grp AS (PARTITION BY body ORDER BY points DESC, doc_id)
 """,
     "op11_centroid_clusters": _rounds_sql(40, 5, "2", 64),
+    "op13_hard_negatives": r"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.x, b.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+             other_id AS negative_id, positive_score, score AS negative_score
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same
+      WHERE 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT * FROM n WHERE rank <= 3
+""",
 }
