@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, centroid_clusters, exact_dedup, fingerprints, hard_negatives, html_extract, ngram_join, packing, pii, quality, token_counts, warc
+from . import bpe, centroid_clusters, exact_dedup, fingerprints, hard_negatives, html_extract, ngram_join, packing, pii, quality, super_minhash, token_counts, warc
 from .common import scratch_path, table
 
 
@@ -65,6 +65,10 @@ def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroid_clusters.clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, seed="2", dims=64)
 
 
+def op12_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return super_minhash.near_duplicates(table(spark, sf_dir, "documents"), n=2, num=80, den=100)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_pii": op9_pii,
     "op10_quality": op10_quality,
     "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_super_minhash": op12_super_minhash,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -154,6 +159,21 @@ FROM norm
 WINDOW grp AS (PARTITION BY body ORDER BY points DESC, doc_id)
 """,
     "op11_centroid_clusters": _rounds_sql(40, 5, "2", 64),
+    "op12_super_minhash": r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM split),
+one AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM one a
+        JOIN one b ON a.x = b.x AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+link AS (SELECT a, b FROM met JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+         WHERE 100 * c >= 80 * (len(p.s) + len(q.s) - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(reach.b) AS component_id, doc_id = min(reach.b) AS kept
+FROM sets JOIN reach ON reach.a = doc_id GROUP BY doc_id, len(s)
+""",
     "op13_hard_negatives": r"""
 WITH v AS MATERIALIZED (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
