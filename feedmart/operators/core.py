@@ -78,7 +78,7 @@ def new_news_rows(raw: DataFrame, news: DataFrame, sources: DataFrame, tags: Dat
 def new_news_tag_rows(raw: DataFrame, news: DataFrame, tags: DataFrame, bridge: DataFrame,
                       buckets: int | None = None) -> DataFrame:
     """compat=False: every (news, tag) pair of raw not yet in the bridge table (the reference keys
-    ``news_tags`` by news alone and so keeps only the first tag), with the news item's source and date and
+    ``news_tags`` by news alone and so keeps only the first tag), with the news item's source, date and load, and
     the first load that brought the pair.
 
     ``news`` and ``bridge`` are bucketed by the raw id into ``buckets``: both joins are on that id, so only
@@ -88,10 +88,10 @@ def new_news_tag_rows(raw: DataFrame, news: DataFrame, tags: DataFrame, bridge:
     if buckets:
         pairs = pairs.repartition(buckets, "new_raw_id")
     held = bridge.groupBy("new_raw_id").agg(F.collect_set("tag_id").alias("_held"))
-    rows = pairs.join(news.select("new_raw_id", "new_id", "source_id", "new_published"), "new_raw_id", "left")
+    rows = pairs.join(news.select("new_raw_id", "new_id", "source_id", "new_published", F.col("load_id").alias("news_load")), "new_raw_id", "left")
     rows = rows.join(held, "new_raw_id", "left")
     fresh = rows.where(F.col("new_id").isNotNull() & ~F.coalesce(F.array_contains("_held", F.col("tag_id")), F.lit(False)))
-    return fresh.select("new_raw_id", "new_id", "tag_id", "load_id", "source_id", "new_published")
+    return fresh.select("new_raw_id", "new_id", "tag_id", "load_id", "source_id", "new_published", "news_load")
 
 
 def attribute_table(news: DataFrame, name: str) -> DataFrame:
@@ -100,12 +100,12 @@ def attribute_table(news: DataFrame, name: str) -> DataFrame:
 
 
 def core_fact(news: DataFrame, bridge: DataFrame | None = None) -> DataFrame:
-    """J4 on the wide table: one fact row per news item (per news item and tag with a bridge table, joined
+    """J4 on the wide table: one fact row per news item (with a bridge table: per pair of news item and tag, joined
     on the raw id by which both are bucketed): ``new_id, category (tag_id), source (source_id), published``."""
     base = news.select("new_raw_id", "new_id", F.col("source_id").alias("source"), F.col("new_published").alias("published"),
                        F.col("tag_id").alias("category"))
     if bridge is not None:
-        base = base.drop("category").join(bridge.select("new_raw_id", F.col("tag_id").alias("category")), "new_raw_id", "left")
+        base = base.drop("category").join(bridge.select("new_raw_id", F.col("tag_id").alias("category")), "new_raw_id")
     return base.select("new_id", "category", "source", "published")
 
 

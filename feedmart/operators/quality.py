@@ -90,7 +90,7 @@ def check_day_log(store, log_table: str = "news_days") -> DataFrame:
     keys = ["category", "source", "published"]
     log = store.read("mart_store", log_table).groupBy(*keys).agg(F.sum("n").alias("n_log"))
     news, bridge = store.read("core_store", "news"), store.read("core_store", "news_tag_pairs")
-    fact = core_fact(news) if log_table == "news_days" else core_fact(news.join(bridge.select("new_raw_id").distinct(), "new_raw_id", "left_semi"), bridge)
+    fact = core_fact(news) if log_table == "news_days" else core_fact(news, bridge)
     core = day_counts(fact).withColumnRenamed("n", "n_core")
     cond = None
     for k in keys:

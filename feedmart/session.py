@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -66,27 +67,31 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/feedmart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-_scopes: list[list[str]] = []
+# The innermost scope of the running thread; a thread started with a copy of the context (contextvars.copy_context) shares it.
+_scope: ContextVar[list[str] | None] = ContextVar("feedmart-scratch-scope", default=None)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the scratch folder and read it back: lineage is cut, later uses see the same
     rows, and the planner knows the real size. Inside ``scratch_scope`` the table goes at its end."""
     path = scratch_path(df.sparkSession, name)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(path)
     df.write.parquet(path)
-    if _scopes:
-        _scopes[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
-    """Tables that ``materialise`` writes inside the block are deleted when it ends."""
-    _scopes.append([])
+    """Tables that ``materialise`` writes inside the block, by this thread, are deleted when it ends. Scopes of other threads stay apart."""
+    paths: list[str] = []
+    token = _scope.set(paths)
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scope.reset(token)
+        for path in paths:
             delete_path(spark, path)
 
 
@@ -111,9 +116,41 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that must not exist yet: under another name first, then renamed, so it is never seen in part."""
+    fs, p = _fs(spark, path)
+    jvm, hadoop = spark._jvm, spark._jvm.org.apache.hadoop.fs
+    part = hadoop.Path(f"{path}.{uuid.uuid4().hex[:8]}.part")
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    try:
+        files = hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+        none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+        files.rename(files.makeQualified(part), files.makeQualified(p), none)  # refuses a name that is taken
+    except Exception:
+        fs.delete(part, False)
+        raise
+
+
+def read_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Texts of small files."""
+    texts = []
+    for path in paths:
+        fs, p = _fs(spark, path)
+        stream = fs.open(p)
+        try:
+            texts.append(bytes(stream.readAllBytes()).decode("utf-8"))
+        finally:
+            stream.close()
+    return texts
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["DEFAULT_CONF", "child_names", "delete_path", "ensure_checkpoint_dir", "get_session", "materialise",
-           "path_exists", "scratch_path", "scratch_scope", "shuffle_partitions"]
+__all__ = ["DEFAULT_CONF", "child_names", "create_file", "delete_path", "ensure_checkpoint_dir", "get_session", "materialise",
+           "path_exists", "read_files", "scratch_path", "scratch_scope", "shuffle_partitions"]

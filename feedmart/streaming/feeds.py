@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from feedmart.functions.text import source_from_path
-from feedmart.plans.load import build_mart, load_core, load_raw, resolve_day
+from feedmart.plans.load import load_entries
 from feedmart.schemas import RSS_SCAN
 from feedmart.session import path_exists
 from feedmart.sources.rss import XML_OPTIONS, read_landing
@@ -72,10 +72,7 @@ def start_landing_load(spark: SparkSession, landing: str, root: str, checkpoint_
     store = store or Store(spark, root)
 
     def load(entries: DataFrame, name: str) -> None:
-        day = resolve_day(spark, as_of() if callable(as_of) else as_of)
-        load_id, raw = load_raw(entries, store, None, mode, day, compat, on_bad_date, name)
-        load_core(raw, store, compat, load_id, mapping)
-        build_mart(store, day, compat)
+        load_entries(store, entries, mode, as_of() if callable(as_of) else as_of, compat, on_bad_date, name=name, mapping=mapping)
 
     def changed_files() -> None:
         files = overwritten(store, landing).collect()  # the feeds that were fetched again: a handful of paths
