@@ -5,9 +5,9 @@ and ``serial`` columns), composed from Spark primitives.
   aggregate with map-side partial aggregation: a hot key (say one id holding a third of all rows)
   is reduced to one row per map task before the shuffle.
 * ``insert_if_absent``: drop keys the target already holds (left anti join).
-* ``dense_ids``: 1, 2, 3 ... in arrival order, continuing the target's largest id, without
-  sorting everything in one task: range-partition by the order key, sort inside each partition,
-  number rows with the per-partition counter of ``monotonically_increasing_id``, add the row
+* ``dense_ids``: 1, 2, 3 ... in arrival order, continuing the target's largest id. A small table is sorted
+  in one task; a larger one (its size is counted, not guessed) without that: range-partition by the order key,
+  sort inside each partition, number rows with the per-partition counter of ``monotonically_increasing_id``, add the row
   count of all earlier partitions (one row per partition, so the offsets table is bounded by the
   partition count).
 """
@@ -19,8 +19,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feedmart.session import materialise
+from feedmart.session import materialise, materialise_counted
 
+ONE_TASK = 100_000  # rows of keys that one task may sort
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id = partition index << 33 | row number
 
 
@@ -63,17 +64,34 @@ def max_id(target: DataFrame, id_col: str) -> Column:
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, start: Column | int = 0,
-              num_partitions: int | None = None) -> DataFrame:
-    """Add ``id_col`` = start + 1, start + 2, ... following ``order`` (ties broken arbitrarily).
+              num_partitions: int | None = None, group_id: str | None = None) -> DataFrame:
+    """Add ``id_col`` = start + 1, start + 2, ... following ``order`` (ties broken arbitrarily), and, with ``group_id``, a column that
+    numbers the values of the first order column 1, 2, 3 ...
 
-    The numbered rows are written to the scratch folder before the partition sizes are taken, so that both
-    uses see one and the same range partitioning even if an executor is lost and tasks are re-run.
+    The rows are written to the scratch folder first, so ``df`` is evaluated once and all uses see the same rows even if an executor
+    is lost and tasks are re-run. Up to ONE_TASK rows, counted while they are written, are sorted in one task; more are range partitioned.
     Pass keys and order columns only and join the ids back: ``df`` is written as it is.
     """
+    rows, n = materialise_counted(df, "unnumbered")
+    base = start if isinstance(start, Column) else F.lit(start)
+    if n <= ONE_TASK:
+        one = rows.coalesce(1)
+        out = one.withColumn(id_col, (base + F.row_number().over(Window.orderBy(*order))).cast("long"))
+        return out.withColumn(group_id, F.dense_rank().over(Window.orderBy(order[0])).cast("long")) if group_id else out
+    out = _range_ids(rows, order, id_col, base, num_partitions)
+    if group_id:
+        first = order[0]
+        groups = _range_ids(rows.select(F.col(first).alias("_first")).distinct(), ["_first"], group_id, F.lit(0), num_partitions)
+        out = out.join(groups, F.col(first).eqNullSafe(F.col("_first"))).drop("_first")
+    return out
+
+
+def _range_ids(rows: DataFrame, order: Sequence[str], id_col: str, base: Column, num_partitions: int | None) -> DataFrame:
+    """Range partitions, sorted and written; the offset of each is the number of rows in those before it."""
     order_cols = [F.col(c) for c in order]
     # Without an explicit count AQE may merge small range partitions; it only merges adjacent
     # ones, so partition order still follows the order key.
-    ranged = df.repartitionByRange(num_partitions, *order_cols) if num_partitions else df.repartitionByRange(*order_cols)
+    ranged = rows.repartitionByRange(num_partitions, *order_cols) if num_partitions else rows.repartitionByRange(*order_cols)
     numbered = materialise(
         ranged.sortWithinPartitions(*order_cols)
         .withColumn("_mono", F.monotonically_increasing_id())
@@ -84,7 +102,6 @@ def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, start: Column |
     offsets = sizes.select("_part", F.coalesce(
         F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("_offset"))
-    base = start if isinstance(start, Column) else F.lit(start)
     return (numbered.join(F.broadcast(offsets), "_part")
             .withColumn(id_col, (base + F.col("_offset") + F.col("_row") + 1).cast("long"))
             .drop("_part", "_row", "_offset"))

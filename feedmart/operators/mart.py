@@ -152,13 +152,9 @@ def mart_from_days(day: DataFrame, as_of=None, compat: bool = True, tags: DataFr
     if compat:  # the reference declares INTEGER; the corrected mart keeps BIGINT
         for c in MART_COUNT_COLUMNS + [f"amount_news_{d}" for d in WEEKDAYS]:
             out = out.withColumn(c, F.col(c).cast("int"))
-    numbered = dense_ids(out, [CAT, SRC], "id")
     if compat:
-        return numbered.select("id", *out.columns)
-    # one number per category, in order
-    ids = dense_ids(out.select(F.col(CAT).alias("_cat")).distinct(), ["_cat"], "category_id")
-    numbered = numbered.join(ids, F.col(CAT).eqNullSafe(F.col("_cat")))
-    return numbered.select("id", "category_id", *out.columns)
+        return dense_ids(out, [CAT, SRC], "id").select("id", *out.columns)
+    return dense_ids(out, [CAT, SRC], "id", group_id="category_id").select("id", "category_id", *out.columns)
 
 
 def with_names(m: DataFrame, tags: DataFrame, sources: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings a cluster job of this library expects. AQE re-plans joins at run time from the real
 # size of each shuffle stage (broadcast below the threshold, sort-merge beyond it) and splits
@@ -82,6 +83,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialise_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``materialise``, and the number of rows, counted while they are written."""
+    seen = Observation()
+    rows = materialise(df.observe(seen, F.count(F.lit(1)).alias("n")), name)
+    return rows, seen.get["n"]
+
+
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Tables that ``materialise`` writes inside the block, by this thread, are deleted when it ends. Scopes of other threads stay apart."""
@@ -95,9 +103,24 @@ def scratch_scope(spark: SparkSession):
             delete_path(spark, path)
 
 
+_classes: dict[int, tuple] = {}  # of one JVM: finding a class by its name takes several calls
+
+
+def _hadoop(spark: SparkSession) -> tuple:
+    """Hadoop's Path, FileUtil and FileContext, a function that joins an array's elements by line feeds, and the configuration."""
+    gateway = spark.sparkContext._gateway
+    if id(gateway) not in _classes:
+        jvm = spark._jvm
+        fs, wrap = jvm.org.apache.hadoop.fs, jvm.scala.Predef.genericWrapArray
+        _classes.clear()
+        _classes[id(gateway)] = (fs.Path, fs.FileUtil, fs.FileContext, lambda array: wrap(array).mkString("\n"), jvm.org.apache.hadoop.fs.Options.Rename)
+    return *_classes[id(gateway)], spark._jsc.hadoopConfiguration()
+
+
 def _fs(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+    hadoop = _hadoop(spark)
+    p = hadoop[0](path)
+    return p.getFileSystem(hadoop[-1]), p
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -113,23 +136,27 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder (none if it doesn't exist)."""
     fs, p = _fs(spark, path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+    if not fs.exists(p):
+        return []
+    _, util, _, joined, *_ = _hadoop(spark)
+    found = joined(util.stat2Paths(fs.listStatus(p)))  # one call for all names
+    return sorted(x.rsplit("/", 1)[-1] for x in found.split("\n")) if found else []
 
 
 def create_file(spark: SparkSession, path: str, text: str) -> None:
     """Write a small text file that must not exist yet: under another name first, then renamed, so it is never seen in part."""
     fs, p = _fs(spark, path)
-    jvm, hadoop = spark._jvm, spark._jvm.org.apache.hadoop.fs
-    part = hadoop.Path(f"{path}.{uuid.uuid4().hex[:8]}.part")
+    path_class, _, context, _, options, conf = _hadoop(spark)
+    part = path_class(f"{path}.{uuid.uuid4().hex[:8]}.part")
     out = fs.create(part, False)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
     try:
-        files = hadoop.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
-        none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        files.rename(files.makeQualified(part), files.makeQualified(p), none)  # refuses a name that is taken
+        files = context.getFileContext(fs.getUri(), conf)
+        none = spark.sparkContext._gateway.new_array(options, 0)
+        files.rename(part, p, none)  # refuses a name that is taken
     except Exception:
         fs.delete(part, False)
         raise
@@ -152,5 +179,5 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["DEFAULT_CONF", "child_names", "create_file", "delete_path", "ensure_checkpoint_dir", "get_session", "materialise",
+__all__ = ["DEFAULT_CONF", "child_names", "create_file", "delete_path", "ensure_checkpoint_dir", "get_session", "materialise", "materialise_counted",
            "path_exists", "read_files", "scratch_path", "scratch_scope", "shuffle_partitions"]

@@ -77,11 +77,12 @@ class Ledger:
         self.spark, self.path = spark, path
         self._state = empty_state()
         self._lock = threading.RLock()
+        self._alone = False  # between a load's begin and end nobody else writes
 
     def state(self) -> dict:
         """The folded state as of now. (Treat it as read-only.)"""
         with self._lock:
-            return self._folded()
+            return self._state if self._alone else self._folded()
 
     def _folded(self) -> dict:
         names = [n for n in child_names(self.spark, self.path) if n.endswith(".json")]
@@ -101,10 +102,11 @@ class Ledger:
             return self._add(event, at, fields)
 
     def _add(self, event: str, at: int | None, fields: dict) -> int:
-        seq = at or self._folded()["seq"] + 1
+        seq = at or self.state()["seq"] + 1
         entry = {"seq": seq, "event": event} | fields
         create_file(self.spark, f"{self.path}/{seq:012d}.json", json.dumps(entry))
         state = self._state = apply(copy.deepcopy(self._state), entry)
+        self._alone = event == "begin" or self._alone and event not in ("end", "abort")
         if seq % SNAPSHOT_EVERY == 0:
             create_file(self.spark, f"{self.path}/{seq:012d}.state.json", json.dumps(state))
             for name in child_names(self.spark, self.path):
