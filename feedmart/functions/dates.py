@@ -39,15 +39,20 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_pubdate(col) -> Column:
-    """RSS date text -> DATE; NULL when the text does not parse or names no real day."""
+# Fixed value: an Atom date (RFC 3339): day, time with optional fraction, `Z` or an offset.
+RFC3339_DATE = r"^([0-9]{4}-[0-9]{2}-[0-9]{2})[Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(?:\.[0-9]+)?(?:[Zz]|[+-][0-9]{2}:[0-9]{2})$"
+
+
+def parse_pubdate(col, atom: bool = False) -> Column:
+    """RSS date text -> DATE; NULL when the text does not parse or names no real day. ``atom``: dates as Atom feeds write them count too."""
     rewritten = F.regexp_replace(F.concat(F.lit(_PREFIX), _c(col)), _REWRITE, "$4 $3 $2")
-    return F.try_to_date(rewritten, "yyyy MMM d")
+    day = F.try_to_date(rewritten, "yyyy MMM d")
+    return F.coalesce(day, F.try_to_date(F.regexp_extract(_c(col), RFC3339_DATE, 1), "yyyy-MM-dd")) if atom else day
 
 
-def parse_pubdate_lenient(col) -> Column:
+def parse_pubdate_lenient(col, atom: bool = False) -> Column:
     """Full load: 'yyyy-MM-dd' text, or '' when the date does not parse (raw keeps text)."""
-    return F.coalesce(F.date_format(parse_pubdate(col), "yyyy-MM-dd"), F.lit(""))
+    return F.coalesce(F.date_format(parse_pubdate(col, atom), "yyyy-MM-dd"), F.lit(""))
 
 
 def parse_pubdate_strict(col) -> Column:

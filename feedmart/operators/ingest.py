@@ -20,6 +20,7 @@ NO_CATEGORY = "no_category"
 NO_GUID = "no_guid"
 BAD_DATE = "bad_date"
 MALFORMED = "malformed"
+NOT_A_FEED = "not_a_feed"  # a file that is neither RSS nor Atom
 OUT_OF_WINDOW = "out_of_window"  # not a reject: a delta load takes one day only
 
 
@@ -41,14 +42,15 @@ def classify(entries: DataFrame, mode: str = "full", as_of=None, compat: bool =
     mode="full": every entry, date parsed leniently ('' when bad).
     mode="delta": only entries published on the day before ``as_of``; a bad date is a reject, or
     fails the job when ``on_bad_date="fail"`` (the reference's behaviour).
+    Dates as Atom feeds write them are bad dates under ``compat``, as in the reference.
     """
     e = with_defaults(entries)
     no_cat = F.coalesce(F.size("category") <= 0, F.lit(True))
     if mode == "full":
-        e = e.withColumn("published", parse_pubdate_lenient(F.col("pubDate")))
+        e = e.withColumn("published", parse_pubdate_lenient(F.col("pubDate"), not compat))
         reason = F.when(no_cat, F.lit(NO_CATEGORY))
     elif mode == "delta":
-        e = e.withColumn("published", F.coalesce(F.date_format(parse_pubdate(F.col("pubDate")), "yyyy-MM-dd"),
+        e = e.withColumn("published", F.coalesce(F.date_format(parse_pubdate(F.col("pubDate"), not compat), "yyyy-MM-dd"),
                                                  F.lit("")))
         bad = F.lit(BAD_DATE) if on_bad_date != "fail" else F.raise_error(
             F.concat(F.lit("unparsable pubDate: "), F.coalesce(F.col("pubDate"), F.lit("NULL"))))
@@ -61,7 +63,7 @@ def classify(entries: DataFrame, mode: str = "full", as_of=None, compat: bool =
     if not compat:
         reason = reason.when(F.col("id") == "", F.lit(NO_GUID))
     if CORRUPT in entries.columns:
-        reason = F.when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+        reason = F.when(F.col(CORRUPT) == NOT_A_FEED, F.lit(NOT_A_FEED)).when(F.col(CORRUPT).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
     else:
         e = e.withColumn(CORRUPT, F.lit(None).cast("string"))
     return e.withColumn("reason", reason)

@@ -25,6 +25,10 @@ RSS_ITEM = _struct(("guid", S), ("title", S), ("link", S), ("description", S), (
 CORRUPT = "_corrupt_record"
 RSS_SCAN = T.StructType([*RSS_ITEM.fields, T.StructField(CORRUPT, S, True)])
 
+# One Atom <entry>, as scanned from files; attributes have a leading underscore.
+ATOM_SCAN = _struct(("id", S), ("title", S), ("link", T.ArrayType(_struct(("_href", S), ("_rel", S)))), ("summary", S), ("content", S),
+                    ("published", S), ("category", T.ArrayType(_struct(("_term", S)))), (CORRUPT, S))
+
 # Raw layer: the reference's seven text columns, then the arrival-order columns that make
 # "first writer wins" well defined across loads, sources, files and splits.
 RAW_COLUMNS = ["title", "link", "id", "summary", "tags", "source", "published"]
