@@ -136,7 +136,10 @@ def mart_from_days(day: DataFrame, as_of=None, compat: bool = True, tags: DataFr
                    sources: DataFrame | None = None) -> DataFrame:
     """The mart from day counts ``category, source, published, n`` (one row per triple); the
     counts may come from ``day_counts`` of a fact or from an accumulated per-load log."""
-    m = _measures(day, as_of, compat)
+    return _finished(_measures(day, as_of, compat), compat, tags, sources)
+
+
+def _finished(m: DataFrame, compat: bool, tags: DataFrame | None, sources: DataFrame | None) -> DataFrame:
     if tags is not None and sources is not None:
         m = with_names(m, tags, sources)
     all_t, src_t = _today_columns(m, compat)
@@ -152,11 +155,58 @@ def mart_from_days(day: DataFrame, as_of=None, compat: bool = True, tags: DataFr
     if compat:  # the reference declares INTEGER; the corrected mart keeps BIGINT
         for c in MART_COUNT_COLUMNS + [f"amount_news_{d}" for d in WEEKDAYS]:
             out = out.withColumn(c, F.col(c).cast("int"))
-    if compat:
         return dense_ids(out, [CAT, SRC], "id").select("id", *out.columns)
     return dense_ids(out, [CAT, SRC], "id", group_id="category_id").select("id", "category_id", *out.columns)
 
 
+# -- the mart from a merged state and the day counts added since
+#
+# News are only ever added, so all measures have a state that grows by sums and maxima: per pair the count and the packed
+# busiest day, per category the count, the number of days with news and the counts by ISO weekday. The new totals of the
+# days that were touched are the only thing that needs earlier day counts.
+
+_ISO = [f"iso_{k}" for k in range(1, 8)]
+
+
+def pair_state(day: DataFrame) -> DataFrame:
+    return day.groupBy(CAT, SRC).agg(F.sum("n").alias("src_n"), F.max(_pack_day(F.col("n"), F.col(PUB))).alias("_busiest"))
+
+
+def _iso_sums(n: Column) -> list[Column]:
+    dow = day_of_week(F.col(PUB), compat=False)
+    return [F.sum(F.when(dow == k, n).otherwise(0)).alias(c) for k, c in enumerate(_ISO, start=1)]
+
+
+def category_state(day: DataFrame) -> DataFrame:
+    by_day = day.groupBy(CAT, PUB).agg(F.sum("n").alias("n"))
+    return by_day.groupBy(CAT).agg(F.sum("n").alias("all_n"), F.count(PUB).alias("n_days"), *_iso_sums(F.col("n")))
+
+
+def mart_from_state(pairs: DataFrame, categories: DataFrame, old: DataFrame, new: DataFrame, as_of=None, compat: bool = True,
+                    tags: DataFrame | None = None, sources: DataFrame | None = None) -> DataFrame:
+    """The mart from the states of earlier day counts and the day counts ``new``. ``old`` holds the earlier counts, at least of today and of
+    the days that ``new`` touches; other days in it change nothing. A triple may have several rows in either."""
+    today = as_of_date(as_of)
+    days = old.select(CAT, SRC, PUB, "n", F.lit(0).cast("long").alias("added")).unionByName(new.select(CAT, SRC, PUB, "n", F.col("n").alias("added")))
+    triples = days.groupBy(CAT, SRC, PUB).agg(F.sum("n").alias("n"), F.sum("added").alias("added"))
+    touched = triples.where((F.col("added") != 0) | (F.col(PUB) == today))
+    now = F.when(F.col(PUB) == today, F.col("n")).otherwise(0)
+    more = touched.select(CAT, SRC, F.col("added").alias("src_n"), _pack_day(F.col("n"), F.col(PUB)).alias("_busiest"), now.alias("src_today"))
+    by_pair = pairs.withColumn("src_today", F.lit(0).cast("long")).unionByName(more).groupBy(CAT, SRC).agg(
+        F.sum("src_n").alias("src_n"), F.sum("src_today").alias("src_today"), F.max("_busiest").alias("_busiest"))
+    by_day = triples.groupBy(CAT, PUB).agg(F.sum("n").alias("n"), F.sum("added").alias("added"))
+    by_day = by_day.where((F.col("added") != 0) | (F.col(PUB) == today))
+    first = F.when(F.col(PUB).isNotNull() & (F.col("added") != 0) & (F.col("n") == F.col("added")), 1).otherwise(0)  # no news that day before
+    grown = by_day.groupBy(CAT).agg(F.sum("added").alias("all_n"), F.sum(first).alias("n_days"), F.sum(now).alias("all_today"), *_iso_sums(F.col("added")))
+    by_cat = categories.withColumn("all_today", F.lit(0).cast("long")).unionByName(grown).groupBy(F.col(CAT).alias("_cat")).agg(
+        *[F.sum(c).alias(c) for c in ("all_n", "n_days", "all_today", *_ISO)])
+    joined = by_pair.join(by_cat, F.col(CAT).eqNullSafe(F.col("_cat")))
+    joined = joined.withColumn("max_news_date", _unpack_day(F.col("_busiest"))).drop("_busiest", "_cat")
+    for name, iso in zip(WEEKDAYS, _ISO):  # Q2: the reference counts no Sundays
+        joined = joined.withColumn(f"amount_news_{name}", F.lit(0).cast("long") if compat and name == "sunday" else F.col(iso))
+    return _finished(joined.drop(*_ISO), compat, tags, sources)
+
+
 def with_names(m: DataFrame, tags: DataFrame, sources: DataFrame) -> DataFrame:
     """Category and source ids -> names (two left joins with the dimensions)."""
     named = (m.join(tags.select(F.col("tag_id").alias(CAT), F.col("tag_name")), CAT, "left")

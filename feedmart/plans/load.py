@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from feedmart.operators.core import core_fact, new_news_rows, new_news_tag_rows, new_sources, new_tags
 from feedmart.operators.ingest import NO_GUID, classify, to_entries
-from feedmart.operators.mart import day_counts, mart, mart_from_days
+from feedmart.operators.mart import day_counts, mart, mart_from_days, mart_from_state
 from feedmart.operators.normalise import category_normalise
 from feedmart.session import materialise, scratch_scope
 from feedmart.sources.rss import read_landing
@@ -118,7 +118,7 @@ def _log_days(store: Store, table: str, fact: DataFrame, load_id: int, recount:
     """Day counts of what this run of a load added: of all that the load added, less what its earlier runs have logged."""
     days = day_counts(fact)
     if recount:
-        before = store.log_of_load(table, load_id).select("category", "source", "published", (-F.col("n")).alias("n"))
+        before = store.log_of_loads(table, [load_id]).select("category", "source", "published", (-F.col("n")).alias("n"))
         days = days.unionByName(before).groupBy("category", "source", "published").agg(F.sum("n").alias("n")).where("n <> 0")
     store.append_log(days, table, load_id)
 
@@ -167,22 +167,32 @@ def _ready_for(store: Store, compat: bool) -> None:
 def build_mart(store: Store, as_of=None, compat: bool = True, from_log: bool = True) -> DataFrame:
     """Step 3: rebuild the mart and return it as stored.
 
-    News items and news-tag pairs are only ever added, so the mart is built from the accumulated day counts, whose
-    size is categories x sources x days, and a load doesn't rescan the history of core. ``from_log=False`` rebuilds
-    from the whole core."""
+    News items and news-tag pairs are only ever added, so the mart is built from the day counts that the loads added, and a load
+    doesn't rescan the history of core. Once the log was merged (``Store.merge_log``), the states of its measures are read with the few
+    runs since then, and of the merged day counts only the days that these runs touch. ``from_log=False`` rebuilds from the whole core."""
     _ready_for(store, compat)
     tags, sources = store.read("core_store", "tags"), store.read("core_store", "sources")
     with scratch_scope(store.spark):
         if from_log:
-            table = "news_days" if compat else "pair_days"
-            days = store.read("mart_store", table).groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
-            m = mart_from_days(days, as_of, compat, tags=tags, sources=sources)
+            m = _mart_from_log(store, "news_days" if compat else "pair_days", as_of, compat, tags, sources)
         else:
             bridge = None if compat else store.read("core_store", "news_tag_pairs")
             m = mart(core_fact(store.read("core_store", "news"), bridge), as_of, compat, tags=tags, sources=sources)
         return store.overwrite(m, "mart_store", "news")
 
 
+def _mart_from_log(store: Store, table: str, as_of, compat: bool, tags: DataFrame, sources: DataFrame) -> DataFrame:
+    new, state = store.log_since(table), store.log_state(table)
+    if state is None:
+        days = new.groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
+        return mart_from_days(days, as_of, compat, tags=tags, sources=sources)
+    merged, pairs, categories = state
+    first, last = new.agg(F.min("published"), F.max("published")).first()
+    today = F.lit(resolve_day(store.spark, as_of))
+    touched = F.col("published").between(F.lit(first), F.lit(last)) if first else F.lit(False)
+    return mart_from_state(pairs, categories, merged.where(touched | (F.col("published") == today)), new, as_of, compat, tags=tags, sources=sources)
+
+
 def load_entries(store: Store, entries: DataFrame, mode: str = "full", as_of=None, compat: bool = True, on_bad_date: str = "reject",
                  load_id: int | None = None, name: str | None = None, mapping: DataFrame | None = None) -> DataFrame:
     """Steps 0 to 3 for the given feed entries. Returns the mart."""
@@ -191,6 +201,8 @@ def load_entries(store: Store, entries: DataFrame, mode: str = "full", as_of=Non
     _ready_for(store, compat)
     load_id, raw = load_raw(entries, store, load_id, mode, day, compat, on_bad_date, name, mapping)
     load_core(raw, store, compat, load_id, mapping)
+    store.merge_log("news_days")
+    store.merge_log("pair_days")
     return build_mart(store, day, compat)
 
 

@@ -41,7 +41,7 @@ def _load_event(load: dict, entry: dict) -> None:
         load["logged"].setdefault(entry["table"], []).append(entry["run"])
         load["done"].append(entry["table"])
     elif event == "end":
-        load |= {"open": None, "pairs": load["pairs"] or not load["compat"], "refused": load["refused"] or entry["refused"]}
+        load |= {"open": None, "pairs": load["pairs"] or not load["compat"], "refused": load["refused"] or entry["refused"], "last_new_id": entry["last_new_id"]}
     elif event == "pairs":  # the bridge of a load that had none is filled in
         load["pairs"] = True
     elif event == "abort":

@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedmart import schemas
+from feedmart.operators.mart import category_state, pair_state
 from feedmart.session import child_names, delete_path, path_exists, shuffle_partitions
 from feedmart.sources.ledger import Ledger
 
@@ -431,9 +432,9 @@ class Store:
         version = self._table("mart_store", table).get("version")
         return [f"{base}/merged/v{version}"] * bool(version) + [f"{base}/run={r}" for r in self.ledger.state()["logs"].get(f"mart_store.{table}", [])]
 
-    def log_of_load(self, table: str, load_id: int) -> DataFrame:
-        """What the log holds of one load, merged or not."""
-        runs = self.load(load_id).get("logged", {}).get(f"mart_store.{table}", [])
+    def log_of_loads(self, table: str, load_ids: list[int]) -> DataFrame:
+        """What the log holds of some loads, merged or not."""
+        runs = [r for i in load_ids for r in self.load(i).get("logged", {}).get(f"mart_store.{table}", [])]
         return self._paths(schemas.NEWS_DAYS, [f"{self.root}/mart_store/{table}/run={r}" for r in runs])
 
     def append_log(self, days: DataFrame, table: str, load_id: int) -> None:
@@ -447,20 +448,37 @@ class Store:
         self._cast(days.withColumn("load_id", F.lit(load_id)), schemas.NEWS_DAYS).coalesce(1).write.parquet(path)
         self.ledger.note("log", at=run, load=load_id, run=run, table=name)
 
-    def merge_log(self, table: str, least: int = MERGE_RUNS) -> None:
-        """Sum the log into one table, sorted by day, when more than ``least`` runs lie beside the last such table. The runs' own files
-        stay: a re-run of a load is counted against them."""
+    def log_state(self, table: str) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+        """What ``merge_log`` has left: day counts, states per pair and per category (None before the first merge)."""
+        version = self._table("mart_store", table).get("version")
+        if not version:
+            return None
+        return tuple(self.spark.read.parquet(f"{self.root}/mart_store/{table}/merged{kind}/v{version}") for kind in ("", "_pairs", "_categories"))
+
+    def log_since(self, table: str) -> DataFrame:
+        """Day counts of the runs after the last merge."""
+        runs = self.ledger.state()["logs"].get(f"mart_store.{table}", [])
+        return self._paths(schemas.NEWS_DAYS, [f"{self.root}/mart_store/{table}/run={r}" for r in runs])
+
+    def merge_log(self, table: str, least: int | None = None) -> bool:
+        """Sum the log into one table, sorted by day, and into the states of the mart's measures, when more than ``least`` runs (MERGE_RUNS) lie beside
+        the last such table. The runs' own files stay: a re-run of a load is counted against them."""
         name, runs = f"mart_store.{table}", self.ledger.state()["logs"].get(f"mart_store.{table}", [])
-        if len(runs) <= least:
-            return
+        if len(runs) <= (MERGE_RUNS if least is None else least):
+            return False
         version = self._table("mart_store", table).get("version", 0) + 1
         base = f"{self.root}/mart_store/{table}/merged"
-        delete_path(self.spark, f"{base}/v{version}")
-        days = self.read("mart_store", table).groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
-        days = days.withColumn("load_id", F.lit(None).cast("long")).repartitionByRange("published").sortWithinPartitions("published")
-        self._cast(days, schemas.NEWS_DAYS).write.parquet(f"{base}/v{version}")
+        kinds = {"": lambda: self.read("mart_store", table).groupBy("category", "source", "published").agg(F.sum("n").alias("n"))
+                 .withColumn("load_id", F.lit(None).cast("long")).repartitionByRange("published").sortWithinPartitions("published"),
+                 "_pairs": lambda: pair_state(self.spark.read.schema(schemas.NEWS_DAYS).parquet(f"{base}/v{version}")),
+                 "_categories": lambda: category_state(self.spark.read.schema(schemas.NEWS_DAYS).parquet(f"{base}/v{version}"))}
+        for kind, rows in kinds.items():
+            delete_path(self.spark, f"{base}{kind}/v{version}")
+            rows().write.parquet(f"{base}{kind}/v{version}")
         self.ledger.note("table", table=name, version=version, merged=max(runs))
-        self._collect_versions(base, version)
+        for kind in kinds:
+            self._collect_versions(f"{base}{kind}", version)
+        return True
 
     # -- S3: raw-table discovery ---------------------------------------------------------------
     def _source_names(self) -> list[str]:
