@@ -213,6 +213,23 @@ FROM lineitem l WHERE NOT EXISTS (SELECT 1 FROM events e WHERE CAST(e.user_id AS
     "category_normalise": f"""WITH {RSS}, {MAPPING}
 SELECT rss.link, p.tag_pos, coalesce(m.canonical, trim(p.tags)) AS tags
 FROM pieces p JOIN rss ON rss.o_orderkey = p.o_orderkey LEFT JOIN mapping m ON m.key = lower(trim(p.tags))""",
+    "category_proposals": f"""WITH RECURSIVE {RSS},
+used AS (SELECT trim(p.tags) AS name, source, count(*) AS n FROM pieces p JOIN rss ON rss.o_orderkey = p.o_orderkey GROUP BY ALL),
+forms AS (SELECT lower(name) AS key, name, sum(n) AS n FROM used GROUP BY ALL),
+keys AS (SELECT f.key, arg_min(f.name, row(-f.n, f.name)) AS name, CAST(sum(f.n) AS BIGINT) AS n, count(*) AS forms,
+                any_value(s.sources) AS sources
+         FROM forms f JOIN (SELECT lower(name) AS key, count(DISTINCT source) AS sources FROM used GROUP BY ALL) s USING (key) GROUP BY f.key),
+sets AS (SELECT key, list_distinct(flatten(list_transform(
+           list_filter(string_split(regexp_replace(key, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), lambda w: w <> ''),
+           lambda w: list_transform(range(1, len(w) + 1), lambda i: substr('#' || w || '#', i, 3))))) AS g FROM keys),
+pairs AS (SELECT a.key AS a, b.key AS b, len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) AS overlap
+          FROM sets a JOIN sets b ON a.key <> b.key WHERE len(a.g) > 0 AND len(b.g) > 0
+          AND 100 * len(list_intersect(a.g, b.g)) >= 50 * (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g)))),
+reach(a, b) AS (SELECT key, key FROM keys UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON pairs.a = reach.b),
+grouped AS (SELECT k.*, r.component, p.overlap FROM keys k JOIN (SELECT a AS key, min(b) AS component FROM reach GROUP BY a) r USING (key)
+            LEFT JOIN (SELECT a AS key, max(overlap) AS overlap FROM pairs GROUP BY a) p USING (key) WHERE p.overlap IS NOT NULL OR forms > 1)
+SELECT key, name, first_value(name) OVER (PARTITION BY component ORDER BY -n, -sources, name) AS canonical, coalesce(overlap, 1.0) AS overlap,
+       n, CAST(sources AS BIGINT) AS sources, 'proposed' AS status FROM grouped""",
     "core_fact": f"""WITH {EVENTS_CORE}
 SELECT new_id, tag_id AS category, source_id AS source, new_published AS published FROM news""",
     "assemble_fact": f"""WITH {EVENTS_CORE}

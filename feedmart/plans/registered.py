@@ -257,6 +257,12 @@ def q_category_normalise(spark, sf):
     return normalise.category_normalise(_rss_raw(spark, sf), "tags", _mapping(spark, sf)).select("link", "tag_pos", "tags")
 
 
+def q_category_proposals(spark, sf):
+    """One name for categories that are spelt alike, over all raw rows; half of the letters in common."""
+    names = _rss_raw(spark, sf).groupBy(F.col("tags").alias("name"), "source").agg(F.count(F.lit(1)).alias("n"))
+    return normalise.propose_categories(names, 50)
+
+
 def q_core_fact(spark, sf):
     return core.core_fact(_events_core(spark, sf)[3])
 
@@ -364,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_unique": q_check_unique,
     "check_foreign_keys": q_check_foreign_keys,
     "category_normalise": q_category_normalise,
+    "category_proposals": q_category_proposals,
     "core_fact": q_core_fact,
     "assemble_fact": q_assemble_fact,
     "day_of_week": q_day_of_week,

@@ -51,6 +51,8 @@ TAGS = _struct(("tag_id", L), ("tag_name", S))
 NEWS = _struct(("new_id", L), ("new_raw_id", S), ("title", S), ("link", S), ("summary", S),
                ("new_published", D), ("source_id", L), ("tag_id", L), ("load_id", L))
 NEWS_TAGS = _struct(("new_raw_id", S), ("new_id", L), ("tag_id", L), ("load_id", L))
+# Names of categories that are like others, to be reviewed.
+PROPOSALS = _struct(("key", S), ("name", S), ("canonical", S), ("overlap", T.DoubleType()), ("n", L), ("sources", L), ("status", S))
 # 64-bit hash of a news item's raw id and the load that brought it.
 NEWS_KEYS = _struct(("h", L), ("load_id", L))
 # News (or news-tag pairs) per (category, source, day) added by one load: additive because core is

@@ -40,6 +40,7 @@ from pyspark.sql import types as T
 
 from feedmart import schemas
 from feedmart.operators.mart import category_state, pair_state
+from feedmart.operators.normalise import ACCEPTED, PROPOSED, propose_categories
 from feedmart.session import child_names, delete_path, path_exists, shuffle_partitions
 from feedmart.sources.ledger import Ledger
 
@@ -48,7 +49,7 @@ TABLES = {
     "raw_store": {"news": (schemas.RAW, ["load_id", "source"]),
                   "rejects": (schemas.REJECT, ["load_id", "source"])},
     "core_store": {"sources": (schemas.SOURCES, []), "tags": (schemas.TAGS, []),
-                   "news": (schemas.NEWS, []), "news_tag_pairs": (schemas.NEWS_TAGS, [])},
+                   "news": (schemas.NEWS, []), "news_tag_pairs": (schemas.NEWS_TAGS, []), "category_proposals": (schemas.PROPOSALS, [])},
     "mart_store": {"news": (schemas.MART, [])},
 }
 # Tables of the store itself, not published.
@@ -56,6 +57,7 @@ INNER = {("core_store", "news_keys"): schemas.NEWS_KEYS, ("mart_store", "news_da
 # (layer, table) -> bucket column
 BUCKETED = {("core_store", "news"): "new_raw_id", ("core_store", "news_tag_pairs"): "new_raw_id", ("core_store", "news_keys"): "h"}
 STATUS = {("raw_store", "news"): schemas.ACCEPTED, ("raw_store", "rejects"): schemas.REJECTED}
+VERSIONED = {("mart_store", "news"), ("core_store", "category_proposals")}  # replaced as a whole
 LOGS = ("news_days", "pair_days")
 OWNER = "feedmart.root"
 KEPT_VERSIONS = 2       # of a table that is replaced as a whole: the current and the one before
@@ -84,7 +86,7 @@ class Store:
             return f"{self.root}/raw_store/entries"
         if (layer, table) in BUCKETED:
             return f"{self.root}/{layer}/{table}/v{self.layout()[1]}"
-        if (layer, table) == ("mart_store", "news"):
+        if (layer, table) in VERSIONED:
             return f"{self.root}/{layer}/{table}/v{self._table(layer, table).get('version', 0)}"
         return f"{self.root}/{layer}/{table}"
 
@@ -416,6 +418,27 @@ class Store:
         self._collect_versions(base, version)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    # -- category proposals ----------------------------------------------------------------------
+    def propose_categories(self, percent: int = 50) -> DataFrame:
+        """Propose one name for categories that are spelt alike, over all raw rows, and keep the proposals in ``core_store.category_proposals``.
+        What was reviewed before stays as it was decided."""
+        names = self.read("raw_store", "news").groupBy(F.col("tags").alias("name"), "source").agg(F.count(F.lit(1)).alias("n"))
+        decided = self.read("core_store", "category_proposals").where(F.col("status") != PROPOSED)
+        fresh = propose_categories(names, percent).join(decided.select("key"), "key", "left_anti")
+        return self.overwrite(self._cast(fresh.unionByName(decided), schemas.PROPOSALS), "core_store", "category_proposals")
+
+    def review_categories(self, decisions: DataFrame) -> DataFrame:
+        """Note decisions (``key``, ``status`` 'accepted' or 'declined', and optionally another ``canonical``)."""
+        d = decisions.withColumn("_canonical", F.col("canonical") if "canonical" in decisions.columns else F.lit(None).cast("string"))
+        d = d.select("key", F.col("status").alias("_status"), "_canonical")
+        rows = self.read("core_store", "category_proposals").join(d, "key", "left")
+        rows = rows.withColumn("status", F.coalesce("_status", "status")).withColumn("canonical", F.coalesce("_canonical", "canonical"))
+        return self.overwrite(self._cast(rows, schemas.PROPOSALS), "core_store", "category_proposals")
+
+    def reviewed_mapping(self) -> DataFrame:
+        """The accepted proposals as a mapping (``key, canonical``) for loads."""
+        return self.read("core_store", "category_proposals").where(F.col("status") == ACCEPTED).select("key", "canonical")
+
     def _collect_versions(self, base: str, version: int) -> None:
         for n in child_names(self.spark, base):
             if re.fullmatch("v[0-9]+", n) and int(n[1:]) <= version - KEPT_VERSIONS:
