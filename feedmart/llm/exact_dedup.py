@@ -21,8 +21,18 @@ from pyspark.sql import functions as F
 from .common import join_groups, staged
 
 MIN_CHUNK, MAX_CHUNK = 256, 2048
-# Chunks end after one of these letter pairs; any fixed choice works, rarer pairs make longer chunks.
-BOUNDARY = "[aehit][bdglmrsu][cfkopvwyz]"
+
+
+def _alternate(odd: int) -> str:
+    """Ranges of a character class: every other run of the code points beyond Latin letters; runs are longer where scripts are larger."""
+    regions = [(0x280, 0x3400, 64), (0x3400, 0x10000, 512), (0x10000, 0x32400, 2048)]
+    return "".join(f"\\x{{{a:X}}}-\\x{{{a + run - 1:X}}}" for begin, end, run in regions for a in range(begin + odd * run, end, 2 * run))
+
+
+# Chunks end after three characters of these classes in a row; any fixed choice works, rarer rows make longer chunks. The first three classes cut
+# lower-case Latin text, the others digits, capitals and all other scripts.
+ONE, OTHER = f"[0-4A-M{_alternate(0)}]", f"[5-9N-Z{_alternate(1)}]"
+BOUNDARY = f"(?:[aehit][bdglmrsu][cfkopvwyz]|(?![a-z]){ONE}{OTHER}{ONE})"
 CHUNK = f"(?s).{{{MIN_CHUNK},{MAX_CHUNK - 3}}}?{BOUNDARY}|.{{1,{MAX_CHUNK}}}"
 WHITE = "[\\x20\\x09-\\x0D]+"
 

@@ -7,7 +7,7 @@ the positions in code points. A proposal that its validator refuses is dropped w
 Kinds: the base kinds email, ip (parts up to 255), card (14 to 19 digits, Luhn) and phone (international, 10 to 15
 digits) are always kept. The method adds iban (mod-97), local phone numbers (kind local) and ssn; these
 are kept when their score, the prior of the kind plus CONTEXT_GAIN if one of the kind's context
-words stands within CONTEXT characters before the span, reaches LEAST_SCORE.
+words stands within CONTEXT characters before or after the span (other spans between them or not), reaches LEAST_SCORE.
 
 Defined results: null or empty text has no spans. A text of any length is read whole. Other columns stay
 as they are; the added column is named by ``out_col``.
@@ -77,6 +77,7 @@ class Kind:
     valid: Callable[[Column], Column]
     prior: float
     words: str
+    least: int  # characters of the shortest match
     base: bool = False
 
 
@@ -84,15 +85,15 @@ class Kind:
 # (a shorter start meets the same obstacle) and reads a long run once instead of once per character.
 KINDS = [
     Kind("email", r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
-         "@", _any, 0.8, "mail|contact|write", True),
-    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", _octets, 0.7, "ip|host|server|address", True),
-    Kind("card", r"[0-9]++(?:[ -][0-9]++)++|[0-9][0-9]++", "", _card, 0.8, "card|visa|credit|payment|account", True),
-    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", _phone, 0.7, "phone|tel|call|fax|mobile", True),
+         "@", _any, 0.8, "mail|contact|write", 5, True),
+    Kind("ip", r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", ".", _octets, 0.7, "ip|host|server|address", 7, True),
+    Kind("card", r"[0-9]++(?:[ -][0-9]++)++|[0-9][0-9]++", "", _card, 0.8, "card|visa|credit|payment|account", 2, True),
+    Kind("phone", r"\+[0-9][ ().0-9-]+[0-9]", "+", _phone, 0.7, "phone|tel|call|fax|mobile", 4, True),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "", mod97,
-         0.7, "iban|account|bank|konto|compte"),
+         0.7, "iban|account|bank|konto|compte", 12),
     Kind("local", r"(?<![0-9+(]|[0-9+][ (.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])", "", _any, 0.3,
-         "phone|tel|call|fax|mobile"),
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", _any, 0.3, "ssn|social security|tax id"),
+         "phone|tel|call|fax|mobile", 12),
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", _any, 0.3, "ssn|social security|tax id", 11),
 ]
 KIND_NAMES = [k.name for k in KINDS]
 SPAN = "array<struct<start:long,kind_no:int,end:long,score:double>>"
@@ -121,19 +122,22 @@ def _spans_of(text: Column, kind: Kind, number: int) -> Column:
 
     def build(v: Column) -> Column:
         gaps = F.transform(v["parts"], lambda p: F.length(p))
-        before = F.transform(v["parts"], lambda p: F.lower(F.right(p, F.lit(CONTEXT))))
+        left = F.transform(v["parts"], lambda p: F.lower(F.right(p, F.lit(CONTEXT))))
+        right = F.transform(v["parts"], lambda p: F.lower(F.left(p, F.lit(CONTEXT))))
         rows = lambda w: F.transform(w["starts"], lambda s, i: F.struct(
             s.cast("long").alias("start"), F.lit(number).alias("kind_no"),
             (s + F.length(F.get(w["hits"], i))).cast("long").alias("end"),
-            _score(w, i, kind).alias("score"), kind.valid(F.get(w["hits"], i)).alias("ok")))
-        return let(F.struct(gaps.alias("gaps"), before.alias("before"), v["hits"].alias("hits")),
-                   lambda u: let(F.struct(_starts(u["gaps"], u["hits"]).alias("starts"), u["hits"].alias("hits"),
-                                          u["before"].alias("before")), rows))
+            F.when(kind.valid(F.get(w["hits"], i)), _score(w, i, kind)).alias("score")))
+        return let(F.struct(gaps.alias("gaps"), left.alias("left"), right.alias("right"), v["hits"].alias("hits")),
+                   lambda u: let(F.struct(
+                       _starts(u["gaps"], u["hits"]).alias("starts"), u["hits"].alias("hits"), u["left"].alias("left"), u["right"].alias("right"),
+                       # the pieces from a gap to the end of its hit, and from a hit to the end of the gap after it
+                       F.transform(u["hits"], lambda h, i: F.concat(F.get(u["left"], i), F.lower(h))).alias("to"),
+                       F.transform(u["hits"], lambda h, i: F.concat(F.lower(h), F.get(u["right"], i + 1))).alias("on")), rows))
     found = let(F.struct(F.split(text, kind.pattern, -1).alias("parts"),
                          F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)).alias("hits")),
                 lambda v: F.when(F.size(v["hits"]) > 0, build(v)))
-    keep = (lambda s: s["ok"]) if kind.base else (lambda s: s["ok"] & (s["score"] >= LEAST_SCORE))
-    spans = F.transform(F.filter(found, keep), lambda s: F.struct(s["start"], s["kind_no"], s["end"], s["score"]))
+    spans = F.filter(found, lambda s: s["score"].isNotNull() if kind.base else s["score"] >= LEAST_SCORE)
     likely = F.contains(text, F.lit(kind.needs)) if kind.needs else F.lit(True)
     if kind.needs != "@":
         likely = likely & F.col("__has_digit")
@@ -141,7 +145,14 @@ def _spans_of(text: Column, kind: Kind, number: int) -> Column:
 
 
 def _score(w: Column, i: Column, kind: Kind) -> Column:
-    return F.lit(kind.prior) + F.when(F.get(w["before"], i).rlike(rf"\b(?:{kind.words})"), CONTEXT_GAIN).otherwise(0.0)
+    """Score of a confirmed match. Its context is put together from the pieces around it: of matches that have ``least`` characters at least,
+    so many lie within CONTEXT characters at most."""
+    n = -(-CONTEXT // kind.least)
+    before = F.concat(F.array_join(F.slice(w["to"], F.greatest(i - n, F.lit(0)) + 1, F.least(i, F.lit(n))), ""), F.get(w["left"], i))
+    after = F.concat(F.get(w["right"], i + 1), F.array_join(F.slice(w["on"], i + 2, F.lit(n)), ""))
+    word = rf"\b(?:{kind.words})"
+    near = F.right(before, F.lit(CONTEXT)).rlike(word) | F.left(after, F.lit(CONTEXT)).rlike(word)
+    return F.lit(kind.prior) + F.when(near, CONTEXT_GAIN).otherwise(0.0)
 
 
 def find_pii(docs: DataFrame, text_col: str = "text", out_col: str = "pii") -> DataFrame:
@@ -170,18 +181,23 @@ def digest(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def _merged(spans: Column) -> Column:
-    """Spans by start in, maximal disjoint spans out; an overlap keeps the kind of the earlier span."""
-    span = "struct<start:long,kind_no:int,end:long>"
-
-    def step(acc: Column, s: Column) -> Column:
-        last = F.element_at(acc, -1)
-        own = F.struct(s["start"], s["kind_no"], s["end"])
-        grown = F.struct(last["start"].alias("start"), last["kind_no"].alias("kind_no"),
-                         F.greatest(last["end"], s["end"]).alias("end"))
-        return (F.when(F.size(acc) == 0, F.array(own))
-                .when(s["start"] >= last["end"], F.array_append(acc, own))
-                .otherwise(F.array_append(F.slice(acc, F.lit(1), F.size(acc) - 1), grown)))
-    return F.aggregate(spans, F.array().cast(f"array<{span}>"), step)
+    """Spans by start in, maximal disjoint spans out; an overlap keeps the kind of the earlier span. The largest end so far comes
+    from blocks of BLOCK spans, so the work is linear in the spans."""
+    def largest(ends: Column) -> Column:
+        blocks = F.sequence(F.lit(0), F.ceil(F.size(ends) / F.lit(BLOCK)).cast("int") - 1)
+        tops = F.transform(blocks, lambda b: F.array_max(F.slice(ends, b * BLOCK + 1, F.lit(BLOCK))))
+        base = let(tops, lambda t: F.transform(t, lambda _, b: F.array_max(F.slice(t, F.lit(1), b))))
+        return let(base, lambda bs: F.transform(ends, lambda _, i: F.greatest(  # greatest skips the null of the first block
+            F.get(bs, F.floor(i / F.lit(BLOCK)).cast("int")),
+            F.array_max(F.slice(ends, F.floor(i / F.lit(BLOCK)).cast("int") * BLOCK + 1, i % BLOCK + 1)))))
+
+    def disjoint(v: Column) -> Column:
+        begins = lambda s, i: (i == 0) | (s["start"] >= F.get(v["top"], i - 1))
+        places = F.filter(F.transform(v["spans"], lambda s, i: F.when(begins(s, i), i)), lambda i: i.isNotNull())
+        return let(places, lambda p: F.transform(p, lambda at, j: F.struct(
+            F.get(v["spans"], at)["start"].alias("start"), F.get(v["spans"], at)["kind_no"].alias("kind_no"),
+            F.get(v["top"], F.coalesce(F.get(p, j + 1), F.size(v["spans"])) - 1).alias("end"))))
+    return let(spans, lambda s: let(F.struct(s.alias("spans"), let(F.transform(s, lambda x: x["end"]), largest).alias("top")), disjoint))
 
 
 def redact(docs: DataFrame, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import defaultdict
 from hashlib import sha256
@@ -56,3 +57,20 @@ def test_long_text_has_many_chunks_and_an_edit_changes_few(spark):
     docs = spark.createDataFrame([(1, text), (2, text[:60_000] + "EDIT" + text[60_000:])], "doc_id long, text string")
     a, b = (set(c.id for c in r.recipe) for r in exact_dedup.recipes(docs).orderBy("doc_id").collect())
     assert len(a) > 50 and len(a - b) < 10
+
+
+def test_chunks_of_every_script_follow_the_content(spark):
+    """A letter put in front, and one in the middle, leave nearly all chunks as they are: Cyrillic, Greek, Arabic, Chinese, Korean, digits, capitals."""
+    rng = random.Random(1)
+    letters = {"cyrillic": "абвгдежзийклмнопрстуфхцчшщъыьэюя", "greek": "αβγδεζηθικλμνξοπρστυφχψω", "arabic": "".join(map(chr, range(0x621, 0x64B))),
+               "chinese": "".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(3000)), "korean": "".join(chr(0xAC00 + rng.randrange(11_000)) for _ in range(2000)),
+               "digits": "0123456789", "capitals": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "latin": "abcdefghijklmnopqrstuvwxyz"}
+    rows = []
+    for name, a in letters.items():
+        text = "".join(rng.choices(a, k=40_000))
+        rows += [(f"{name} whole", text), (f"{name} edited", a[0] + text[:20_000] + a[1] + text[20_000:])]
+    found = {r.doc_id: [c.id for c in r.recipe] for r in exact_dedup.recipes(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    for name in letters:
+        whole, edited = found[f"{name} whole"], found[f"{name} edited"]
+        assert len(whole) > 40_000 / 700, (name, len(whole))
+        assert len(set(whole) & set(edited)) >= 0.9 * len(whole), name
