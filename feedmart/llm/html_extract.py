@@ -1,14 +1,18 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read as a sequence of blocks, each with its tag path, the names of its open elements
-from the root to the leaf. Elements that can't hold the article (BOILERPLATE) are left out while reading, as are hidden ones (a ``hidden`` attribute, aria-hidden that is true, a style with display:none or
-visibility:hidden). Elements that usually don't hold it (UNLIKELY, or a class, id or role that _names_boilerplate) are read, and
-left out once the page is known, unless they hold the article, see _Reader.kept. Then, per tag path, text length and punctuation are summed over its blocks; the
-ratios of both to the number of blocks are smoothed over neighbouring blocks in page order, fused into one score
-that the share of text outside links weakens, averaged per path, and a path whose score reaches SHARE of
-the page's text-weighted mean is content. Inside an ``article`` or ``main`` element scores count CONTAINER times. Headings go with the content that follows them.
-An ``article`` or ``main`` with most of the text outside links is the article: all blocks that are read in it are content. Without one, lists,
-tables, quotes and the like that stand beside the paragraphs with most of the text, in the same element, are content unless they are mostly links.
+from the root to the leaf. Only what is no text of the page is left out while reading: scripts, styles, form controls (BOILERPLATE), and hidden elements (a
+``hidden`` attribute, aria-hidden that is true, a style with display:none or visibility:hidden). All other blocks, boilerplate included, are scored:
+
+1. Per tag path, text length and punctuation are summed over its blocks. The ratios of both to the number of blocks are smoothed over
+   neighbouring blocks of one wrapper in page order, fused into one score that the share of text outside links weakens, and averaged per path.
+2. The article is where the scores are: score times length, summed up the tree, finds the innermost wrapper (an ``article`` or ``main`` first) that
+   has more than half of the page's. Its blocks count WITHIN times, so that short lines, lists and tables of an article stand beside long paragraphs.
+3. Names weigh, they don't decide: blocks in elements that usually don't hold the article (UNLIKELY, or a class, id or role that
+   _names_boilerplate) count NAMED times, unless they hold the article, see _Reader.kept.
+4. A path is content if its weighed score reaches SHARE of the text-weighted mean; outside of the article that was found, OUTSIDE of it (OUTSIDE_CONTAINER
+   if that is an ``article`` or ``main`` element), in a wrapper with PART of all score times length.
+   Headings go with the content that follows them.
 
 Defined results: a null or empty page has an empty text. Character references are decoded; white space inside a
 block becomes one space; blocks are joined by a line feed in page order; unclosed elements end where their
@@ -29,14 +33,16 @@ from pyspark.sql import functions as F
 
 from .common import short_batches
 
-SHARE = 0.12
-CONTAINER = 8.0
+SHARE = 0.12  # of the mean; the scores' square roots are compared
+OUTSIDE, OUTSIDE_CONTAINER = 0.5, 4.0  # the same for what lies outside of the article; of one that is an article or main element
+PART = 0.2
+WITHIN, NAMED = 65536.0, 1e-4
+LEAST_PLAIN = 0.05  # what a block of the article that is all links still counts
 KERNEL = (0.25, 0.5, 1.0, 0.5, 0.25)
-DEEPEST = 200
-LONGEST_NAME = 80
+CACHED_NAME = 80  # longer names aren't kept in the cache
 
 # Element names of HTML.
-BOILERPLATE = frozenset("button select textarea option label script style "
+BOILERPLATE = frozenset("button select textarea option script style "
                         "noscript template iframe object svg math canvas audio video head title".split())
 # Left out unless they hold the article; in those of SECONDARY, articles are often comments or teasers.
 SECONDARY = frozenset("nav footer aside menu dialog".split())
@@ -53,15 +59,16 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
 # What starts inside these closes nothing outside them.
 BARRIERS = frozenset("table button noscript select".split())
 LISTS = frozenset("ul ol dl".split())
+LINES = frozenset("p li dt dd td th caption figcaption blockquote pre summary h1 h2 h3 h4 h5 h6".split())  # a label in one of these is text
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript".split())  # and RAW; anything else ends an open head
 # Words in a class, id or role that mark what isn't the article: alone or with words of PLAIN; those of HEADS also at the end of a class or
 # before words of PLAIN there (ids may be the words of a heading).
 HEADS = frozenset("comment comments respond disqus replies sidebar sidebars menu menus nav navbar navigation breadcrumb breadcrumbs footer footers "
-                  "masthead mastheads banner banners cookie cookies popup popups modal modals pagination pager toolbar newsletter newsletters "
+                  "masthead mastheads banner banners cookie cookies popup popups modal modals pagination pager toolbar newsletter newsletters gdpr adsbygoogle outbrain taboola rail "
                   "ad ads advert adverts advertisement advertisements advertising sharing share social related recommended promo promos".split())
 ROLE = HEADS | frozenset("sponsor sponsored promotion promotions header headers consent notice notices alert alerts overlay overlays "
                          "subscribe subscription signup login widget widgets copyright legal disclaimer "
-                         "disclaimers skip search".split())
+                         "disclaimers skip search gdpr discussion adsbygoogle adsense dfp mpu outbrain taboola rail".split())
 PLAIN = frozenset("site page main global top bottom left right primary secondary upper lower inner outer list box bar area slot unit buttons button "
                   "icons icon links link items item section block form posts articles stories text title wrapper wrap container".split())
 # A name with one of these words tells of the page or its subject, not of the element: has-sidebar, no-comments, category-cookies.
@@ -124,16 +131,19 @@ def _kind(name: str, attrs: str, inside: bool) -> int:
         return 3
     for k in ("class", "role") if name in HEADINGS else ("class", "id", "role"):
         for token in attributes.get(k, "").lower().split():
-            if len(token) <= LONGEST_NAME:
-                kind = max(kind, _names_boilerplate(token, k == "class", inside))
+            tells = _names_boilerplate if len(token) <= CACHED_NAME else _names_boilerplate.__wrapped__
+            kind = max(kind, tells(token, k == "class", inside))
     return kind
 
 
 class _Reader:
-    """Blocks of a page: (path, in container, heading, text, characters inside links), and the element of each."""
+    """Blocks of a page: (path, heading, text, characters inside links, innermost wrapper), and the element of each."""
 
     def __init__(self):
-        self.blocks: list[tuple[str, bool, bool, str, int]] = []
+        self.blocks: list[tuple[int, bool, str, int, int]] = []
+        self.paths: list[int] = [0]  # the numbers of the open elements' paths, after that of the page
+        self.path_of: dict[tuple[int, str], int] = {}
+        self.places: dict[str, list[int]] = defaultdict(list)  # where the elements of a name are open
         self.of: list[int] = []  # the innermost element of each block
         self.open: list[str] = []
         self.ids: list[int] = [0]  # the numbers of the open elements, after that of the page
@@ -144,7 +154,7 @@ class _Reader:
         self.parts: list[str] = []
         self.linked = self.container = self.links = self.element = 0
         self.heading = False
-        self.path = ""
+        self.path = self.wrapper = 0
 
     def kept(self) -> list[int]:
         """The blocks that stay when elements of kind 1 and 2 are left out, but for those that hold the article.
@@ -161,7 +171,7 @@ class _Reader:
             free[e] = free[parent[e]] and not kinds[e]
         if all(free):
             return list(range(len(self.blocks)))
-        for (_, _, _, text, linked), e in zip(self.blocks, self.of):
+        for (_, _, text, linked, _), e in zip(self.blocks, self.of):
             plain[e] += len(text) - linked
             open_ += free[e] * (len(text) - linked)
         whole, articles, mains = plain[:], [0] * size, [0] * size
@@ -184,37 +194,38 @@ class _Reader:
             out[e] = out[e] or out[parent[e]]
         return [i for i, e in enumerate(self.of) if not out[e]]
 
-    def sure(self, kept: list[int]) -> list[bool]:
-        """Which of the blocks ``kept`` lie in the article: in the outermost ``article`` with most of their text outside links, else
-        in such a ``main``, else in all articles if they have most of it together, else beside the paragraphs that have most of it."""
+    def article(self, mass: list[float]) -> tuple[list[bool] | None, float]:
+        """Which blocks lie in the article, by the blocks' mass (score times length): in the outermost ``article`` with more than half of it, else
+        in such a ``main``, else in all articles if they have it together, else beside the paragraphs that have it, in the
+        innermost wrapper with more than half. None if nothing has. With it, the share of the mean that outside blocks need."""
         size, parent, tags = len(self.parent), self.parent, self.tags
-        whole = [0] * size
-        for i in kept:
-            whole[self.of[i]] += len(self.blocks[i][3]) - self.blocks[i][4]
+        whole = [0.0] * size
+        for m, e in zip(mass, self.of):
+            whole[e] += m
         for e in range(size - 1, 0, -1):
             whole[parent[e]] += whole[e]
         large = [e for e in range(1, size) if 2 * whole[e] > whole[0]]  # each inside the one before
         one = next((e for tag in ("article", "main") for e in large if tags[e] == tag), 0)
-        within, together = [False] * size, 0
+        within, together = [False] * size, 0.0
         for e in range(1, size):
             within[e] = within[parent[e]] or (e == one if one else tags[e] == "article")
             together += whole[e] if within[e] and not within[parent[e]] else 0
         if 2 * together > whole[0]:
-            return [within[self.of[i]] for i in kept]
+            return [within[e] for e in self.of], OUTSIDE_CONTAINER
         last = next((e for e in reversed(large) if tags[e] in WRAPPERS), 0)
-        beside, flow = [False] * size, 0
+        beside, flow = [False] * size, 0.0
         for e in range(1, size):
             beside[e] = tags[e] in FLOW if parent[e] == last else beside[parent[e]]
             flow += whole[e] if beside[e] and parent[e] == last else 0
         if 2 * flow <= whole[0]:
-            return [False] * len(kept)
-        return [beside[self.of[i]] and 2 * self.blocks[i][4] <= len(self.blocks[i][3]) for i in kept]
+            return None, SHARE
+        return [beside[e] and 2 * b[3] <= len(b[2]) for b, e in zip(self.blocks, self.of)], OUTSIDE
 
     def flush(self) -> None:
         if self.parts:
             text = SPACE.sub(" ", html.unescape("".join(self.parts))).strip()
             if text:
-                self.blocks.append((self.path, self.container > 0, self.heading, text, min(self.linked, len(text))))
+                self.blocks.append((self.path, self.heading, text, min(self.linked, len(text)), self.wrapper))
                 self.of.append(self.element)
             self.parts, self.linked = [], 0
 
@@ -224,7 +235,8 @@ class _Reader:
         if self.skips:
             return
         if not self.parts:
-            self.path, self.element = "/".join(self.open[:DEEPEST]), self.ids[-1]
+            self.path, self.element = self.paths[-1], self.ids[-1]
+            self.wrapper = max((self.ids[self.places[n][-1] + 1] for n in WRAPPERS if self.places.get(n)), default=0)
             self.heading = any(n in HEADINGS for n in self.open[-4:])
         self.parts.append(raw)
         if self.links:
@@ -244,11 +256,16 @@ class _Reader:
         if name in BLOCKS:
             if not self.skips:
                 self.flush()
-            self.close_near("p", 12)  # a block ends an open paragraph, also one that is left out
+            self.close("p")  # a block ends an open paragraph, also one that is left out
         for other in CLOSES.get(name, ()):
-            self.close_near(other, 6)
+            self.close(other)
         kind = 0 if self.skips else _kind(name, attrs, self.container > 0)
+        if name == "label" and not kind and not (self.parts or any(n in LINES for n in self.open[-3:])):
+            kind = 3  # of a form control
+        self.places[name].append(len(self.open))
+        path = self.path_of.setdefault((self.paths[-1], name), len(self.path_of) + 1)
         self.open.append(name)
+        self.paths.append(path)
         self.names[name] += 1
         self.container += name in ("article", "main")
         self.links += name == "a"
@@ -275,14 +292,14 @@ class _Reader:
             return  # an inline end tag can't end the element that is left out
         self.pop_to(at)
 
-    def close_near(self, name: str, depth: int) -> None:
-        """Close the innermost open ``name`` if it is among the last ``depth`` open elements."""
-        for at in range(len(self.open) - 1, max(-1, len(self.open) - 1 - depth), -1):
-            if self.open[at] == name:
-                self.pop_to(at)
-                return
-            if self.open[at] in BARRIERS or (self.open[at] in LISTS and name in ("li", "dt", "dd")):
-                return
+    def close(self, name: str) -> None:
+        """Close the innermost open ``name`` unless a barrier (for parts of lists, also a list) is open inside it."""
+        if not self.places.get(name):
+            return
+        at = self.places[name][-1]
+        stops = BARRIERS | LISTS if name in ("li", "dt", "dd") else BARRIERS
+        if all(self.places[n][-1] < at for n in stops if self.places.get(n)):
+            self.pop_to(at)
 
     def pop_to(self, at: int) -> None:
         if self.skips > at:
@@ -294,13 +311,14 @@ class _Reader:
             self.container -= n in ("article", "main")
             self.links -= n == "a"
             self.names[n] -= 1
-        del self.open[at:], self.ids[at + 1:]
+            self.places[n].pop()
+        del self.open[at:], self.ids[at + 1:], self.paths[at + 1:]
         while self.unlikely and self.unlikely[-1] > at:
             self.unlikely.pop()
 
 
-def blocks(page: str) -> list[tuple[str, bool, bool, str, int, bool]]:
-    """Path, in a container, heading, text, characters inside links, in the article for sure."""
+def read(page: str) -> _Reader:
+    """The page's blocks and elements."""
     reader, at, low = _Reader(), 0, None
     while at < len(page):
         m = TOKEN.match(page, at)
@@ -325,8 +343,7 @@ def blocks(page: str) -> list[tuple[str, bool, bool, str, int, bool]]:
         else:
             reader.start(name, attrs)
     reader.flush()
-    kept = reader.kept()
-    return [(*reader.blocks[i], sure) for i, sure in zip(kept, reader.sure(kept))]
+    return reader
 
 
 def _find_end(page: str, name: str, at: int) -> int:
@@ -334,39 +351,58 @@ def _find_end(page: str, name: str, at: int) -> int:
     return m.start() if m else -1
 
 
+def _scores(found: list[tuple], named: list[bool]) -> list[float]:
+    """The fused ratios of each block's path; paths in named elements are paths of their own."""
+    length, marks, count = defaultdict(float), defaultdict(float), defaultdict(int)
+    keys = [(b[0], x) for b, x in zip(found, named)]
+    for k, b in zip(keys, found):
+        length[k] += len(b[2])
+        marks[k] += len(PUNCTUATION.findall(b[2]))
+        count[k] += 1
+    half, out = len(KERNEL) // 2, []
+    for i, k in enumerate(keys):
+        near = [(KERNEL[d + half], keys[i + d]) for d in range(-half, half + 1) if 0 <= i + d < len(keys)
+                and found[i + d][4] == found[i][4] and named[i + d] == named[i]]
+        whole = sum(w for w, _ in near)
+        out.append(sum(w * length[n] / count[n] for w, n in near) / whole * (1 + sum(w * marks[n] / count[n] for w, n in near) / whole))
+    return out
+
+
 def main_text(page: str | None) -> str:
-    found = blocks(page or "")
-    if not found:
+    reader = read(page or "")
+    found = reader.blocks
+    kept = set(reader.kept())
+    if not kept:
         return ""
-    length, marks, count, plain = defaultdict(float), defaultdict(float), defaultdict(int), defaultdict(float)
-    for path, _, _, text, linked, _ in found:
-        length[path] += len(text)
-        marks[path] += len(PUNCTUATION.findall(text))
-        plain[path] += len(text) - linked
-        count[path] += 1
-    text_ratio = {p: length[p] / count[p] for p in count}
-    mark_ratio = {p: marks[p] / count[p] for p in count}
-
-    def smoothed(ratio: dict[str, float]) -> list[float]:
-        own = [ratio[b[0]] for b in found]
-        half = len(KERNEL) // 2
-        out = []
-        for i in range(len(own)):
-            pairs = [(KERNEL[d + half], own[i + d]) for d in range(-half, half + 1) if 0 <= i + d < len(own)]
-            out.append(sum(k * x for k, x in pairs) / sum(k for k, _ in pairs))
-        return out
-    fused = [t * (1 + m) * (plain[b[0]] / length[b[0]]) ** 2 * (CONTAINER if b[1] else 1.0)
-             for t, m, b in zip(smoothed(text_ratio), smoothed(mark_ratio), found)]
-    of_path = defaultdict(float)
-    for b, s in zip(found, fused):
-        of_path[b[0]] += s / count[b[0]]
+    named = [i not in kept for i in range(len(found))]
+    fused = _scores(found, named)
+    plain = defaultdict(float)  # the share of a path's text outside links
+    size = defaultdict(int)
+    for b, x in zip(found, named):
+        plain[b[0], x] += len(b[2]) - b[3]
+        size[b[0], x] += len(b[2])
+    free = [(plain[b[0], x] / size[b[0], x]) ** 2 for b, x in zip(found, named)]
+    mass = [f * p * len(b[2]) * (NAMED if x else 1) for f, p, b, x in zip(fused, free, found, named)]
+    article, share = reader.article(mass)
+    within = [False] * len(found) if article is None else [a and not x for a, x in zip(article, named)]
+    own = [(b[0], x, w) for b, x, w in zip(found, named, within)]
+    score, count = defaultdict(float), defaultdict(int)
+    for k, f, p, x, w in zip(own, fused, free, named, within):
+        score[k] += f * (WITHIN * max(p, LEAST_PLAIN) if w else NAMED * p if x else p)
+        count[k] += 1
     # square roots: a page with one very long block doesn't lose its shorter ones
-    mean = sum(of_path[b[0]] ** 0.5 * len(b[3]) for b in found) / sum(len(b[3]) for b in found)
-    keep = [b[5] or of_path[b[0]] ** 0.5 >= SHARE * mean for b in found]
+    mean = sum((fused[i] * free[i]) ** 0.5 * len(found[i][2]) for i in kept) / sum(len(found[i][2]) for i in kept)
+    of_wrapper = defaultdict(float)
+    for m, b in zip(mass, found):
+        of_wrapper[b[4]] += m
+    whole = sum(mass)
+    outside = [article is not None and not w for w in within]
+    keep = [(score[k] / count[k]) ** 0.5 >= (share if o else SHARE) * mean and not (o and of_wrapper[b[4]] < PART * whole)
+            for k, o, b in zip(own, outside, found)]
     for i in range(len(found) - 2, -1, -1):
-        if found[i][2]:
-            keep[i] = found[i][5] or keep[i + 1]
-    return "\n".join(b[3] for b, k in zip(found, keep) if k)
+        if found[i][1] and not named[i]:
+            keep[i] = within[i] or keep[i + 1]
+    return "\n".join(b[2] for b, k in zip(found, keep) if k)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -383,4 +419,4 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     return out.withColumn("n_chars", F.length("text").cast("long"))
 
 
-__all__ = ["blocks", "extract", "main_text"]
+__all__ = ["extract", "main_text", "read"]

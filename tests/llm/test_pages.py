@@ -129,6 +129,62 @@ def test_captions_and_maps_are_read():
     assert html_extract.main_text(f"<p>{LONG}</p><label>Mail</label><dialog>Sure?</dialog><noscript>No scripts.</noscript>") == LONG.strip()
 
 
+@pytest.fixture
+def no_names(monkeypatch):
+    """Every list of names that mark boilerplate is empty."""
+    for name in ("HEADS", "ROLE", "COMMENTS", "UNLIKELY", "SECONDARY"):
+        monkeypatch.setattr(html_extract, name, frozenset())
+    html_extract._names_boilerplate.cache_clear()
+    yield
+    html_extract._names_boilerplate.cache_clear()
+
+
+def _pages(sf):
+    import pyarrow.parquet as pq
+    return pq.read_table(f"{sf}/pages.parquet")["html"].to_pylist()
+
+
+def test_ratios_find_the_article_without_any_names(no_names):
+    """Without the lists the pages come out right, with the article element or without it, but for those whose whole article is no more than a footer."""
+    pages = _pages("/root/testdata/sf0.1")
+    want = [_article(p) for p in pages]
+    for change, share in ((lambda p: p, 0.96), (lambda p: p.replace("<article>", "<div>").replace("</article>", "</div>"), 0.93)):
+        right = [html_extract.main_text(change(p)) == w for p, w in zip(pages, want)]
+        assert sum(right) > share * len(pages)
+        assert all(ok for ok, w in zip(right, want) if len(w) > 1500)
+
+
+def test_without_ratios_the_article_is_not_found(no_names, monkeypatch):
+    """A list of names that is longer than the article, neither marked by any name or element: only the ratios tell them apart."""
+    names = "".join(f"<div>Some Name And Another Name {'abcdefghij'[i % 10]}</div>" for i in range(120))
+    page = f"<body><div>{names}</div><div>{PLAIN}</div></body>"
+    assert html_extract.main_text(page) == TEXT
+    monkeypatch.setattr(html_extract, "_scores", lambda found, named: [1.0] * len(found))
+    assert html_extract.main_text(page) != TEXT
+
+
+@pytest.mark.parametrize("body", [ARTICLE, PLAIN, f"<main>{PLAIN}</main>"])
+@pytest.mark.parametrize("part", [
+    "<div class=gdpr-bar>We use cookies, as all do. Accept them all.</div>", "<ins class=adsbygoogle>Buy this thing now, it is cheap.</ins>",
+    "<div class=dfp-ad-mpu><p>Buy this thing now, it is cheap.</p></div>", "<div class=outbrain-widget><p>You won't believe this, and that.</p></div>",
+    "<div id=discussion><h3>What readers say</h3><p>I liked it, very much.</p><p>So did I.</p></div>",
+    "<section><h3>What readers say</h3><p>Nice.</p><p>So it is.</p></section>", "<div class=right-rail><ul><li>First tip<li>Second tip</ul></div>",
+    "<div>\xa9 2024 Some House. All rights reserved.</div>", f"<div class='{'x' * 100}-sidebar'><p>{LONG}</p></div>",
+    "<ul><li><a href=a>One</a><li><a href=b>Two</a></ul>"])
+def test_what_surrounds_the_article(body, part):
+    assert html_extract.main_text(f"<body><div>{body}</div>{part}</body>") == TEXT
+    assert html_extract.main_text(f"<body>{part}<div>{body}</div></body>") == TEXT
+
+
+def test_labels_and_open_inline_elements():
+    assert html_extract.main_text(f"<article><p>{LONG}</p><p>Choose <label>x</label> real text</article>") == f"{LONG.strip()}\nChoose x real text"
+    for n in (1, 13, 300):
+        page = f"<div><p class=share>Share {'<b>' * n}this<p>{LONG}<p>{LONG}</div>"
+        assert html_extract.main_text(page) == f"{LONG.strip()}\n{LONG.strip()}"
+    deep = f"{'<div>' * 300}<p>{LONG}</p><nav><a href=x>Home</a></nav>{'</div>' * 300}"
+    assert html_extract.main_text(deep) == LONG.strip()
+
+
 def test_extraction_edges(spark):
     deep, long = "<div>" * 20_000 + "deep", "<p>" + LONG * 5000
     pages = spark.createDataFrame([(1, None, None, "t"), (2, "u", "", "t"), (2, "u", "", "t"), (None, "v", deep, "t"), (4, "w", long, "t")],
