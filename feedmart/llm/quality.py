@@ -12,7 +12,7 @@ Scoring reads each text once where it lies; the model (about 0.5 MB whatever the
 
 Defined results: null text counts as empty, an empty text gets the score of its statistics. A null id counts as
 the empty string for the fold. Without usable labels every score is 0.5; with one class the bias follows it.
-A document with contradictory labels trains with the lower one. Other columns are ignored by ``score`` and kept
+A document with contradictory labels trains with the lower one, an id with several texts with the smallest. Other columns are ignored by ``score`` and kept
 by ``keep_good``.
 """
 
@@ -149,7 +149,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     usable = usable.filter(F.col("id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("id")))
     sample = usable.groupBy("id").agg(F.min("label").alias("label")).orderBy(F.xxhash64("id"), "id").limit(train_rows)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = texts.join(F.broadcast(sample), "id").dropDuplicates(["id"])
+    found = texts.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
 
     def extract(batches):
         for b in batches:
