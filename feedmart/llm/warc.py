@@ -2,7 +2,8 @@
 
 ``write`` turns pages into response records, shuffles their headers (digest and page id) by payload digest, keeps per
 digest the page with the largest id as the response, and writes archives with fresh headers in which
-the others are revisit records without payload. ``read`` parses archives and checks each payload against
+the others are revisit records without payload. Payloads stay where they are read, but for those of a digest with copies (told by a
+bitmap of fixed size, so now and then one more) where the groups of copies are too many to broadcast. ``read`` parses archives and checks each payload against
 its digest; ``resolve`` joins revisits to their responses by digest.
 
 Archives are written by Spark's text writer with its commit protocol into a folder of shared storage: a lost
@@ -20,11 +21,14 @@ import base64
 import hashlib
 import zlib
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import batch_rows, join_groups, staged
+from .ngram_join import MEMBER_BITS, _members_bitmap
 
 RECORDS_PER_FILE = 4000
 ARCHIVE_BYTES = 64 << 20
@@ -61,11 +65,21 @@ def records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", pay
 
 
 def with_revisits(rows: DataFrame) -> DataFrame:
-    """Adds ``original``: the id of the page whose response holds the payload."""
-    headers = rows.select("page_id", "digest")
+    """Adds ``original``: the id of the page whose response holds the payload, null for a payload that has no copy."""
+    spark = rows.sparkSession
+    headers = staged(rows.select("page_id", "digest"), "warc-headers")
     groups = headers.groupBy("digest").agg(F.max("page_id").alias("original"), F.count("*").alias("copies"))
-    groups = staged(groups.filter("copies > 1"), "warc-originals")  # a payload that is alone needs no join
-    return join_groups(rows, groups, "digest", "copies", rows.count())
+    groups = staged(groups.filter("copies > 1"), "warc-originals")
+    shared = spark.sparkContext.broadcast(_members_bitmap(groups.select(F.col("digest").alias("rep"))))
+
+    @F.pandas_udf("boolean")
+    def in_group(at: pd.Series) -> pd.Series:
+        at = at.to_numpy()
+        return pd.Series((shared.value[at >> 5] >> (at & 31).astype(np.uint32)) & np.uint32(1) == 1)
+    may_have_copies = in_group(F.pmod(F.xxhash64("digest"), F.lit(1 << MEMBER_BITS)))
+    nothing = {"original": F.lit(None).cast("long"), "copies": F.lit(None).cast("long")}
+    alone = rows.filter(~may_have_copies).withColumns(nothing)
+    return alone.unionByName(join_groups(rows.filter(may_have_copies), groups, "digest", "copies", headers.count()))
 
 
 def record_text(row: DataFrame, date: str = DATE) -> DataFrame:

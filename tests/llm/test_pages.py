@@ -263,3 +263,22 @@ def test_damaged_payload_is_refused():
     assert [b for _, b in warc.parse(record * 3)] == [b"abc"] * 3
     with pytest.raises(ValueError):
         list(warc.parse(record.replace(b"Length: 3", b"Length: 2")))
+
+
+def test_payloads_without_copies_are_not_shuffled(spark):
+    """With broadcasts switched off, an exchange stands above the payloads of digests with copies only."""
+    pages = spark.createDataFrame([(i, f"u{i}", "same" if i % 10 == 0 else f"payload {i}") for i in range(200)], "page_id long, url string, html string")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = warc.with_revisits(warc.records(pages))
+        alone = rows.filter("copies IS NULL")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        got = rows.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    branches = plan.split("Union")[1]
+    alone_branch = branches[:branches.index("Join")]  # the payloads that have no copy come first; what stands above a join follows them
+    assert "ArrowEvalPython" in alone_branch and plan.count("Exchange hashpartitioning") == 2  # the two sides of the join of the others
+    assert alone_branch.count("ArrowEvalPython") == 1 and "Exchange" not in alone_branch[:alone_branch.index("ArrowEvalPython")]
+    assert {r.page_id: r.original for r in got} == {i: 190 if i % 10 == 0 else None for i in range(200)} and alone.columns == rows.columns
