@@ -189,7 +189,7 @@ FIRST = {"s": _feed(_item("a1", "A", "B"), _item("a2", "B", day=20), "<item><tit
 SECOND = {"s": _feed(_item("b1", "B", "A"), _item("a2", "Z")), "t": _feed(_item("b2", "C"))}
 
 
-@pytest.mark.parametrize("killed", [None, "append_pairs", "append_log", "note"])
+@pytest.mark.parametrize("killed", [None, "append_pairs", "append_log"])
 def test_corrected_after_compat_equals_corrected_from_the_start(spark, tmp_path, killed):
     first, second = write_landing(tmp_path / "a", FIRST), write_landing(tmp_path / "b", SECOND)
     roots = [str(tmp_path / n) for n in ("mixed", "fresh")]

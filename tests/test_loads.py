@@ -190,6 +190,32 @@ def test_scratch_tables_of_a_load_are_deleted(spark, tmp_path):
     assert set(glob.glob(f"{base}/*")) == before
 
 
+def test_scratch_scopes_of_two_threads_stay_apart(spark):
+    import threading
+    from contextvars import copy_context
+    from feedmart.session import materialise, scratch_scope
+    met, kept = threading.Barrier(2), {}
+
+    def run(name, first):
+        with scratch_scope(spark):
+            table = materialise(spark.range(5).withColumn("who", F.lit(name)), name)
+            met.wait(60)
+            if first:
+                return  # this scope ends while the other is still at work
+            inner = []
+            t = threading.Thread(target=copy_context().run, args=(lambda: inner.append(materialise(spark.range(3), "inner")),))
+            t.start()
+            t.join()
+            kept[name] = table.count(), inner[0].count()
+            kept["path"] = inner[0].inputFiles()[0]
+    threads = [threading.Thread(target=run, args=(f"t{i}", i == 0)) for i in range(2)]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert kept["t1"] == (5, 3)
+    from feedmart.session import path_exists
+    assert not path_exists(spark, kept["path"])  # a thread that was given the context shares the scope
+
+
 def test_a_cluster_must_name_its_checkpoint_folder(spark, monkeypatch):
     from feedmart import session
 
