@@ -1,6 +1,7 @@
 """Randomised checks against plain-Python brute force of the reference's semantics."""
 
 import datetime as dt
+from unittest import mock
 from collections import Counter, defaultdict
 
 from hypothesis import HealthCheck, given, settings
@@ -70,14 +71,18 @@ def test_first_wins_and_dense_ids(spark, rows, known, start):
     target = spark.createDataFrame([(k,) for k in sorted(known)], "id string")
     first = keys.first_per_key(df, ["id"], order, ["val"])
     fresh = keys.insert_if_absent(first, target, ["id"])
-    numbered = keys.dense_ids(fresh, order, "new_id", start=start, num_partitions=3)
-    got = {r.id: (r.new_id, r.val) for r in numbered.collect()}
-    # without a partition count AQE may merge adjacent range partitions: same numbering
-    coalesced = keys.dense_ids(fresh, order, "new_id", start=start)
-    assert {r.id: (r.new_id, r.val) for r in coalesced.collect()} == got
+    with mock.patch.object(keys, "ONE_TASK", -1):  # range partitions
+        numbered = keys.dense_ids(fresh, order, "new_id", start=start, num_partitions=3, group_id="load_no")
+        got = {r.id: (r.new_id, r.val, r.load_no) for r in numbered.collect()}
+        # without a partition count AQE may merge adjacent range partitions: same numbering
+        coalesced = keys.dense_ids(fresh, order, "new_id", start=start, group_id="load_no")
+        assert {r.id: (r.new_id, r.val, r.load_no) for r in coalesced.collect()} == got
+    one = keys.dense_ids(fresh, order, "new_id", start=start, group_id="load_no")  # one task
+    assert {r.id: (r.new_id, r.val, r.load_no) for r in one.collect()} == got
     firsts = {}
     for k, lo, s, p in sorted(rows, key=lambda t: (t[1], t[2], t[3])):
         firsts.setdefault(k, (lo, s, p, f"v{lo}{s}{p}"))
     new = sorted((v[:3], k, v[3]) for k, v in firsts.items() if k not in known)
-    want = {k: (start + i + 1, val) for i, (_, k, val) in enumerate(new)}
+    loads = sorted({v[0] for v, _, _ in new})
+    want = {k: (start + i + 1, val, loads.index(v[0]) + 1) for i, (v, k, val) in enumerate(new)}
     assert got == want
