@@ -9,7 +9,7 @@ from feedmart.llm import queries
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, sf_dir, key):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     want = con.sql(queries.ORACLE[key])
     got = queries.QUERIES[key](spark, sf_dir)
