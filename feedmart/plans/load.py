@@ -200,7 +200,7 @@ def load_entries(store: Store, entries: DataFrame, mode: str = "full", as_of=Non
     repair(store)
     _ready_for(store, compat)
     load_id, raw = load_raw(entries, store, load_id, mode, day, compat, on_bad_date, name, mapping)
-    load_core(raw, store, compat, load_id, mapping)
+    load_core(raw, store, compat, load_id, store.mapping(load_id))  # as kept with the load: its size is known, so it is broadcast
     store.merge_log("news_days")
     store.merge_log("pair_days")
     return build_mart(store, day, compat)
