@@ -109,7 +109,11 @@ def _order_fields(o: DataFrame) -> DataFrame:
         F.when(F.col("o_orderpriority") != NO_CATEGORY_PRIORITY,
                F.concat(F.col("o_orderpriority"), F.lit(" / "), F.col("o_orderstatus"))).alias("_cat1"),
         F.when(F.col("o_orderpriority") == SECOND_CATEGORY_PRIORITY, F.lit(SECOND_CATEGORY)).alias("_cat2"),
-        F.concat(F.lit("src_"), F.col("o_orderstatus")).alias("source"))
+        "source" if "source" in o.columns else _order_source().alias("source"))
+
+
+def _order_source() -> Column:
+    return F.concat(F.lit("src_"), F.col("o_orderstatus"))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
@@ -145,13 +149,16 @@ def rss_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("long").alias("block_start"), F.col("o_orderkey").alias("entry_pos"))
 
 
-def rss_orders_items(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
+def rss_orders_items(spark: SparkSession, sf_dir: str, where: Column | None = None, num_files: int | None = None) -> DataFrame:
     """rss-orders as item rows ready for the XML writer (``guid`` with its attribute), in
-    (source, order key) order so that the written files keep that order."""
+    (source, order key) order so that the written files keep that order. The orders are dealt and sorted first: the
+    texts are built once, after the sample that range partitioning takes, and don't move."""
     o = table(spark, sf_dir, "orders")
     if where is not None:
         o = o.where(where)
-    f = _order_fields(o)
+    by = ["source", "o_orderkey"]
+    ordered = o.withColumn("source", _order_source()).repartitionByRange(num_files or shuffle_partitions(spark), *by).sortWithinPartitions(*by)
+    f = _order_fields(ordered)
     return f.select(
         F.when(F.col("guid").isNotNull(), F.struct(F.lit("false").alias("_isPermaLink"),
                                                    F.col("guid").alias("_VALUE"))).alias("guid"),
@@ -164,8 +171,5 @@ def write_rss_orders_landing(spark: SparkSession, sf_dir: str, landing: str, whe
                              num_files: int | None = None) -> str:
     """Write rss-orders as a landing folder ``<landing>/source=<name>/part-*.xml``. Range
     partitioning by (source, order key) keeps file order = order-key order inside a source."""
-    items = rss_orders_items(spark, sf_dir, where)
-    n = num_files or shuffle_partitions(spark)
-    ordered = items.repartitionByRange(n, "source", "o_orderkey").sortWithinPartitions("source", "o_orderkey")
-    write_feeds(ordered.drop("o_orderkey"), landing)
+    write_feeds(rss_orders_items(spark, sf_dir, where, num_files).drop("o_orderkey"), landing)
     return landing
